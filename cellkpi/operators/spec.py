@@ -75,6 +75,15 @@ class CounterRule:
     also: tuple[tuple[str, str], ...] = ()
     omit: tuple[str, ...] = ()
     override_null_policy: str | None = None
+    prefix_renames: tuple[tuple[str, str], ...] = ()
+
+    def alias_for(self, name: str, renames: dict) -> str:
+        if name.lower() in renames:
+            return renames[name.lower()]
+        for old, new in self.prefix_renames:
+            if name.lower().startswith(old.lower()):
+                return new + name[len(old):]
+        return name
 
     def expand(self, schema: T.StructType, exclude: Iterable[str]) -> list[Measure]:
         ex = {e.lower() for e in exclude} | {o.lower() for o in self.omit}
@@ -86,7 +95,7 @@ class CounterRule:
         out: list[Measure] = []
         for f in schema.fields:
             lname = f.name.lower()
-            if lname in ex or lname.startswith("pk_") or lname.startswith("_"):
+            if lname in ex or lname.startswith(("pk_", "_", "hl_")):
                 continue
             if not isinstance(f.dataType, (*NUMERIC, T.StringType)):
                 continue
@@ -94,7 +103,7 @@ class CounterRule:
             pol = self.null_policy if lname not in ov else (self.override_null_policy or self.null_policy)
             if func == "avg":
                 pol = "keep"
-            out.append(Measure(func, f.name, rn.get(lname, f.name), pol))
+            out.append(Measure(func, f.name, self.alias_for(f.name, rn), pol))
             for extra in al.get(lname, []):
                 out.append(Measure(func, f.name, extra, pol))
         return out
