@@ -67,6 +67,19 @@ def latest_date_per_market(store: DataFrame, *, per: Sequence[str] | None = None
     return partition_index(store).groupBy(*per).agg(F.max("pk_date").alias("latest_date"))
 
 
+def latest_date_partitions(store: DataFrame, *, per: Sequence[str] | None = None) -> DataFrame:
+    """(family, market, newest date) as a rank filter over the index.
+
+    Same rows as :func:`latest_date_per_market`; written as a filtered
+    window so a semi join with it keeps dynamic partition pruning (Spark
+    only prunes when the build side carries a selective predicate).
+    """
+    per = _per(store, per)
+    idx = partition_index(store).select(*per, "pk_date").distinct()
+    w = Window.partitionBy(*per).orderBy(F.col("pk_date").desc())
+    return idx.withColumn("date_rank", F.row_number().over(w)).where(F.col("date_rank") == 1)
+
+
 def latest_date_overall(store: DataFrame) -> DataFrame:
     return partition_index(store).agg(F.max("pk_date").alias("latest_date"))
 
@@ -85,16 +98,34 @@ def latest_dates(store: DataFrame, k: int = 2) -> DataFrame:
 def restrict_to(store: DataFrame, selected: DataFrame) -> DataFrame:
     """Left-semi join of the store with selected partitions.
 
-    ``selected`` is bounded by the number of partitions (e.g. n hours per
-    market), so it is broadcast; Spark then prunes store files dynamically.
+    Every selection built here is bounded by construction, not by data
+    volume: latest hours <= n x families x markets rows, latest dates per
+    market <= families x markets, top-k dates <= k (e.g. 3 x 50 x 500 =
+    75k rows of four short strings, a few MB). It is broadcast, and because
+    its plan keeps the selective window filter, Spark turns the join into
+    dynamic partition pruning of the store scan (reusing the same broadcast).
+    Materialising the selection first (checkpoint) would hide that filter and
+    disable pruning, i.e. read the whole store — so it stays a lazy plan.
     """
     keys = [c for c in pk_cols(selected) if c in store.columns]
     return store.join(F.broadcast(selected.select(*keys).distinct()), keys, "left_semi")
 
 
+def top_date_partitions(store: DataFrame, k: int = 2) -> DataFrame:
+    """Top-k dates as a rank filter (for pruning joins).
+
+    The window has no partition key, but its input is the distinct dates
+    (bounded by the retention period) and Spark applies the rank limit per
+    input partition before the single-partition exchange.
+    """
+    d = partition_index(store).select("pk_date").distinct()
+    w = Window.orderBy(F.col("pk_date").desc())
+    return d.withColumn("date_rank", F.dense_rank().over(w)).where(F.col("date_rank") <= k)
+
+
 def rows_in_latest_dates(store: DataFrame, k: int = 2) -> DataFrame:
-    """Store rows of the top-k dates, with their distinct (date, market, hour)."""
-    return restrict_to(store, latest_dates(store, k))
+    """Store rows of the top-k dates (inner join to the top-k table as a semi join)."""
+    return restrict_to(store, top_date_partitions(store, k))
 
 
 def fresh_markets(store: DataFrame, as_of: str, within_days: int = 3, *,

@@ -224,3 +224,50 @@ def aggregate_from_schema(df: DataFrame, schema: T.StructType,
             keys.append(F.expr(a).alias(f.name))
     keys += [F.col(k) for k in extra_keys]
     return df.groupBy(*keys).agg(*aggs)
+
+
+# --------------------------------------------------------------------------
+# Specs kept as SQL text (the source system's feature files)
+# --------------------------------------------------------------------------
+
+def load_sql_features(path: str, *, pick: str = "first") -> dict[str, tuple[str, str]]:
+    """Read a feature file ``{"features":[{"name","sql":[{"SELECT","GROUPBY"}]}]}``.
+
+    ``pick='first'`` takes the first sql entry of a feature (Ericsson jobs);
+    ``pick='last'`` the last entry that has both parts (Nokia jobs).
+    """
+    import json
+
+    with open(path) as fh:
+        doc = json.load(fh)
+    out = {}
+    for feat in doc.get("features", []):
+        entries = [e for e in feat.get("sql", []) if e.get("SELECT") and e.get("GROUPBY")]
+        if entries:
+            e = entries[0] if pick == "first" else entries[-1]
+            out[feat["name"]] = (e["SELECT"].strip().rstrip(","), e["GROUPBY"].strip().rstrip(","))
+    return out
+
+
+def sql_feature_aggregate(store: DataFrame, select: str, groupby: str, *,
+                          extra_keys: Sequence[str] = ("pk_ft", "pk_date", "pk_market", "pk_hr"),
+                          run_id: Column | None = None) -> DataFrame:
+    """Run a text spec over ``store`` with Spark SQL, set-at-a-time.
+
+    The partition keys are appended to the select list and GROUP BY so one
+    query over all selected partitions equals a loop of per-partition
+    queries; the 'unassigned' run id is replaced by ``run_id`` (a column,
+    not text substitution); of case-variant duplicate output names the last
+    is kept (parquet rejects duplicates).
+    """
+    extra = [k for k in extra_keys if k in store.columns]
+    sel = select + "".join(f", {k}" for k in extra)
+    grp = groupby + "".join(f", {k}" for k in extra)
+    df = store.sparkSession.sql(f"SELECT {sel} FROM {{kpi}} GROUP BY {grp}", kpi=store)
+    names = df.columns
+    keep = _dedup_names(names)
+    df = df.toDF(*[f"_c{i}" for i in range(len(names))]).select(
+        *[F.col(f"_c{i}").alias(n) for i, (n, k) in enumerate(zip(names, keep)) if k])
+    if run_id is not None and "MGR_RUN_ID" in df.columns:
+        df = df.withColumn("MGR_RUN_ID", run_id)
+    return df

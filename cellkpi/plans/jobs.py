@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from cellkpi.functions.scalars import (daily_run_id, export_key, run_id, run_uuid)
 from cellkpi.operators.enrich import derive_pk, enrich, with_market_suffix
-from cellkpi.operators.select import latest_date_per_market, latest_hours, restrict_to
-from cellkpi.operators.spec import KpiSpec, aggregate
+from cellkpi.operators.select import latest_date_partitions, latest_hours, restrict_to
+from cellkpi.operators.spec import KpiSpec, aggregate, sql_feature_aggregate
 from cellkpi.sources.counters import split_bad_periods
 from cellkpi.sources.export import export_csv, hour_merge_order
 from cellkpi.sources.store import filter_families, write_store
@@ -72,8 +72,7 @@ def report_daily(store: DataFrame, spec: KpiSpec, *, families=None, run_token: s
                  per: Sequence[str] | None = None) -> DataFrame:
     """Daily roll-up of the newest date of every market (run id '24-<uuid>')."""
     store = filter_families(store, families)
-    ld = latest_date_per_market(store, per=per).withColumnRenamed("latest_date", "pk_date")
-    data = restrict_to(store, ld)
+    data = restrict_to(store, latest_date_partitions(store, per=per))
     return aggregate(data, spec, grain="day", run_id=daily_run_id(_run_uuid(run_token)))
 
 
@@ -94,3 +93,13 @@ def export_report(rep: DataFrame, path: str, *, merge_hours: bool = False) -> st
         keys = [c for c in ("pk_date", "pk_market", "pk_ft") if c in rep.columns]
         return export_csv(rep.drop("export_key", "market_suffix"), path, keys=keys, order=hour_merge_order())
     return export_csv(rep.drop("market_suffix"), path, keys=("export_key",))
+
+
+def report_sql(store: DataFrame, select: str, groupby: str, *, latest_n: int = 3,
+               families: str | Sequence[str] | None = None, run_token: str = "run",
+               per: Sequence[str] | None = None) -> DataFrame:
+    """Same as :func:`report` for a spec kept as SELECT/GROUP BY text."""
+    store = filter_families(store, families)
+    data = restrict_to(store, latest_hours(store, latest_n, per=per))
+    rid = run_id(F.col("pk_hr"), _run_uuid(run_token))
+    return sql_feature_aggregate(data, select, groupby, run_id=rid)

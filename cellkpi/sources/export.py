@@ -15,13 +15,15 @@ def export_csv(df: DataFrame, path: str, *, keys: Sequence[str] = ("export_key",
                order: Sequence = (), mode: str = "overwrite") -> str:
     """Write one CSV (with header) per export key.
 
-    Rows are hash-partitioned by the key so each key is written by one task
-    into one file (the report format); rows of hourly keys merged into a
-    daily/market file are ordered by ``order`` (e.g. newest hour first).
-    Keys without rows produce no directory, so empty reports need no count.
+    ``REBALANCE`` on the key puts each key's rows in one task (one file per
+    key, the report format) while AQE splits an oversized key over several
+    tasks (several part files in that key's folder) instead of funnelling it
+    through one; rows of hourly keys merged into a daily/market file are
+    ordered by ``order`` (e.g. newest hour first) within each file. Keys
+    without rows produce no directory, so empty reports need no count.
     """
     keys = list(keys)
-    out = df.repartition(*keys)
+    out = df.hint("rebalance", *keys)
     if order:
         out = out.sortWithinPartitions(*keys, *order)
     (out.write.mode(mode).option("header", True)

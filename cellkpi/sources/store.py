@@ -20,7 +20,7 @@ CLUSTER_BY = ("pk_market", "pk_hr")
 
 def write_store(df: DataFrame, path: str, *, mode: str = "append",
                 partition_by: Sequence[str] = STORE_PARTITIONS, cluster_by: Sequence[str] = CLUSTER_BY,
-                compression: str = "gzip", max_records_per_file: int = 5_000_000) -> str:
+                compression: str = "zstd", max_records_per_file: int = 5_000_000) -> str:
     """Append (or overwrite) rows into the partitioned store.
 
     ``REBALANCE`` on the partition keys groups each directory's rows into few
