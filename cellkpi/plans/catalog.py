@@ -685,3 +685,74 @@ def kpi_bulk_report(spark, sf):
 FROM ekl GROUP BY HL_DATE, cell, HL_Market, pk_ft, pk_date, pk_market, pk_hr""")
 def kpi_bulk_hourly(spark, sf):
     return finish(aggregate(ekl(spark, sf), KL_SPEC, grain="hour"))
+
+
+# -- more store / export / spec paths
+
+SCAN_HOUR = "07"
+
+
+@q("store_scan_hour", BASE + f"""SELECT event_id, pk_ft, pk_date, pk_market, round(value, 4) AS value FROM ekc
+WHERE pk_hr = '{SCAN_HOUR}'""")
+def store_scan_hour(spark, sf):
+    s = scan_partitions(store(spark, sf), pk_hr=int(SCAN_HOUR))
+    return finish(s.select("event_id", "pk_ft", "pk_date", "pk_market", "value"))
+
+
+@q("export_merged_hours", BASE.rstrip("\n") + ",\n" + IDX_SQL + ",\n" + LATEST_SQL + """
+SELECT pk_date, pk_market, pk_ft, count(*) AS n_rows FROM (
+  SELECT pk_ft, pk_date, pk_market, pk_hr, cell, HL_DATE, HL_Market, HL_Cluster, HL_Area
+  FROM ekc SEMI JOIN lat USING (pk_ft, pk_date, pk_market, pk_hr) GROUP BY ALL)
+GROUP BY pk_date, pk_market, pk_ft""")
+def export_merged_hours(spark, sf):
+    r = report(store(spark, sf), KC_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN)
+    path = export_report(with_export_key(finish(r), dt.cl(spark, sf)), scratch_path(spark, "export-merged"),
+                         merge_hours=True)
+    back = read_export(spark, path)
+    return back.groupBy("pk_date", "pk_market", "pk_ft").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+KC_TEXT_SELECT = ("'unassigned' as MGR_RUN_ID, min(oss) as oss, HL_DATE as PERIOD_START_TIME, cell, "
+                  "sum(value) as value, sum(v_null) as v_null, SUM(IFNULL(v_null,0)) as v_null0, "
+                  "max(value) as value_max, avg(value) as value_avg, sum(cnt) as cnt, HL_DATE as HL_Date_Hour, "
+                  "HL_Market, HL_Cluster, HL_Area")
+KC_TEXT_GROUPBY = "HL_DATE, cell, HL_Market, HL_Cluster, HL_Area"
+
+
+@q("kpi_report_sql_spec", REPORT_SQL)
+def kpi_report_sql_spec(spark, sf):
+    from cellkpi.plans.jobs import report_sql
+    r = report_sql(store(spark, sf), KC_TEXT_SELECT, KC_TEXT_GROUPBY, latest_n=LATEST_N, run_token=RUN_TOKEN)
+    return finish(r)
+
+
+@q("lookup_no_dedup", _w(dt.KC_SQL, dt.CL_SQL, dt.SL_SQL, """u AS (
+  SELECT CELL, OSS, MARKET, CLUSTER, AREA FROM cl
+  UNION ALL SELECT CELL, OSS, MARKET, CLUSTER, 'SUPPLIER' AS AREA FROM sl)""") + """
+SELECT k.cell, IFNULL(u.MARKET, 'unassigned') AS HL_Market, count(*) AS n_rows, round(sum(k.value), 4) AS value
+FROM kc k LEFT JOIN u ON upper(k.oss) = upper(u.OSS) AND k.cell = u.CELL
+GROUP BY k.cell, IFNULL(u.MARKET, 'unassigned')""")
+def lookup_no_dedup(spark, sf):
+    e = enrich(dt.kc(spark, sf), _lookup_two_sources(spark, sf), oss_col="oss", cell_col="cell",
+               lookup_cell_col="CELL", attrs={"HL_Market": "MARKET"}, dedup_lookup=False)
+    return finish(e.groupBy("cell", "HL_Market").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("value")))
+
+
+@q("quarantine_bad_periods", _w(dt.KC_SQL) + """SELECT
+  CASE WHEN v_str = 'x' THEN 'quarantine' ELSE 'store' END AS route, pk_ft, count(*) AS n_rows
+FROM kc GROUP BY 1, 2""")
+def quarantine_bad_periods(spark, sf):
+    from cellkpi.sources.counters import split_bad_periods
+    k = dt.kc_layout(dt.kc(spark, sf), "ericsson", "lte")
+    text = F.when(F.col("v_str") == "x", F.lit("not a time")).otherwise(
+        F.date_format("PERIOD_START_TIME", "yyyy-MM-dd HH:mm"))
+    rows = k.select("event_id", "pk_ft", text.alias("PERIOD_START_TIME"), "value")
+    p = scratch_path(spark, "dirty-csv")
+    rows.write.mode("overwrite").option("header", True).csv(p)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("pk_ft", T.StringType()),
+                           T.StructField("PERIOD_START_TIME", T.TimestampType()),
+                           T.StructField("value", T.DoubleType())])
+    good, bad = split_bad_periods(read_counters(spark, p, schema))
+    return (good.select(F.lit("store").alias("route"), "pk_ft")
+            .unionByName(bad.select(F.lit("quarantine").alias("route"), "pk_ft"))
+            .groupBy("route", "pk_ft").agg(F.count(F.lit(1)).alias("n_rows")))
