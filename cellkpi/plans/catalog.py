@@ -756,3 +756,7 @@ def quarantine_bad_periods(spark, sf):
     return (good.select(F.lit("store").alias("route"), "pk_ft")
             .unionByName(bad.select(F.lit("quarantine").alias("route"), "pk_ft"))
             .groupBy("route", "pk_ft").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+# -- vendor family specs (E1-E4, N7, N9, N14, M11) register themselves here
+from cellkpi.plans import family_catalog  # noqa: E402,F401
