@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellkpi.functions.scalars import UNASSIGNED, oss_key, pk_date_of, pk_hr_of, hour_text
@@ -36,8 +36,9 @@ def prepare_lookup(lookup: DataFrame, cell_col: str, attrs: Mapping[str, str], *
     """Project the lookup to (oss key, cell key, attributes).
 
     With ``dedup`` one row per key survives: the smallest attribute tuple, a
-    deterministic choice computed as a partial/final hash aggregate (no sort,
-    no window) so duplicated keys never multiply counter rows.
+    deterministic choice computed as a partial/final aggregate (no window, so
+    a key repeated many times collapses map-side) so duplicated keys never
+    multiply counter rows.
     """
     cols = list(dict.fromkeys(attrs.values()))
     lk = lookup.select(oss_key(oss_col).alias("_lkey_oss"), F.col(cell_col).alias("_lkey_cell"),
@@ -110,7 +111,21 @@ def with_market_suffix(df: DataFrame, lookup: DataFrame, market_col: str = "pk_m
     return out.withColumn("market_suffix", F.coalesce(F.col("_ms_suffix"), F.lit(default))).drop("_ms_market", "_ms_suffix")
 
 
-def dedup_rows(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """Keep one row per key (first by ``order``) — used for re-delivered files."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+def dedup_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, keep: str = "last") -> DataFrame:
+    """One row per key — re-delivered records: the row with the largest
+    (``keep='last'``) or smallest (``'first'``) ``order`` tuple, ties broken
+    by the remaining columns, so the choice is deterministic.
+
+    Written as a max/min over a struct, i.e. a partial + final aggregate:
+    the copies of a record collapse inside each map task before the shuffle,
+    so a record delivered a million times costs one row per task, never a
+    whole group in one task (a window would sort every copy in one task).
+    """
+    if keep not in ("first", "last"):
+        raise ValueError("keep must be 'first' or 'last'")
+    keys, order = list(keys), list(order)
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    packed = F.struct(*[F.col(f"`{c}`") for c in order + rest])
+    pick = (F.max if keep == "last" else F.min)(packed).alias("_row")
+    out = df.groupBy(*keys).agg(pick)
+    return out.select(*[F.col(f"`{c}`") if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])

@@ -758,5 +758,22 @@ def quarantine_bad_periods(spark, sf):
             .groupBy("route", "pk_ft").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+@q("dedup_redelivered", _w(dt.KC_SQL) + """SELECT pk_ft, count(*) AS n_rows,
+  round(sum(CASE WHEN event_id % 5 = 0 THEN value * 2 ELSE value END), 4) AS value,
+  CAST(2 * count(*) AS BIGINT) AS deliveries
+FROM kc GROUP BY pk_ft""")
+def dedup_redelivered(spark, sf):
+    """Q12: the whole table delivered twice, the second delivery with corrected
+    values; one row per record survives (the last delivery)."""
+    from cellkpi.operators.enrich import dedup_rows
+    k = dt.kc(spark, sf).select("event_id", "pk_ft", "cell", "PERIOD_START_TIME", "value")
+    fixed = F.when(F.col("event_id") % 5 == 0, F.col("value") * 2).otherwise(F.col("value"))
+    first = k.withColumn("_delivery", F.lit(1))
+    again = k.withColumn("value", fixed).withColumn("_delivery", F.lit(2))
+    d = dedup_rows(first.unionByName(again), ["pk_ft", "event_id"], ["_delivery"], keep="last")
+    return finish(d.groupBy("pk_ft").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("value"),
+                                         F.sum("_delivery").cast("bigint").alias("deliveries")))
+
+
 # -- vendor family specs (E1-E4, N7, N9, N14, M11) register themselves here
 from cellkpi.plans import family_catalog  # noqa: E402,F401

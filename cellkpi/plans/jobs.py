@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellkpi.functions.scalars import (daily_run_id, export_key, run_id, run_uuid)
-from cellkpi.operators.enrich import derive_pk, enrich, with_market_suffix
+from cellkpi.operators.enrich import dedup_rows, derive_pk, enrich, with_market_suffix
 from cellkpi.operators.select import latest_date_partitions, latest_hours, restrict_to
 from cellkpi.operators.spec import KpiSpec, aggregate, sql_feature_aggregate
 from cellkpi.sources.counters import split_bad_periods
@@ -35,11 +35,16 @@ def enrich_with_pk(counters: DataFrame, lookup: DataFrame, *, oss_col: str, cell
 
 
 def ingest(counters: DataFrame, lookup: DataFrame, store_path: str, *, quarantine_path: str | None = None,
-           mode: str = "append", period_col: str = "PERIOD_START_TIME", **enrich_kw) -> DataFrame:
+           mode: str = "append", period_col: str = "PERIOD_START_TIME",
+           dedup_keys: Sequence[str] = (), dedup_order: Sequence[str] = (), **enrich_kw) -> DataFrame:
     """Enrich, key and append counters to the store; bad periods go to quarantine.
 
+    ``dedup_keys`` (e.g. family, OSS, cell, period) keeps one row per record
+    when a batch carries re-delivered files: the last by ``dedup_order``.
     Returns the enriched (good) rows as a lazy DataFrame.
     """
+    if dedup_keys:
+        counters = dedup_rows(counters, dedup_keys, dedup_order, keep="last")
     df = enrich_with_pk(counters, lookup, **enrich_kw)
     good, bad = split_bad_periods(df, period_col)
     write_store(good, store_path, mode=mode)

@@ -69,3 +69,25 @@ def test_market_suffix_default_null(spark):
     rows = spark.createDataFrame([("NEW YORK",), ("MARS",), ("NO SUFFIX",)], "pk_market string")
     got = {r.pk_market: r.market_suffix for r in with_market_suffix(rows, lk).collect()}
     assert got == {"NEW YORK": "nyc", "MARS": "null", "NO SUFFIX": "null"}
+
+
+def test_dedup_rows_hot_key_keeps_last_delivery(spark):
+    from cellkpi.operators.enrich import dedup_rows
+    # one record re-delivered 3000 times (a hot key) plus two ordinary records
+    rows = [("ft", 1, d, float(d)) for d in range(3000)] + [("ft", 2, 0, 5.0), ("ft", 3, 1, 7.0)]
+    df = spark.createDataFrame(rows, "pk_ft string, rec long, delivery int, value double").repartition(8)
+    last = {r.rec: r for r in dedup_rows(df, ["pk_ft", "rec"], ["delivery"]).collect()}
+    assert len(last) == 3 and last[1].delivery == 2999 and last[1].value == 2999.0 and last[2].value == 5.0
+    first = {r.rec: r for r in dedup_rows(df, ["pk_ft", "rec"], ["delivery"], keep="first").collect()}
+    assert first[1].delivery == 0 and first[1].value == 0.0
+    assert dedup_rows(df, ["pk_ft", "rec"], ["delivery"]).columns == df.columns
+    plan = dedup_rows(df, ["pk_ft", "rec"], ["delivery"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_max" in plan      # copies collapse map-side
+
+
+def test_dedup_rows_ties_are_deterministic(spark):
+    from cellkpi.operators.enrich import dedup_rows
+    rows = [("a", 1, 9.0), ("a", 1, 3.0), ("b", 1, None)]
+    df = spark.createDataFrame(rows, "k string, delivery int, value double")
+    got = {r.k: r.value for r in dedup_rows(df, ["k"], ["delivery"]).collect()}
+    assert got == {"a": 9.0, "b": None}
