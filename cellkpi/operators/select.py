@@ -23,7 +23,9 @@ def pk_cols(df: DataFrame) -> list[str]:
 
 
 def partition_index(store: DataFrame) -> DataFrame:
-    """Distinct partition keys; reads no data columns (empty ReadSchema)."""
+    """Distinct partition keys of the store — or of its index table
+    (``sources.store.read_index``), which every function here accepts in
+    place of the store: they only read the partition-key columns."""
     return store.select(*pk_cols(store)).distinct()
 
 
@@ -123,9 +125,10 @@ def top_date_partitions(store: DataFrame, k: int = 2) -> DataFrame:
     return d.withColumn("date_rank", F.dense_rank().over(w)).where(F.col("date_rank") <= k)
 
 
-def rows_in_latest_dates(store: DataFrame, k: int = 2) -> DataFrame:
-    """Store rows of the top-k dates (inner join to the top-k table as a semi join)."""
-    return restrict_to(store, top_date_partitions(store, k))
+def rows_in_latest_dates(store: DataFrame, k: int = 2, *, index: DataFrame | None = None) -> DataFrame:
+    """Store rows of the top-k dates (inner join to the top-k table as a semi join);
+    dates are chosen from ``index`` (the store's index table) when given."""
+    return restrict_to(store, top_date_partitions(index if index is not None else store, k))
 
 
 def fresh_markets(store: DataFrame, as_of: str, within_days: int = 3, *,

@@ -29,7 +29,8 @@ from cellkpi.sources.counters import (known_families, quarantine_unknown, read_c
 from cellkpi.sources.export import read_export
 from cellkpi.sources.lookup import build_lookup, lookup_scan
 from cellkpi.sources.schema import schema_from_fields, typed_from_strings
-from cellkpi.sources.store import filter_families, read_store, scan_partitions, write_store
+from cellkpi.sources.store import (filter_families, read_index, read_store, rebuild_index,
+                                   scan_partitions, write_store)
 
 RUN_TOKEN = "run-0001"          # report run token (deterministic run ids)
 AS_OF = "2024-02-01"            # freshness gate reference date
@@ -65,14 +66,24 @@ def ekc(spark: SparkSession, sf: str) -> DataFrame:
     return derive_pk(e, date_col="HL_DATE", hour_col="PERIOD_START_TIME")
 
 
-def store(spark: SparkSession, sf: str) -> DataFrame:
-    """The counter store for ``sf`` (ingested once per application)."""
+def store_path(spark: SparkSession, sf: str) -> str:
+    """Path of the counter store for ``sf`` (ingested once per application,
+    with its partition index)."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _STORES:
         path = scratch_path(spark, "store")
         write_store(ekc(spark, sf), path, mode="overwrite")
         _STORES[key] = path
-    return read_store(spark, _STORES[key])
+    return _STORES[key]
+
+
+def store(spark: SparkSession, sf: str) -> DataFrame:
+    return read_store(spark, store_path(spark, sf))
+
+
+def index(spark: SparkSession, sf: str) -> DataFrame:
+    """The store's partition index table (what reports select partitions from)."""
+    return read_index(spark, store_path(spark, sf))
 
 
 def ekl(spark: SparkSession, sf: str) -> DataFrame:
@@ -424,8 +435,24 @@ def store_scan_pruned_q(spark, sf):
 
 @q("partition_index", BASE + "SELECT DISTINCT pk_ft, pk_date, pk_market, pk_hr FROM ekc")
 def partition_index_q(spark, sf):
-    return sel.ordered_index(store(spark, sf))
+    return sel.ordered_index(index(spark, sf))
+
+
+@q("partition_row_counts", BASE + """SELECT pk_ft, pk_date, pk_market, pk_hr, count(*) AS n_rows
+FROM ekc GROUP BY pk_ft, pk_date, pk_market, pk_hr""")
+def partition_row_counts(spark, sf):
+    """The index table as written by the ingest: keys and row counts."""
+    return index(spark, sf).select("pk_ft", "pk_date", "pk_market", "pk_hr", "n_rows")
+
 
+@q("partition_index_rebuilt", BASE + """SELECT pk_ft, pk_date, pk_market, pk_hr, count(*) AS n_rows
+FROM ekc GROUP BY pk_ft, pk_date, pk_market, pk_hr""")
+def partition_index_rebuilt(spark, sf):
+    """Store written without an index, index rebuilt from one scan (repair path)."""
+    path = scratch_path(spark, "store-noindex")
+    write_store(ekc(spark, sf), path, mode="overwrite", with_index=False)
+    rebuild_index(spark, path)
+    return read_index(spark, path).select("pk_ft", "pk_date", "pk_market", "pk_hr", "n_rows")
 
 @q("filter_families", BASE + """SELECT pk_ft, pk_market, count(*) AS n_rows, round(sum(value), 4) AS value
 FROM ekc WHERE pk_ft IN ('click', 'view') GROUP BY pk_ft, pk_market""")
@@ -557,7 +584,7 @@ def vector_counter_sum(spark, sf):
 @q("latest_n_hours", BASE.rstrip("\n") + ",\n" + IDX_SQL + ",\n" + LATEST_SQL
    + "\nSELECT pk_ft, pk_date, pk_market, pk_hr, hour_rank FROM lat")
 def latest_n_hours(spark, sf):
-    return sel.latest_hours(store(spark, sf), LATEST_N)
+    return sel.latest_hours(index(spark, sf), LATEST_N)
 
 
 @q("latest_n_hours_latest_day", BASE.rstrip("\n") + ",\n" + IDX_SQL + f""",
@@ -566,26 +593,27 @@ SELECT pk_ft, pk_date, pk_market, pk_hr,
   CAST(row_number() OVER (PARTITION BY pk_ft, pk_market ORDER BY pk_hr DESC) AS INTEGER) AS hour_rank
 FROM md WHERE pk_date = maxd QUALIFY hour_rank <= {LATEST_N}""")
 def latest_n_hours_latest_day(spark, sf):
-    return sel.latest_hours_latest_day(store(spark, sf), LATEST_N)
+    return sel.latest_hours_latest_day(index(spark, sf), LATEST_N)
 
 
 @q("latest_date_per_market", BASE + "SELECT pk_ft, pk_market, max(pk_date) AS latest_date FROM ekc "
    "GROUP BY pk_ft, pk_market")
 def latest_date_per_market(spark, sf):
-    return sel.latest_date_per_market(store(spark, sf))
+    return sel.latest_date_per_market(index(spark, sf))
 
 
 @q("max_hour_across_families", BASE + "SELECT pk_date, pk_market, max(pk_hr) AS max_hr FROM ekc "
    "GROUP BY pk_date, pk_market")
 def max_hour_across_families(spark, sf):
-    return sel.max_hour_across_families(store(spark, sf))
+    return sel.max_hour_across_families(index(spark, sf))
 
 
 @q("latest_dates_semi", BASE.rstrip("\n") + """,
 top AS (SELECT DISTINCT pk_date FROM ekc ORDER BY pk_date DESC LIMIT 2)
 SELECT DISTINCT t1.pk_date, t1.pk_market, t1.pk_hr FROM ekc t1 JOIN top t2 ON t1.pk_date = t2.pk_date""")
 def latest_dates_semi(spark, sf):
-    return sel.rows_in_latest_dates(store(spark, sf), 2).select("pk_date", "pk_market", "pk_hr").distinct()
+    rows = sel.rows_in_latest_dates(store(spark, sf), 2, index=index(spark, sf))
+    return rows.select("pk_date", "pk_market", "pk_hr").distinct()
 
 
 # -- report, run id, export
@@ -597,7 +625,8 @@ sel AS (SELECT e.* FROM ekc e SEMI JOIN lat USING (pk_ft, pk_date, pk_market, pk
 
 @q("kpi_report", REPORT_SQL)
 def kpi_report(spark, sf):
-    return finish(report(store(spark, sf), KC_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN))
+    return finish(report(store(spark, sf), KC_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN,
+                         index=index(spark, sf)))
 
 
 @q("kpi_report_daily", BASE.rstrip("\n") + """,
@@ -605,13 +634,14 @@ ld AS (SELECT pk_ft, pk_market, max(pk_date) AS pk_date FROM ekc GROUP BY pk_ft,
 sel AS (SELECT e.* FROM ekc e SEMI JOIN ld USING (pk_ft, pk_market, pk_date))
 """ + _kc_spec_sql("day", "sel", f"'24-' || {_uuid_sql('pk_market')}"))
 def kpi_report_daily(spark, sf):
-    return finish(report_daily(store(spark, sf), KC_SPEC, run_token=RUN_TOKEN))
+    return finish(report_daily(store(spark, sf), KC_SPEC, run_token=RUN_TOKEN, index=index(spark, sf)))
 
 
 @q("stamp_run_id", BASE.rstrip("\n") + ",\n" + IDX_SQL + ",\n" + LATEST_SQL
    + f"\nSELECT DISTINCT pk_ft, pk_market, pk_hr, pk_hr || '-' || {_uuid_sql('pk_market')} AS MGR_RUN_ID FROM lat")
 def stamp_run_id(spark, sf):
-    r = report(store(spark, sf), KC_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN)
+    r = report(store(spark, sf), KC_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN,
+               index=index(spark, sf))
     return r.select("pk_ft", "pk_market", "pk_hr", "MGR_RUN_ID").distinct()
 
 
@@ -626,7 +656,8 @@ keys AS (SELECT l.pk_ft, l.pk_date, l.pk_market, l.pk_hr, IFNULL(ms.sfx, 'null')
 
 @q("export_key", _EXPORT_KEY_SQL + "SELECT * FROM keys")
 def export_key_q(spark, sf):
-    r = report(store(spark, sf), KC_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN)
+    r = report(store(spark, sf), KC_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN,
+               index=index(spark, sf))
     k = with_export_key(r, dt.cl(spark, sf))
     return k.select("pk_ft", "pk_date", "pk_market", "pk_hr", "market_suffix", "export_key").distinct()
 
@@ -638,7 +669,8 @@ def export_key_q(spark, sf):
     GROUP BY ALL) GROUP BY ALL)
 SELECT k.export_key, r.n AS n_rows FROM keys k JOIN rows r USING (pk_ft, pk_date, pk_market, pk_hr)""")
 def export_csv_q(spark, sf):
-    r = report(store(spark, sf), KC_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN)
+    r = report(store(spark, sf), KC_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN,
+               index=index(spark, sf))
     path = export_report(with_export_key(finish(r), dt.cl(spark, sf)), scratch_path(spark, "export"))
     back = read_export(spark, path)
     return back.groupBy("export_key").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -649,7 +681,7 @@ def export_csv_q(spark, sf):
   date_diff('day', CAST(max(pk_date) AS DATE), DATE '{AS_OF}') < {FRESH_DAYS} AS is_fresh
 FROM ekc GROUP BY pk_ft, pk_market""")
 def freshness_gate(spark, sf):
-    return sel.fresh_markets(store(spark, sf), AS_OF, FRESH_DAYS)
+    return sel.fresh_markets(index(spark, sf), AS_OF, FRESH_DAYS)
 
 
 # -- late data, batch equivalent of the streaming hourly aggregate (R2)
@@ -705,7 +737,8 @@ SELECT pk_date, pk_market, pk_ft, count(*) AS n_rows FROM (
   FROM ekc SEMI JOIN lat USING (pk_ft, pk_date, pk_market, pk_hr) GROUP BY ALL)
 GROUP BY pk_date, pk_market, pk_ft""")
 def export_merged_hours(spark, sf):
-    r = report(store(spark, sf), KC_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN)
+    r = report(store(spark, sf), KC_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN,
+               index=index(spark, sf))
     path = export_report(with_export_key(finish(r), dt.cl(spark, sf)), scratch_path(spark, "export-merged"),
                          merge_hours=True)
     back = read_export(spark, path)
@@ -722,7 +755,8 @@ KC_TEXT_GROUPBY = "HL_DATE, cell, HL_Market, HL_Cluster, HL_Area"
 @q("kpi_report_sql_spec", REPORT_SQL)
 def kpi_report_sql_spec(spark, sf):
     from cellkpi.plans.jobs import report_sql
-    r = report_sql(store(spark, sf), KC_TEXT_SELECT, KC_TEXT_GROUPBY, latest_n=LATEST_N, run_token=RUN_TOKEN)
+    r = report_sql(store(spark, sf), KC_TEXT_SELECT, KC_TEXT_GROUPBY, latest_n=LATEST_N, run_token=RUN_TOKEN,
+                   index=index(spark, sf))
     return finish(r)
 
 

@@ -57,27 +57,34 @@ def _run_uuid(run_token: str, market_col: str = "pk_market") -> Column:
     return run_uuid(run_token, F.col(market_col))
 
 
+def _selection_source(store: DataFrame, index: DataFrame | None, families) -> DataFrame:
+    """Where partition keys are chosen from: the store's index table when
+    given (``sources.store.read_index``), else the store itself."""
+    return filter_families(index if index is not None else store, families)
+
+
 def report(store: DataFrame, spec: KpiSpec, *, latest_n: int = 3, grain: str = "hour",
            families: str | Sequence[str] | None = None, run_token: str = "run",
-           per: Sequence[str] | None = None) -> DataFrame:
+           per: Sequence[str] | None = None, index: DataFrame | None = None) -> DataFrame:
     """KPI aggregate of the newest ``latest_n`` hours of every market (per family).
 
-    Partition choice is a window over the partition index; the store is
-    restricted by a broadcast semi join (dynamic partition pruning), then
-    one groupBy over all selected partitions at once.
+    Partition choice is a window over the partition index (the index table
+    when given, else the store's distinct keys); the store is restricted by
+    a broadcast semi join (dynamic partition pruning), then one groupBy over
+    all selected partitions at once.
     """
+    sel = latest_hours(_selection_source(store, index, families), latest_n, per=per)
     store = filter_families(store, families)
-    sel = latest_hours(store, latest_n, per=per)
     data = restrict_to(store, sel)
     rid = run_id(F.col("pk_hr"), _run_uuid(run_token))
     return aggregate(data, spec, grain=grain, run_id=rid)
 
 
 def report_daily(store: DataFrame, spec: KpiSpec, *, families=None, run_token: str = "run",
-                 per: Sequence[str] | None = None) -> DataFrame:
+                 per: Sequence[str] | None = None, index: DataFrame | None = None) -> DataFrame:
     """Daily roll-up of the newest date of every market (run id '24-<uuid>')."""
-    store = filter_families(store, families)
-    data = restrict_to(store, latest_date_partitions(store, per=per))
+    sel = latest_date_partitions(_selection_source(store, index, families), per=per)
+    data = restrict_to(filter_families(store, families), sel)
     return aggregate(data, spec, grain="day", run_id=daily_run_id(_run_uuid(run_token)))
 
 
@@ -102,9 +109,9 @@ def export_report(rep: DataFrame, path: str, *, merge_hours: bool = False) -> st
 
 def report_sql(store: DataFrame, select: str, groupby: str, *, latest_n: int = 3,
                families: str | Sequence[str] | None = None, run_token: str = "run",
-               per: Sequence[str] | None = None) -> DataFrame:
+               per: Sequence[str] | None = None, index: DataFrame | None = None) -> DataFrame:
     """Same as :func:`report` for a spec kept as SELECT/GROUP BY text."""
-    store = filter_families(store, families)
-    data = restrict_to(store, latest_hours(store, latest_n, per=per))
+    sel = latest_hours(_selection_source(store, index, families), latest_n, per=per)
+    data = restrict_to(filter_families(store, families), sel)
     rid = run_id(F.col("pk_hr"), _run_uuid(run_token))
     return sql_feature_aggregate(data, select, groupby, run_id=rid)

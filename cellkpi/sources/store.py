@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,10 +18,24 @@ STORE_PARTITIONS = ("pk_ft", "pk_date")
 REFERENCE_LAYOUT = ("pk_ft", "pk_date", "pk_market", "pk_hr")
 CLUSTER_BY = ("pk_market", "pk_hr")
 
+# Partition index: one row per (family, date, market, hour) with its row
+# count, kept next to the store. The leading underscore hides it from reads
+# of the store path. Report selection reads this table instead of scanning
+# the store: a scan, even of two columns, is split by file size and would
+# run one task per ~128 MB of the whole store (~800k tasks at 100 TB) every
+# report; the index is a few MB.
+INDEX_DIR = "_index"
+PK = ("pk_ft", "pk_date", "pk_market", "pk_hr")
+
+
+def index_path(store_path: str) -> str:
+    return f"{store_path.rstrip('/')}/{INDEX_DIR}"
+
 
 def write_store(df: DataFrame, path: str, *, mode: str = "append",
                 partition_by: Sequence[str] = STORE_PARTITIONS, cluster_by: Sequence[str] = CLUSTER_BY,
-                compression: str = "zstd", max_records_per_file: int = 5_000_000) -> str:
+                compression: str = "zstd", max_records_per_file: int = 5_000_000,
+                with_index: bool = True) -> str:
     """Append (or overwrite) rows into the partitioned store.
 
     ``REBALANCE`` on the partition keys groups each directory's rows into few
@@ -28,15 +43,90 @@ def write_store(df: DataFrame, path: str, *, mode: str = "append",
     tasks instead of one; rows are then sorted by ``cluster_by`` inside each
     task so files carry tight min/max stats; ``maxRecordsPerFile`` bounds
     file size.
+
+    ``with_index`` also maintains the partition index: the batch is persisted
+    (memory, spilling to disk; a lost executor's blocks are recomputed from
+    lineage) so the index aggregate reuses it instead of reading the input a
+    second time. The index is written with the store's mode, partitioned by
+    (family, date): an append adds the batch's keys, a dynamic overwrite
+    replaces exactly the family-days the store write replaced.
     """
     cols = [c for c in partition_by if c in df.columns]
     sort = [c for c in (*cols, *cluster_by) if c in df.columns]
-    (df.hint("rebalance", *cols).sortWithinPartitions(*sort).write.mode(mode)
-       .option("compression", compression).option("maxRecordsPerFile", max_records_per_file)
-       .partitionBy(*cols).parquet(path))
+    index = with_index and all(c in df.columns for c in PK)
+    if index:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        (df.hint("rebalance", *cols).sortWithinPartitions(*sort).write.mode(mode)
+           .option("compression", compression).option("maxRecordsPerFile", max_records_per_file)
+           .partitionBy(*cols).parquet(path))
+        if index:
+            write_index(df, path, mode=mode)
+    finally:
+        if index:
+            df.unpersist()
     return path
 
 
+def write_index(rows: DataFrame, store_path: str, *, mode: str = "append",
+                partition_by: Sequence[str] = ("pk_ft", "pk_date"), overwrite_mode: str | None = None) -> str:
+    """Partition keys and row counts of ``rows`` into the store's index.
+
+    One partial/final aggregate: its output has one row per partition key,
+    bounded by families x dates x markets x 24, not by the data. Extra
+    ``partition_by`` columns (e.g. a stream's batch id) become part of the
+    key, so a retried batch overwrites its own index rows.
+    """
+    keys = list(dict.fromkeys([*PK, *partition_by]))
+    idx = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    w = idx.repartition(*partition_by).write.mode(mode)
+    if overwrite_mode:
+        w = w.option("partitionOverwriteMode", overwrite_mode)
+    w.partitionBy(*partition_by).parquet(index_path(store_path))
+    return index_path(store_path)
+
+
+def read_index(spark: SparkSession, store_path: str) -> DataFrame:
+    """The store's partition index: distinct keys with their total row count.
+
+    Appends may list a key more than once (late rows for an old hour); the
+    counts are summed. Keys are text, as from :func:`read_store`.
+    """
+    idx = _normalise(spark.read.parquet(index_path(store_path)))
+    return idx.groupBy(*PK).agg(F.sum("n_rows").alias("n_rows"))
+
+
+def rebuild_index(spark: SparkSession, store_path: str) -> str:
+    """Recompute the whole index from the store (repair path; one full scan of
+    the partition-key columns)."""
+    st = read_store(spark, store_path)
+    write_index(st.select(*PK), store_path, mode="overwrite", overwrite_mode="static")
+    return index_path(store_path)
+
+
+def compact_index(spark: SparkSession, store_path: str, *, since: str | None = None) -> str:
+    """Rewrite the index as one file per (family, date).
+
+    Every appended batch leaves one small file per family-day it touched;
+    compaction merges them (summing the counts per key). ``since``
+    ('yyyy-MM-dd') restricts the rewrite to the recent days that still
+    receive data. The merged rows are checkpointed first (reliable, under
+    ``spark.checkpoint.dir``): a plan may not overwrite the files it reads,
+    and the checkpoint cuts that lineage. Only the rewritten family-days are
+    replaced (dynamic overwrite).
+    """
+    from cellkpi.session import checkpoint_root
+
+    checkpoint_root(spark)
+    idx = read_index(spark, store_path)
+    if since is not None:
+        idx = idx.where(F.col("pk_date") >= since)
+    idx = idx.repartition("pk_ft", "pk_date").checkpoint(eager=True)
+    (idx.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("pk_ft", "pk_date").parquet(index_path(store_path)))
+    return index_path(store_path)
+
+
 def read_store(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read the store; partition keys come back as text ('2024-01-05', '07').
 
@@ -48,7 +138,10 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType | None = Non
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
-    df = r.parquet(path)
+    return _normalise(r.parquet(path))
+
+
+def _normalise(df: DataFrame) -> DataFrame:
     dt = dict(df.dtypes)
     fixes = {}
     if dt.get("pk_date") == "date":

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from cellkpi.plans.jobs import enrich_with_pk
 from cellkpi.sources.counters import (ERICSSON_SEP, PERIOD_TS_FORMAT, route_file_type,
                                       split_bad_periods)
+from cellkpi.sources.store import write_index
 
 STREAM_LAYOUT = ("pk_ft", "pk_date", "pk_batch")
 
@@ -35,11 +37,17 @@ def counter_stream(spark: SparkSession, source_dir: str, schema: T.StructType, *
 
 
 def write_batch(df: DataFrame, store_path: str, batch_id: int, quarantine_path: str | None = None) -> None:
-    """Idempotent batch write: dynamic overwrite of this batch's partitions."""
+    """Idempotent batch write: dynamic overwrite of this batch's partitions
+    (store and partition index alike, both keyed by ``pk_batch``)."""
     good, bad = split_bad_periods(df)
-    (good.withColumn("pk_batch", F.lit(batch_id)).hint("rebalance", "pk_ft", "pk_date")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("compression", "gzip").partitionBy(*STREAM_LAYOUT).parquet(store_path))
+    good = good.withColumn("pk_batch", F.lit(batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        (good.hint("rebalance", "pk_ft", "pk_date")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .option("compression", "gzip").partitionBy(*STREAM_LAYOUT).parquet(store_path))
+        write_index(good, store_path, mode="overwrite", partition_by=STREAM_LAYOUT, overwrite_mode="dynamic")
+    finally:
+        good.unpersist()
     if quarantine_path is not None:
         (bad.withColumn("pk_batch", F.lit(batch_id)).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy("pk_batch").parquet(quarantine_path))

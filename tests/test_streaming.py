@@ -5,7 +5,7 @@ import shutil
 
 from pyspark.sql import functions as F
 
-from cellkpi.sources.store import read_store
+from cellkpi.sources.store import read_index, read_store
 from cellkpi.streaming.hourly import hourly_window_agg, hourly_window_stream
 from cellkpi.streaming.landing import land
 from tests.fixtures import CELL_AVAIL, lookup_df, schema, write_delimited
@@ -40,6 +40,10 @@ def test_landing_exactly_once_and_batch_equivalence(spark, tmp):
     assert st.count() == 3
     assert {r.pk_ft for r in st.select("pk_ft").distinct().collect()} == {"lte_cell_avail"}
     assert st.where("HL_Market = 'NEW YORK'").count() == 3
+    # the partition index written batch by batch matches the store
+    idx = {(r.pk_ft, r.pk_date, r.pk_market, r.pk_hr): r.n_rows for r in read_index(spark, store).collect()}
+    assert idx == {("lte_cell_avail", "2024-01-05", "NEW YORK", "10"): 2,
+                   ("lte_cell_avail", "2024-01-05", "NEW YORK", "11"): 1}
 
 
 def test_hourly_window_batch_and_stream_agree(spark, tmp):
