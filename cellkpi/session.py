@@ -19,6 +19,20 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Sizing for a large cluster (applied when spark-submit picks the master).
+# Shuffles start wide and AQE coalesces them to ~128 MB partitions, so a
+# whole-store aggregate never puts hundreds of GB in one reduce task while a
+# three-hour report still ends up with few partitions; REBALANCE writes split
+# at the same advisory size; scans read 256 MB splits (counter rows are wide,
+# projections narrow). The cluster's own settings (spark-defaults, --conf) win.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.5",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+}
+
 
 def get_session(master: str | None = None, app: str = "cellkpi",
                 shuffle_partitions: int | None = None,
@@ -37,6 +51,11 @@ def get_session(master: str | None = None, app: str = "cellkpi",
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if not master:
+        given = spark.sparkContext.getConf()
+        for k, v in CLUSTER_CONF.items():
+            if not given.contains(k) and k not in (conf or {}):
+                spark.conf.set(k, v)          # only where the cluster set nothing
     return spark
 
 
