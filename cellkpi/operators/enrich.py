@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellkpi.functions.scalars import UNASSIGNED, oss_key, pk_date_of, pk_hr_of, hour_text
-from cellkpi.operators.joins import MAX_BROADCAST_ROWS, small_side
+from cellkpi.operators.joins import MAX_BROADCAST_ROWS, composite_key, is_small, small_side
 
 # Lookup attributes appended per vendor/technology: output column -> lookup column.
 ERIC_LTE_ATTRS = {"HL_Market": "MARKET", "HL_Cluster": "CLUSTER", "HL_Area": "AREA"}
@@ -57,13 +57,24 @@ def enrich(counters: DataFrame, lookup: DataFrame, *, oss_col: str, cell_col: st
     ON UPPER(k.oss)=UPPER(l.OSS) AND k.cell=l.cell``.
 
     Unmatched rows survive with 'unassigned'; a NULL OSS never matches. The
-    lookup (one row per cell) is broadcast only below ``broadcast_rows``;
-    larger lookups use a shuffled join and AQE's skew splitting.
+    lookup (one row per cell) is broadcast only when its counted size is at
+    most ``broadcast_rows``. A larger lookup is joined by shuffle on one
+    composite key: the dedup aggregate already hash-partitions the lookup by
+    (oss, cell), and joining on those columns would reuse that exchange —
+    which leaves AQE no shuffle to split on the lookup side, so a hot cell
+    (a third of all counter rows) would stay in one task. With the composite
+    key the join gets its own exchanges and AQE's skew join splits the hot
+    partition of the counters (replicating the lookup's matching partition).
     """
     drop = {d.lower() for d in drop_cols}
     k = counters.drop(*[c for c in counters.columns if c.lower() in drop])
-    lk = small_side(prepare_lookup(lookup, lookup_cell_col, attrs, dedup=dedup_lookup), broadcast_rows)
-    cond = (oss_key(k[oss_col]) == lk["_lkey_oss"]) & (k[cell_col] == lk["_lkey_cell"])
+    lk = prepare_lookup(lookup, lookup_cell_col, attrs, dedup=dedup_lookup)
+    if is_small(lk, broadcast_rows):
+        lk = F.broadcast(lk)
+        cond = (oss_key(k[oss_col]) == lk["_lkey_oss"]) & (k[cell_col] == lk["_lkey_cell"])
+    else:
+        lk = lk.withColumn("_lkey", composite_key(F.col("_lkey_oss"), F.col("_lkey_cell")))
+        cond = composite_key(oss_key(k[oss_col]), k[cell_col]) == lk["_lkey"]
     out_cols = [k[c] for c in k.columns] + [
         F.coalesce(lk[f"_lk_{src}"], F.lit(UNASSIGNED)).alias(name) for name, src in attrs.items()]
     return k.join(lk, cond, "left").select(*out_cols)

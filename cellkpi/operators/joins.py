@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Largest dimension side (rows) we hint as broadcast. One row per cell of a
@@ -11,6 +11,21 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 5_000_000
 
 
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Exact size check (row count of the already pruned, deduplicated side)."""
+    return df.count() <= max_rows
+
+
+def composite_key(*parts) -> Column:
+    """One text key for a multi-column equi-join: each part but the last is
+    length-prefixed, so distinct tuples never collide; NULL if any part is
+    NULL (a NULL part never matches, as in the multi-column join)."""
+    out = []
+    for p in parts[:-1]:
+        out += [F.length(p).cast("string"), F.lit(":"), p]
+    return F.concat(*out, parts[-1])
+
+
 def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
     """Return ``df`` with a broadcast hint if it is proven small, else unchanged.
 
