@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,15 +42,21 @@ def ingest(counters: DataFrame, lookup: DataFrame, store_path: str, *, quarantin
 
     ``dedup_keys`` (e.g. family, OSS, cell, period) keeps one row per record
     when a batch carries re-delivered files: the last by ``dedup_order``.
-    Returns the enriched (good) rows as a lazy DataFrame.
+    Returns the enriched (good) rows as a lazy DataFrame (no longer cached).
     """
     if dedup_keys:
         counters = dedup_rows(counters, dedup_keys, dedup_order, keep="last")
     df = enrich_with_pk(counters, lookup, **enrich_kw)
-    good, bad = split_bad_periods(df, period_col)
-    write_store(good, store_path, mode=mode)
-    if quarantine_path is not None:
-        bad.write.mode("append").parquet(quarantine_path)
+    # one read of the input for all outputs (store, index, quarantine): the
+    # enriched batch is persisted once (memory + disk; lost blocks recompute)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        good, bad = split_bad_periods(df, period_col)
+        write_store(good, store_path, mode=mode, cache=False)
+        if quarantine_path is not None:
+            bad.write.mode("append").parquet(quarantine_path)
+    finally:
+        df.unpersist()
     return good
 
 

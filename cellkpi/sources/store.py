@@ -35,7 +35,7 @@ def index_path(store_path: str) -> str:
 def write_store(df: DataFrame, path: str, *, mode: str = "append",
                 partition_by: Sequence[str] = STORE_PARTITIONS, cluster_by: Sequence[str] = CLUSTER_BY,
                 compression: str = "zstd", max_records_per_file: int = 5_000_000,
-                with_index: bool = True) -> str:
+                with_index: bool = True, cache: bool = True) -> str:
     """Append (or overwrite) rows into the partitioned store.
 
     ``REBALANCE`` on the partition keys groups each directory's rows into few
@@ -49,12 +49,14 @@ def write_store(df: DataFrame, path: str, *, mode: str = "append",
     lineage) so the index aggregate reuses it instead of reading the input a
     second time. The index is written with the store's mode, partitioned by
     (family, date): an append adds the batch's keys, a dynamic overwrite
-    replaces exactly the family-days the store write replaced.
+    replaces exactly the family-days the store write replaced. ``cache=False``
+    when the caller has already persisted ``df`` (or its parent).
     """
     cols = [c for c in partition_by if c in df.columns]
     sort = [c for c in (*cols, *cluster_by) if c in df.columns]
     index = with_index and all(c in df.columns for c in PK)
-    if index:
+    own_cache = index and cache
+    if own_cache:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         (df.hint("rebalance", *cols).sortWithinPartitions(*sort).write.mode(mode)
@@ -63,7 +65,7 @@ def write_store(df: DataFrame, path: str, *, mode: str = "append",
         if index:
             write_index(df, path, mode=mode)
     finally:
-        if index:
+        if own_cache:
             df.unpersist()
     return path
 

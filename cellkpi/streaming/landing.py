@@ -39,18 +39,18 @@ def counter_stream(spark: SparkSession, source_dir: str, schema: T.StructType, *
 def write_batch(df: DataFrame, store_path: str, batch_id: int, quarantine_path: str | None = None) -> None:
     """Idempotent batch write: dynamic overwrite of this batch's partitions
     (store and partition index alike, both keyed by ``pk_batch``)."""
-    good, bad = split_bad_periods(df)
-    good = good.withColumn("pk_batch", F.lit(batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    df = df.withColumn("pk_batch", F.lit(batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:                                  # one read of the batch for store, index and quarantine
+        good, bad = split_bad_periods(df)
         (good.hint("rebalance", "pk_ft", "pk_date")
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .option("compression", "gzip").partitionBy(*STREAM_LAYOUT).parquet(store_path))
         write_index(good, store_path, mode="overwrite", partition_by=STREAM_LAYOUT, overwrite_mode="dynamic")
+        if quarantine_path is not None:
+            (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("pk_batch").parquet(quarantine_path))
     finally:
-        good.unpersist()
-    if quarantine_path is not None:
-        (bad.withColumn("pk_batch", F.lit(batch_id)).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("pk_batch").parquet(quarantine_path))
+        df.unpersist()
 
 
 def land(spark: SparkSession, source_dir: str, schema: T.StructType, lookup: DataFrame, store_path: str,
