@@ -1,4 +1,4 @@
-"""Catalogue entries for the vendor family specs.
+"""Catalogue entries for the vendor family specs (E1-E4, N7, N9 incl. its hl_date-grain set, N14, M11).
 
 Each query runs a family spec from ``plans.families`` unchanged — the rule
 expands over the vendor layout's columns — through the same enrichment,
@@ -220,6 +220,19 @@ def family_nokia_lte_cell_load_daily(spark, sf):
     return finish(aggregate(rows, fam.nokia_lte("cell_load"), grain="day"))
 
 
+@q("family_nokia_lte_cell_load_hourly", CELL_LOAD_BASE + f"""SELECT 'unassigned' AS MGR_RUN_ID,
+  min(OSS) AS oss, {_ts('PERIOD_START_TIME')} AS PERIOD_START_TIME, {_sum('PERIOD_DURATION', 'period_duration')},
+  MO_DN AS mo_dn, MO_DN2 AS cell,
+  {_cell_load_measures()},
+  {_ts('PERIOD_START_TIME')} AS HL_Date_Hour, {_ts('PERIOD_START_TIME')} AS HL_Date, {_NOKIA_TAIL}, pk_hr
+FROM ne GROUP BY PERIOD_START_TIME, MO_DN, MO_DN2, {_NOKIA_LTE_KEYS}, pk_hr""")
+def family_nokia_lte_cell_load_hourly(spark, sf):
+    """N9 with the hl_date-grain spec set: every time column is hl_date (= the
+    period start in the Nokia layout), no HL_Date_Hour / period keys."""
+    rows = _nokia(vt.nokia_cell_load_rows(spark, sf), dt.cl(spark, sf), "lte", "lte_cell_load")
+    return finish(aggregate(rows, fam.nokia_lte("cell_load"), grain="hour"))
+
+
 @q("family_nokia_lte_throughput", _w(dt.KL_SQL, dt.SL_SQL, vt.NOKIA_THROUGHPUT_SQL,
                                       _nokia_enriched_sql("nl", "sl", "MO_DN2", "lte_cell_throughput"))
    + f"""SELECT 'unassigned' AS MGR_RUN_ID, min(OSS) AS oss,
