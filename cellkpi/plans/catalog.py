@@ -809,5 +809,35 @@ def dedup_redelivered(spark, sf):
                                          F.sum("_delivery").cast("bigint").alias("deliveries")))
 
 
+_LANDING_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("OSSName", T.StringType()),
+    T.StructField("EUtranCellFDD", T.StringType()), T.StructField("PERIOD_START_TIME", T.TimestampType()),
+    T.StructField("HL_DATE", T.TimestampType()), T.StructField("value", T.DoubleType()),
+    T.StructField("pk_ft", T.StringType())])
+
+
+@q("landing_stream", BASE + """SELECT pk_ft, pk_date, pk_market, count(*) AS n_rows, round(sum(value), 4) AS value
+FROM ekc GROUP BY pk_ft, pk_date, pk_market""")
+def landing_stream(spark, sf):
+    """Counter files (one folder per family) landed by Structured Streaming
+    in several micro-batches (file-source checkpoint, availableNow), enriched
+    and written with their index; the landed store equals the batch pipeline."""
+    from cellkpi.streaming.landing import land
+    rows = dt.kc_layout(dt.kc(spark, sf), "ericsson", "lte").select(*[f.name for f in _LANDING_SCHEMA.fields])
+    src, store_p = scratch_path(spark, "landing-src"), scratch_path(spark, "landing-store")
+    (rows.write.partitionBy("pk_ft").option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm")
+         .csv(src))
+    q_ = land(spark, src, _LANDING_SCHEMA, dt.cl(spark, sf), store_p, scratch_path(spark, "landing-ckpt"),
+              enrich_kw=dict(oss_col="OSSName", cell_col="EUtranCellFDD", lookup_cell_col="CELL",
+                             attrs=ERIC_LTE_ATTRS, date_col="HL_DATE", hour_col="PERIOD_START_TIME"),
+              family_from="column", max_files_per_trigger=4)
+    q_.awaitTermination()
+    if q_.exception() is not None:
+        raise RuntimeError(str(q_.exception()))
+    landed = read_store(spark, store_p)
+    return finish(landed.groupBy("pk_ft", "pk_date", "pk_market").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("value")))
+
+
 # -- vendor family specs (E1-E4, N7, N9, N14, M11) register themselves here
 from cellkpi.plans import family_catalog  # noqa: E402,F401

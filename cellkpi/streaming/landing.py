@@ -55,18 +55,23 @@ def write_batch(df: DataFrame, store_path: str, batch_id: int, quarantine_path:
 
 def land(spark: SparkSession, source_dir: str, schema: T.StructType, lookup: DataFrame, store_path: str,
          checkpoint: str, *, enrich_kw: dict, sep: str = ERICSSON_SEP, family: str | None = None,
-         quarantine_path: str | None = None, available_now: bool = True,
+         family_from: str = "name", quarantine_path: str | None = None, available_now: bool = True,
+         max_files_per_trigger: int | None = None,
          transform: Callable[[DataFrame], DataFrame] | None = None):
     """Start the landing query (``availableNow``: process what is there, then stop).
 
-    ``family``: fixed family for a single-family folder; otherwise the
-    family is taken from each file's name.
+    ``family``: fixed family for a single-family folder. Otherwise
+    ``family_from='name'`` takes it from each file's name (the delivery
+    naming rule), ``'column'`` keeps the ``pk_ft`` column of the input
+    (e.g. a ``pk_ft=<family>`` folder level listed in ``schema``).
     """
-    stream = counter_stream(spark, source_dir, schema, sep=sep)
-    if family is None:
-        stream = route_file_type(stream, "_source_file")
-    else:
+    stream = counter_stream(spark, source_dir, schema, sep=sep, max_files_per_trigger=max_files_per_trigger)
+    if family is not None:
         stream = stream.withColumn("pk_ft", F.lit(family))
+    elif family_from == "name":
+        stream = route_file_type(stream, "_source_file")
+    elif family_from != "column":
+        raise ValueError("family_from must be 'name' or 'column'")
     if transform is not None:
         stream = transform(stream)
 
