@@ -839,5 +839,30 @@ def landing_stream(spark, sf):
         F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("value")))
 
 
+STREAM_LATENESS = "31 days"     # the driver tables span one month: no row is too late
+
+
+@q("tumbling_hour_stream", _w(dt.KC_SQL) + f"""SELECT {_ts("time_bucket(INTERVAL '1 hour', PERIOD_START_TIME)")} AS window_start,
+  cell, round(sum(value), 4) AS value, CAST(count(*) AS BIGINT) AS n_rows
+FROM kc GROUP BY time_bucket(INTERVAL '1 hour', PERIOD_START_TIME), cell""")
+def tumbling_hour_stream(spark, sf):
+    """R2 as a stream: counter files (one folder per family, so every later
+    micro-batch revisits hours of earlier ones) -> watermarked hourly windows
+    in update mode -> window log -> newest version per window."""
+    from cellkpi.streaming.hourly import hourly_window_updates, read_current_windows
+    rows = dt.kc(spark, sf).select("pk_ft", "cell", "PERIOD_START_TIME", "value")
+    src = scratch_path(spark, "hourly-src")
+    rows.write.partitionBy("pk_ft").parquet(src)
+    schema = T.StructType([T.StructField("cell", T.StringType()), T.StructField("PERIOD_START_TIME", T.TimestampType()),
+                           T.StructField("value", T.DoubleType()), T.StructField("pk_ft", T.StringType())])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = scratch_path(spark, "hourly-log")
+    q_ = hourly_window_updates(stream, out, scratch_path(spark, "hourly-ckpt"), lateness=STREAM_LATENESS)
+    q_.awaitTermination()
+    if q_.exception() is not None:
+        raise RuntimeError(str(q_.exception()))
+    return finish(read_current_windows(spark, out))
+
+
 # -- vendor family specs (E1-E4, N7, N9, N14, M11) register themselves here
 from cellkpi.plans import family_catalog  # noqa: E402,F401

@@ -27,3 +27,35 @@ def hourly_window_stream(df: DataFrame, *, time_col: str = "PERIOD_START_TIME",
     g = (df.withWatermark(time_col, lateness)
            .groupBy(F.window(time_col, "1 hour").alias("w"), *keys).agg(*_aggs(value_col)))
     return g.select(F.col("w.start").alias("window_start"), *keys, value_col, "n_rows")
+
+
+def hourly_window_updates(stream: DataFrame, out_path: str, checkpoint: str, *,
+                          time_col: str = "PERIOD_START_TIME", keys: Sequence[str] = ("cell",),
+                          value_col: str = "value", lateness: str = "2 hours", available_now: bool = True):
+    """Run the watermarked hourly aggregate in update mode into a window log.
+
+    Each micro-batch writes the windows it changed into its own ``_batch``
+    partition (dynamic overwrite: a retried batch replaces its rows). Late
+    rows within ``lateness`` update their hour in a later batch; the current
+    value of every window is the row of its newest batch
+    (:func:`read_current_windows`). State is bounded by the watermark.
+    """
+    agg = hourly_window_stream(stream, time_col=time_col, keys=keys, value_col=value_col, lateness=lateness)
+
+    def _batch(df: DataFrame, batch_id: int) -> None:
+        (df.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(out_path))
+
+    w = (agg.writeStream.outputMode("update").foreachBatch(_batch)
+            .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
+def read_current_windows(spark, out_path: str, keys: Sequence[str] = ("cell",)) -> DataFrame:
+    """Current hourly values: per (window, keys) the row of the newest batch
+    (a partial/final aggregate, see ``operators.enrich.dedup_rows``)."""
+    from cellkpi.operators.enrich import dedup_rows
+
+    log = spark.read.parquet(out_path)
+    return dedup_rows(log, ["window_start", *keys], ["_batch"], keep="last").drop("_batch")

@@ -66,3 +66,36 @@ def test_hourly_window_batch_and_stream_agree(spark, tmp):
          .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(availableNow=True).start())
     q.awaitTermination(120)
     assert got == batch
+
+
+def test_window_log_updates_late_hours_and_drops_too_late(spark, tmp):
+    import time
+    from cellkpi.streaming.hourly import hourly_window_updates, read_current_windows
+    src = os.path.join(tmp, "src")
+    os.makedirs(src)
+    sch = "cell string, t string, value double"
+
+    def put(name, rows):
+        p = os.path.join(tmp, "stage-" + name)
+        spark.createDataFrame(rows, sch).select("cell", F.to_timestamp("t").alias("PERIOD_START_TIME"), "value") \
+            .coalesce(1).write.parquet(p)
+        f = [x for x in os.listdir(p) if x.endswith(".parquet")][0]
+        os.replace(os.path.join(p, f), os.path.join(src, name + ".parquet"))
+        time.sleep(1.1)                                  # distinct modification times: arrival order
+
+    # Spark filters late rows of a micro-batch with the watermark of the batch before, so lateness
+    # shows from the third arrival on: a -> watermark 11:15; b (11:45 is late, within the hour)
+    # updates 11:00; c (09:30, behind the watermark) is dropped.
+    put("a", [("c1", "2024-01-05 11:15:00", 1.0), ("c1", "2024-01-05 12:15:00", 2.0)])
+    put("b", [("c1", "2024-01-05 11:45:00", 4.0), ("c1", "2024-01-05 13:15:00", 16.0)])
+    put("c", [("c1", "2024-01-05 09:30:00", 8.0)])
+    stream = spark.readStream.schema("cell string, PERIOD_START_TIME timestamp, value double") \
+        .option("maxFilesPerTrigger", 1).parquet(src)
+    out = os.path.join(tmp, "log")
+    q = hourly_window_updates(stream, out, os.path.join(tmp, "ck"), lateness="1 hour")
+    q.awaitTermination(120)
+    assert q.exception() is None
+    cur = {str(r.window_start): (r.value, r.n_rows) for r in read_current_windows(spark, out).collect()}
+    assert cur == {"2024-01-05 11:00:00": (5.0, 2), "2024-01-05 12:00:00": (2.0, 1),
+                   "2024-01-05 13:00:00": (16.0, 1)}
+    assert spark.read.parquet(out).select("_batch").distinct().count() >= 2
