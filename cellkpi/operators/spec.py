@@ -21,6 +21,13 @@ from cellkpi.functions.scalars import day_stamp
 NUMERIC = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.DecimalType)
 GRAINS = ("rop", "hour", "day")
 
+# A MIN over text (the label columns) has no fixed-width buffer, so Spark runs
+# the whole aggregate sort-based. From this many numeric measures on, the
+# numeric part runs as a hash aggregate and the labels as a narrow sort
+# aggregate, joined back without a shuffle (measured on 300 counters at sf0.1:
+# ~9.4 s instead of ~14.4 s); narrower specs keep the single aggregate.
+LABEL_SPLIT_MIN_MEASURES = 24
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -159,14 +166,56 @@ def _dedup_names(names: Sequence[str]) -> list[bool]:
     return list(reversed(keep))
 
 
+def _sentinel(dtype: str) -> Column | None:
+    if dtype == "string":
+        return F.lit("")
+    if dtype.startswith("timestamp") or dtype == "date":
+        return F.lit("1970-01-01").cast(dtype)
+    if dtype in ("tinyint", "smallint", "int", "bigint", "double", "float") or dtype.startswith("decimal"):
+        return F.lit(0).cast(dtype)
+    if dtype == "boolean":
+        return F.lit(False)
+    return None
+
+
+def _label_split_aggregate(df: DataFrame, keys: Sequence[str], numeric: list[Column],
+                           labels: list[Column]) -> DataFrame:
+    """``df.groupBy(keys).agg(*numeric, *labels)`` as a hash aggregate of the
+    numeric measures joined to a sort aggregate of the (narrow) labels.
+
+    Both group by the same NULL-free surrogate keys (value with a same-typed
+    sentinel, plus a null flag), so they share one hash partitioning and the
+    join needs no exchange; every group exists on both sides, so an inner
+    join keeps all of them. Keys are restored (NULL where flagged) afterwards.
+    """
+    types = {n.lower(): (n, t) for n, t in df.dtypes}
+    resolved = [types[k.lower()] for k in keys]
+    sentinels = [_sentinel(t) for _, t in resolved]
+    if any(x is None for x in sentinels):
+        return df.groupBy(*keys).agg(*numeric, *labels)
+    kcols = [f"_gk{i}" for i in range(len(keys))]
+    ncols = [f"_gn{i}" for i in range(len(keys))]
+    d = df.withColumns({**{k: F.coalesce(F.col(f"`{n}`"), s) for k, (n, _), s in zip(kcols, resolved, sentinels)},
+                        **{f: F.col(f"`{n}`").isNull() for f, (n, _) in zip(ncols, resolved)}})
+    grp = kcols + ncols
+    num = d.groupBy(*grp).agg(*numeric)
+    lab = d.groupBy(*grp).agg(*labels)
+    j = num.join(lab.hint("shuffle_hash"), grp)
+    restored = [F.when(F.col(f), F.lit(None)).otherwise(F.col(k)).alias(n)
+                for k, f, (n, _) in zip(kcols, ncols, resolved)]
+    return j.select(*restored, *[c for c in j.columns if c not in grp])
+
+
 def aggregate(df: DataFrame, spec: KpiSpec, *, grain: str = "rop",
               extra_keys: Sequence[str] = ("pk_ft", "pk_date", "pk_market", "pk_hr"),
-              run_id: Column | None = None) -> DataFrame:
+              run_id: Column | None = None, label_split: bool | None = None) -> DataFrame:
     """Compile ``spec`` at ``grain`` into a single groupBy().agg() over ``df``.
 
     ``extra_keys`` are the store partition keys; adding them makes one query
     over all selected partitions equal to the per-partition queries of a
     loop (pk_hr need not follow hl_date). At 'day' grain pk_hr is dropped.
+    ``label_split``: run text labels as a separate narrow aggregate (None =
+    automatic for wide specs, see ``LABEL_SPLIT_MIN_MEASURES``).
     """
     extra = [k for k in extra_keys if k in df.columns and not (grain == "day" and k == "pk_hr")]
     keys = [k for k in group_keys(spec, grain) if k.lower() not in {e.lower() for e in extra}] + extra
@@ -181,7 +230,14 @@ def aggregate(df: DataFrame, spec: KpiSpec, *, grain: str = "rop",
         aggs.append(F.min(day_stamp(spec.hour_key)).alias("_day_stamp"))
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("_rows")]
-    g = df.groupBy(*keys).agg(*aggs)
+    labels = [i for i, m in enumerate(measures) if m.func == "min" and dtypes.get(m.source.lower()) == "string"]
+    n_numeric = len(aggs) - len(labels)
+    split = label_split if label_split is not None else (bool(labels) and n_numeric >= LABEL_SPLIT_MIN_MEASURES)
+    if split and labels and n_numeric > 0:
+        g = _label_split_aggregate(df, keys, [a for i, a in enumerate(aggs) if i not in labels],
+                                   [aggs[i] for i in labels])
+    else:
+        g = df.groupBy(*keys).agg(*aggs)
 
     out: list[Column] = []
     names: list[str] = []

@@ -545,6 +545,12 @@ def kpi_rop(spark, sf):
     return finish(aggregate(store(spark, sf), KC_SPEC, grain="rop"))
 
 
+@q("kpi_rop_label_split", BASE + _kc_spec_sql("rop", "ekc", None))
+def kpi_rop_label_split(spark, sf):
+    """A7 with the label aggregate split off (the plan wide vendor specs get)."""
+    return finish(aggregate(store(spark, sf), KC_SPEC, grain="rop", label_split=True))
+
+
 @q("kpi_hourly", BASE + _kc_spec_sql("hour", "ekc", None))
 def kpi_hourly(spark, sf):
     return finish(aggregate(store(spark, sf), KC_SPEC, grain="hour"))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellkpi.operators.enrich import derive_hl_date, derive_pk, enrich_for
-from cellkpi.operators.spec import aggregate
+from cellkpi.operators.spec import Item, KpiSpec, Measure, aggregate
 from cellkpi.plans import families as fam
 from cellkpi.sources.schema import text_counters_to_double, IDENTITY
 from tests.fixtures import (CELL_AVAIL, CELL_LOAD, CELL_THROUGHPUT, ERIC_LTE, ERIC_UMTS, GSM_NB, SOFT_HO,
@@ -143,3 +143,21 @@ def test_ericsson_umts_rules(spark):
 
 def test_identity_layouts_cover_vendors():
     assert set(IDENTITY) == {("ericsson", "lte"), ("ericsson", "umts"), ("nokia", "lte"), ("nokia", "umts")}
+
+
+def test_label_split_aggregate_equals_single_aggregate(spark):
+    from cellkpi.operators.spec import CounterRule
+    import datetime as dt
+    t = dt.datetime(2024, 1, 5, 10, 0)
+    rows = [("c1", "oss1", t, 1.0, 2.0), ("c1", "OSS0", t, 3.0, None), (None, "oss2", t, 5.0, 1.0),
+            (None, None, t, 7.0, 1.0), ("c2", None, None, 9.0, 4.0), ("", "x", t, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "cell string, oss string, ts timestamp, a double, b double")
+    spec = KpiSpec(name="t", items=(Item("cell", "key", "cell"), Measure("min", "oss", "oss"),
+                                    CounterRule(func="sum", null_policy="zero")),
+                   keys=("cell",), time_keys=("ts",), identity=("cell", "oss", "ts"))
+    one = aggregate(df, spec, grain="rop", extra_keys=(), label_split=False)
+    two = aggregate(df, spec, grain="rop", extra_keys=(), label_split=True)
+    norm = lambda d: sorted(map(repr, d.select(*sorted(one.columns)).collect()))
+    assert norm(one) == norm(two) and len(norm(two)) == 4        # NULL and empty cells stay apart
+    plan = two._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "ShuffledHashJoin" in plan
