@@ -27,7 +27,7 @@ HEADLINE = [
     "hour_day_grouping_sets", "enrich_eric_lte", "enrich_nokia_lte", "latest_n_hours",
     "partition_index", "agg_from_schema", "vector_counter_sum", "kpi_bulk_hourly",
     "kpi_bulk_report", "read_counters_csv", "export_csv", "family_eric_lte_rop",
-    "family_nokia_lte_cell_load", "dedup_redelivered",
+    "family_nokia_lte_cell_load", "dedup_redelivered", "family_eric_lte_wide",
 ]
 
 

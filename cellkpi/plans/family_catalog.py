@@ -57,7 +57,7 @@ _ERIC_LTE_ENRICHED_SQL = """e AS (
   SELECT k.* EXCLUDE (HL_MARKET), IFNULL(l.MARKET, 'unassigned') AS HL_Market,
          IFNULL(l.CLUSTER, 'unassigned') AS HL_Cluster, IFNULL(l.AREA, 'unassigned') AS HL_Area,
          strftime(k.HL_DATE, '%Y-%m-%d') AS pk_date, strftime(k.PERIOD_START_TIME, '%H') AS pk_hr
-  FROM el k LEFT JOIN sl l ON upper(k.OSSName) = upper(l.OSS) AND k.EUtranCellFDD = l.CELL)"""
+  FROM {src} k LEFT JOIN sl l ON upper(k.OSSName) = upper(l.OSS) AND k.EUtranCellFDD = l.CELL)"""
 
 _ERIC_UMTS_ENRICHED_SQL = """e AS (
   SELECT k.* EXCLUDE (HL_MARKET), IFNULL(l.MARKET, 'unassigned') AS HL_Market,
@@ -66,7 +66,9 @@ _ERIC_UMTS_ENRICHED_SQL = """e AS (
          strftime(k.HL_DATE, '%Y-%m-%d') AS pk_date, strftime(k.PERIOD_START_TIME, '%H') AS pk_hr
   FROM eu k LEFT JOIN ul l ON upper(k.OSSName) = upper(l.OSS) AND k.UtranCell = l.CELL)"""
 
-ERIC_LTE_BASE = _w(dt.KL_SQL, dt.SL_SQL, vt.ERIC_LTE_SQL, _ERIC_LTE_ENRICHED_SQL)
+ERIC_LTE_BASE = _w(dt.KL_SQL, dt.SL_SQL, vt.ERIC_LTE_SQL, _ERIC_LTE_ENRICHED_SQL.format(src="el"))
+ERIC_LTE_WIDE_BASE = _w(dt.KL_SQL, dt.SL_SQL, vt.ERIC_LTE_SQL, vt.ERIC_LTE_WIDE_SQL,
+                        _ERIC_LTE_ENRICHED_SQL.format(src="ew"))
 ERIC_UMTS_BASE = _w(dt.KL_SQL, dt.SL_SQL, vt.ERIC_UMTS_SQL, _ERIC_UMTS_ENRICHED_SQL)
 
 
@@ -124,6 +126,23 @@ def family_eric_lte_daily(spark, sf):
     return finish(aggregate(_eric_lte(spark, sf), fam.ericsson_lte(), grain="day"))
 
 
+@q("family_eric_lte_wide", ERIC_LTE_WIDE_BASE + f"""SELECT {_ERIC_LABELS},
+  {_ts('PERIOD_START_TIME')} AS PERIOD_START_TIME, MeContext, EUtranCellFDD,
+  {_eric_lte_counters(True)},
+  """ + ",\n  ".join(_sum0(f"{vt.WIDE_PREFIX}{i}") for i in range(vt.WIDE_COUNTERS)) + f""",
+  {_ts('HL_DATE')} AS HL_Date_Hour, {_ts('PERIOD_START_TIME')} AS HL_Date, EUtranCellFDD AS HL_Sector,
+  '' AS HL_Sectorlayer, MeContext AS HL_Site, HL_Cluster, HL_Area, HL_Market, OSSName AS OSS,
+  pk_date, HL_Market AS pk_market, pk_hr
+FROM e GROUP BY HL_DATE, PERIOD_START_TIME, MeContext, EUtranCellFDD, HL_Market, HL_Cluster, HL_Area, OSSName,
+  pk_date, pk_hr""")
+def family_eric_lte_wide(spark, sf):
+    """E1 at a realistic width (~300 counters): the spec compiler splits the
+    text labels off into a narrow aggregate (see ``operators.spec``)."""
+    e = enrich_for(vt.eric_lte_wide_rows(spark, sf), dt.sl(spark, sf), "ericsson", "lte")
+    e = derive_pk(e, date_col="HL_DATE", hour_col="PERIOD_START_TIME")
+    return finish(aggregate(e, fam.ericsson_lte(), grain="rop"))
+
+
 _UMTS_SORT = "substr(UtranCell, 1, 1) || substr(UtranCell, -1, 1) || substr(UtranCell, -2, 1)"
 _UMTS_LAYER = "CASE WHEN substring(UtranCell, 1, 1) = 'U' THEN 'AWS' ELSE 'PCS' END"
 _ERIC_UMTS_LABELS = "'unassigned' AS MGR_RUN_ID, min(Region) AS region, min(Market) AS market, " \

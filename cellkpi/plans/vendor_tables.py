@@ -84,6 +84,24 @@ def eric_lte_rows(spark: SparkSession, sf: str) -> DataFrame:
                     *[c.alias(n) for c, n in zip(counters, ERIC_LTE_COUNTERS)])
 
 
+# A realistic width: vendor ROP specs aggregate ~300 counters. The wide
+# layout adds WIDE_COUNTERS histogram-style bins (generated by a rule from the
+# bulk counters, integral values, every fifth bin NULL on returned lines).
+WIDE_PREFIX = "pmWideDistr_"
+WIDE_COUNTERS = 300
+
+
+def _wide_bin(i: int, qty: Column, line: Column, null_if: Column) -> Column:
+    v = qty * (i % 7 + 1) + line
+    return _null_when(null_if, v) if i % 5 == 0 else v
+
+
+def eric_lte_wide_rows(spark: SparkSession, sf: str, n: int = WIDE_COUNTERS) -> DataFrame:
+    r = eric_lte_rows(spark, sf)
+    qty, line, returned = F.col("pmRrcConnEstabAtt"), F.col("pmHoPrepAtt"), F.col("pmRrcConnMax").isNull()
+    return r.select("*", *[_wide_bin(i, qty, line, returned).alias(f"{WIDE_PREFIX}{i}") for i in range(n)])
+
+
 def umts_cell(sk: Column) -> Column:
     """UMTS cell name: 'U…' (AWS layer) for every third cell, 'P…' otherwise."""
     return F.concat(F.when(sk % 3 == 0, F.lit("U")).otherwise(F.lit("P")), (F.lit(1000000) + sk * 7).cast("string"))
@@ -237,3 +255,8 @@ NOKIA_THROUGHPUT_SQL = f"""nl AS (
          CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_discount * 100 END AS pdcp_data_rate_max_dl,
          l_tax * 100 AS ip_tput_ul
   FROM kl)"""
+
+ERIC_LTE_WIDE_SQL = "ew AS (\n  SELECT *,\n" + ",\n".join(
+    f"         {'CASE WHEN pmRrcConnMax IS NULL THEN NULL ELSE ' if i % 5 == 0 else ''}"
+    f"pmRrcConnEstabAtt * {i % 7 + 1} + pmHoPrepAtt{' END' if i % 5 == 0 else ''} AS {WIDE_PREFIX}{i}"
+    for i in range(WIDE_COUNTERS)) + "\n  FROM el)"
