@@ -9,7 +9,7 @@ __all__ = [
     "c", "tolerant_double", "oss_key", "umts_sort_key", "sector_layer",
     "site_from_cell", "hour_text", "day_stamp", "quarter_hour",
     "pk_date_of", "pk_hr_of", "run_uuid", "run_id", "daily_run_id",
-    "export_key", "ts_text", "UNASSIGNED",
+    "export_key", "ts_text", "round_half_away", "UNASSIGNED",
 ]
 
 # Fixed values that must match the reference's output.
@@ -112,3 +112,16 @@ def export_key(prefix, date, suffix, market, hour=None, family=None) -> Column:
     if family is not None:
         parts.append(F.regexp_replace(c(family), "_", "-"))
     return F.concat_ws("_", *parts)
+
+
+def round_half_away(x, digits: int = 4) -> Column:
+    """Round a double to ``digits`` decimals, halves away from zero, with plain
+    arithmetic (scale, floor(|y| + 0.5), unscale) — the way SQL engines round
+    doubles. ``round()`` on a double goes through a decimal per value, about
+    twice as slow on wide reports. NaN and values beyond exact double
+    integers pass through unchanged."""
+    x = c(x)
+    scale = float(10 ** digits)
+    y = F.abs(x) * scale
+    return F.when(F.isnan(x) | (y >= 4.0e15), x).otherwise(
+        F.signum(x) * F.floor(y + 0.5).cast("double") / scale)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellkpi.functions.scalars import (hour_text, run_uuid, sector_layer, site_from_cell,
+from cellkpi.functions.scalars import (hour_text, round_half_away, run_uuid, sector_layer, site_from_cell,
                                        tolerant_double, ts_text, umts_sort_key)
 from cellkpi.operators import select as sel
 from cellkpi.operators.enrich import (ERIC_LTE_ATTRS, derive_hl_date, derive_pk, enrich,
@@ -51,7 +51,7 @@ def finish(df: DataFrame) -> DataFrame:
         if t.startswith("timestamp"):
             c = ts_text(c)
         elif t in ("double", "float"):
-            c = F.round(c, 4)
+            c = round_half_away(c, 4)
         out.append(c.alias(name))
     return df.select(*out)
 
