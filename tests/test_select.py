@@ -62,3 +62,21 @@ def test_freshness_gate(spark):
     g = {(r.pk_ft, r.pk_market): r.is_fresh for r in sel.fresh_markets(st, "2024-01-07", 3).collect()}
     assert g == {("f", "A"): True, ("f", "B"): False, ("g", "A"): True}
     assert all(r.is_fresh for r in sel.fresh_markets(st, "2030-01-01", -1).collect())
+
+
+def test_round_half_away_matches_sql_rounding(spark):
+    import duckdb
+    from cellkpi.functions.scalars import round_half_away
+    vals = [1.23455, -1.23455, 2.5e-5, -2.5e-5, 0.00004999, 123456.78915, 1e16 + 2.0, float("nan"), None, 7.0]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r.y for r in df.select(round_half_away("x", 4).alias("y")).collect()]
+    con = duckdb.connect()
+    exp = [con.execute("SELECT round(CAST(? AS DOUBLE), 4)", [v]).fetchall()[0][0] if v is not None else None
+           for v in vals]
+    for g, e, v in zip(got, exp, vals):
+        if v is None:
+            assert g is None
+        elif v != v:
+            assert g != g                                  # NaN passes through
+        else:
+            assert g == e, (v, g, e)
