@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellkpi.functions.scalars import UNASSIGNED, oss_key, pk_date_of, pk_hr_of, hour_text
@@ -32,7 +32,7 @@ ATTRS = {
 
 
 def prepare_lookup(lookup: DataFrame, cell_col: str, attrs: Mapping[str, str], *,
-                   oss_col: str = "OSS", dedup: bool = True) -> DataFrame:
+                   oss_col: str | None = "OSS", dedup: bool = True) -> DataFrame:
     """Project the lookup to (oss key, cell key, attributes).
 
     With ``dedup`` one row per key survives: the smallest attribute tuple, a
@@ -41,18 +41,20 @@ def prepare_lookup(lookup: DataFrame, cell_col: str, attrs: Mapping[str, str], *
     multiply counter rows.
     """
     cols = list(dict.fromkeys(attrs.values()))
-    lk = lookup.select(oss_key(oss_col).alias("_lkey_oss"), F.col(cell_col).alias("_lkey_cell"),
-                       *[F.col(a).alias(f"_lk_{a}") for a in cols])
+    okey = [oss_key(oss_col).alias("_lkey_oss")] if oss_col is not None else []
+    lk = lookup.select(*okey, F.col(cell_col).alias("_lkey_cell"), *[F.col(a).alias(f"_lk_{a}") for a in cols])
     if dedup:
-        lk = (lk.groupBy("_lkey_oss", "_lkey_cell")
+        keys = (["_lkey_oss"] if oss_col is not None else []) + ["_lkey_cell"]
+        lk = (lk.groupBy(*keys)
                 .agg(F.min(F.struct(*[f"_lk_{a}" for a in cols])).alias("_v"))
-                .select("_lkey_oss", "_lkey_cell", *[F.col(f"_v._lk_{a}").alias(f"_lk_{a}") for a in cols]))
+                .select(*keys, *[F.col(f"_v._lk_{a}").alias(f"_lk_{a}") for a in cols]))
     return lk
 
 
-def enrich(counters: DataFrame, lookup: DataFrame, *, oss_col: str, cell_col: str,
+def enrich(counters: DataFrame, lookup: DataFrame, *, oss_col: str | None, cell_col: str,
            lookup_cell_col: str, attrs: Mapping[str, str], dedup_lookup: bool = True,
-           drop_cols: Sequence[str] = (), broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           drop_cols: Sequence[str] = (), broadcast_rows: int = MAX_BROADCAST_ROWS,
+           lookup_filter: Column | None = None) -> DataFrame:
     """``SELECT k.*, IFNULL(l.X,'unassigned') AS HL_X ... LEFT JOIN lookup l
     ON UPPER(k.oss)=UPPER(l.OSS) AND k.cell=l.cell``.
 
@@ -65,16 +67,26 @@ def enrich(counters: DataFrame, lookup: DataFrame, *, oss_col: str, cell_col: st
     (a third of all counter rows) would stay in one task. With the composite
     key the join gets its own exchanges and AQE's skew join splits the hot
     partition of the counters (replicating the lookup's matching partition).
+
+    Older key variants: ``oss_col=None`` joins on the cell alone;
+    ``lookup_filter`` restricts the lookup first (e.g. ``TECH = 'LTE'``).
     """
     drop = {d.lower() for d in drop_cols}
     k = counters.drop(*[c for c in counters.columns if c.lower() in drop])
-    lk = prepare_lookup(lookup, lookup_cell_col, attrs, dedup=dedup_lookup)
+    if lookup_filter is not None:
+        lookup = lookup.where(lookup_filter)
+    lk = prepare_lookup(lookup, lookup_cell_col, attrs, oss_col="OSS" if oss_col is not None else None,
+                        dedup=dedup_lookup)
     if is_small(lk, broadcast_rows):
         lk = F.broadcast(lk)
-        cond = (oss_key(k[oss_col]) == lk["_lkey_oss"]) & (k[cell_col] == lk["_lkey_cell"])
+        cond = k[cell_col] == lk["_lkey_cell"]
+        if oss_col is not None:
+            cond = (oss_key(k[oss_col]) == lk["_lkey_oss"]) & cond
     else:
-        lk = lk.withColumn("_lkey", composite_key(F.col("_lkey_oss"), F.col("_lkey_cell")))
-        cond = composite_key(oss_key(k[oss_col]), k[cell_col]) == lk["_lkey"]
+        lk_oss = F.col("_lkey_oss") if oss_col is not None else F.lit("")
+        k_oss = oss_key(k[oss_col]) if oss_col is not None else F.lit("")
+        lk = lk.withColumn("_lkey", composite_key(lk_oss, F.col("_lkey_cell")))
+        cond = composite_key(k_oss, k[cell_col]) == lk["_lkey"]
     out_cols = [k[c] for c in k.columns] + [
         F.coalesce(lk[f"_lk_{src}"], F.lit(UNASSIGNED)).alias(name) for name, src in attrs.items()]
     return k.join(lk, cond, "left").select(*out_cols)

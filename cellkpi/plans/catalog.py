@@ -250,6 +250,16 @@ def enrich_nokia_umts(spark, sf):
     return e.select("event_id", "OSS", "CELL_ID_1", *_NOKIA_OUT)
 
 
+@q("enrich_cell_only", BASE + """SELECT k.event_id, k.cell,
+  IFNULL(l.MARKET, 'unassigned') AS HL_Market, IFNULL(l.CLUSTER, 'unassigned') AS HL_Cluster
+FROM kc k LEFT JOIN (SELECT * FROM cl WHERE TECH = 'LTE') l ON k.cell = l.CELL""")
+def enrich_cell_only(spark, sf):
+    """The older key variant — cell only, lookup restricted to one technology."""
+    e = enrich(dt.kc(spark, sf), dt.cl(spark, sf), oss_col=None, cell_col="cell", lookup_cell_col="CELL",
+               attrs={"HL_Market": "MARKET", "HL_Cluster": "CLUSTER"}, lookup_filter=F.col("TECH") == "LTE")
+    return e.select("event_id", "cell", "HL_Market", "HL_Cluster")
+
+
 # -- lookup (J7, S7, K3, A15, dedup)
 
 def _lookup_two_sources(spark, sf):

@@ -81,3 +81,21 @@ def test_composite_key_has_no_collisions_and_keeps_nulls(spark):
     df = spark.createDataFrame([("ab", "c"), ("a", "bc"), (None, "x"), ("x", None)], "a string, b string")
     keys = [r.k for r in df.select(composite_key(F.col("a"), F.col("b")).alias("k")).collect()]
     assert keys[0] != keys[1] and keys[2] is None and keys[3] is None
+
+
+def test_cell_only_key_shuffled_path_also_splits_hot_cell(spark):
+    counters, lk = _data(spark)
+    kw = dict(oss_col=None, cell_col="cell", lookup_cell_col="CELL", attrs={"HL_Market": "MARKET"})
+    expect = sorted(map(tuple, enrich(counters, lk, **kw).groupBy("HL_Market").agg(F.count(F.lit(1))).collect()))
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1",
+              spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+              spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1k",
+              spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+              spark__sql__adaptive__advisoryPartitionSizeInBytes="4k",
+              spark__sql__adaptive__coalescePartitions__enabled="false"):
+        joined = enrich(counters, lk, broadcast_rows=0, **kw)
+        got = sorted(map(tuple, joined.groupBy("HL_Market").agg(F.count(F.lit(1))).collect()))
+        assert len(joined.collect()) == 30000
+        final = joined._jdf.queryExecution().executedPlan().toString()
+    assert got == expect
+    assert "skew=true" in final or "isSkewJoin=true" in final
