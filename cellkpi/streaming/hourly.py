@@ -52,10 +52,28 @@ def hourly_window_updates(stream: DataFrame, out_path: str, checkpoint: str, *,
     return w.start()
 
 
+def _newest_versions(spark, out_path: str, keys: Sequence[str]) -> DataFrame:
+    from cellkpi.operators.enrich import dedup_rows
+
+    log = spark.read.parquet(out_path)
+    return dedup_rows(log, ["window_start", *keys], ["_batch"], keep="last")
+
+
 def read_current_windows(spark, out_path: str, keys: Sequence[str] = ("cell",)) -> DataFrame:
     """Current hourly values: per (window, keys) the row of the newest batch
     (a partial/final aggregate, see ``operators.enrich.dedup_rows``)."""
-    from cellkpi.operators.enrich import dedup_rows
+    return _newest_versions(spark, out_path, keys).drop("_batch")
 
-    log = spark.read.parquet(out_path)
-    return dedup_rows(log, ["window_start", *keys], ["_batch"], keep="last").drop("_batch")
+
+def compact_window_log(spark, out_path: str, keys: Sequence[str] = ("cell",)) -> str:
+    """Rewrite the log as its current state (one version per window, each
+    keeping the batch id it came from), so it stops growing with every
+    micro-batch. The current state is checkpointed first (reliable, under
+    ``spark.checkpoint.dir``) because a plan may not overwrite the files it
+    reads. Run it while the stream is stopped (between availableNow runs)."""
+    from cellkpi.session import checkpoint_root
+
+    checkpoint_root(spark)
+    cur = _newest_versions(spark, out_path, keys).checkpoint(eager=True)
+    cur.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_batch").parquet(out_path)
+    return out_path

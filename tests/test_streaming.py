@@ -99,3 +99,9 @@ def test_window_log_updates_late_hours_and_drops_too_late(spark, tmp):
     assert cur == {"2024-01-05 11:00:00": (5.0, 2), "2024-01-05 12:00:00": (2.0, 1),
                    "2024-01-05 13:00:00": (16.0, 1)}
     assert spark.read.parquet(out).select("_batch").distinct().count() >= 2
+    # compaction keeps the current state and drops superseded versions
+    from cellkpi.streaming.hourly import compact_window_log
+    before = spark.read.parquet(out).count()
+    compact_window_log(spark, out)
+    assert {str(r.window_start): (r.value, r.n_rows) for r in read_current_windows(spark, out).collect()} == cur
+    assert spark.read.parquet(out).count() == 3 < before
