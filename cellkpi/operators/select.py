@@ -97,20 +97,36 @@ def latest_dates(store: DataFrame, k: int = 2) -> DataFrame:
             .orderBy(F.col("pk_date").desc()).limit(k))
 
 
-def restrict_to(store: DataFrame, selected: DataFrame) -> DataFrame:
-    """Left-semi join of the store with selected partitions.
+def restrict_to(store: DataFrame, selected: DataFrame, *, materialize: bool = True) -> DataFrame:
+    """Left-semi join of the store with selected partitions, pruned at run time.
 
     Every selection built here is bounded by construction, not by data
     volume: latest hours <= n x families x markets rows, latest dates per
     market <= families x markets, top-k dates <= k (e.g. 3 x 50 x 500 =
-    75k rows of four short strings, a few MB). It is broadcast, and because
-    its plan keeps the selective window filter, Spark turns the join into
-    dynamic partition pruning of the store scan (reusing the same broadcast).
-    Materialising the selection first (checkpoint) would hide that filter and
-    disable pruning, i.e. read the whole store — so it stays a lazy plan.
+    75k rows of four short strings, a few MB).
+
+    Dynamic partition pruning of the store scan needs, under AQE, a build
+    side whose broadcast the pruning filter can reuse; a selection computed
+    through shuffles (index distinct, window) never matches after AQE has
+    re-planned it, and Spark then silently replaces the pruning filter by
+    ``true`` — the store is read whole (seen in the run-time scan metrics).
+    So the selection is written once (a small job) to the shared folder named
+    by ``spark.checkpoint.dir`` and read back with a selective marker
+    predicate: the build side is a plain scan + filter, the broadcast is
+    reused and the scan reads only the selected family-days. Its row count is
+    checked before the broadcast hint.
     """
     keys = [c for c in pk_cols(selected) if c in store.columns]
-    return store.join(F.broadcast(selected.select(*keys).distinct()), keys, "left_semi")
+    if not materialize:
+        return store.join(F.broadcast(selected.select(*keys)), keys, "left_semi")
+    from cellkpi.operators.joins import small_side
+    from cellkpi.session import scratch_path
+
+    spark = store.sparkSession
+    path = scratch_path(spark, "selection")
+    selected.select(*keys).distinct().withColumn("_sel", F.lit(1)).write.parquet(path)
+    back = spark.read.parquet(path).where(F.col("_sel") == 1).select(*keys)
+    return store.join(small_side(back), keys, "left_semi")
 
 
 def top_date_partitions(store: DataFrame, k: int = 2) -> DataFrame:
