@@ -93,3 +93,40 @@ def test_report_selects_from_index_and_prunes_at_run_time(spark, tmp):
     one = report(read_store(spark, p), spec, latest_n=1, grain="day", index=read_index(spark, p))
     assert store_partitions_read(one) == [1]
     assert sel.latest_hours(read_index(spark, p), 3).count() == 3
+
+
+def test_report_property_matches_brute_force(spark, tmp):
+    """Random stores (families x markets x dates x hours): the report over
+    index + written selection + pruned scan equals a plain Python answer."""
+    import itertools
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    dates = [f"2024-01-0{d}" for d in range(1, 6)]
+    hours = [f"{h:02d}" for h in (0, 5, 23)]
+    cells = list(itertools.product(("f1", "f2"), ("NY", "LI", "SF"), dates, hours))
+    counter = itertools.count()
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(st.sampled_from(cells), st.integers(1, 3)), min_size=1, max_size=25),
+           st.integers(1, 4))
+    def check(picks, n):
+        rows = [(ft, d, m, h, f"c{k}", float(k)) for (ft, m, d, h), k in picks]
+        p = os.path.join(tmp, f"store-{next(counter)}")
+        write_store(_rows(spark, rows), p, mode="append")
+        spec = KpiSpec(name="t", items=(Item("cell", "key", "cell"), Measure("sum", "v", "v")), keys=("cell",),
+                       time_keys=(), hour_key="pk_hr")
+        got = sorted((r.pk_ft, r.pk_market, r.pk_date, r.pk_hr, r.cell, r.v) for r in
+                     report(read_store(spark, p), spec, latest_n=n, grain="hour",
+                            index=read_index(spark, p)).collect())
+        parts = {(ft, m): set() for ft, d, m, h, _, _ in rows}
+        for ft, d, m, h, _, _ in rows:
+            parts[(ft, m)].add((d, h))
+        keep = {(ft, m, d, h) for (ft, m), s in parts.items() for d, h in sorted(s, reverse=True)[:n]}
+        exp = {}
+        for ft, d, m, h, c, v in rows:
+            if (ft, m, d, h) in keep:
+                exp[(ft, m, d, h, c)] = exp.get((ft, m, d, h, c), 0.0) + v
+        assert got == sorted((*k, v) for k, v in exp.items())
+
+    check()
