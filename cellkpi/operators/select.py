@@ -126,6 +126,14 @@ def restrict_to(store: DataFrame, selected: DataFrame, *, materialize: bool = Tr
     path = scratch_path(spark, "selection")
     selected.select(*keys).distinct().withColumn("_sel", F.lit(1)).write.parquet(path)
     back = spark.read.parquet(path).where(F.col("_sel") == 1).select(*keys)
+    if "pk_hr" in keys:
+        # The hours of the selection (at most 24 values, bounded by the hour
+        # domain) as a static filter: pushed into the scan it skips the row
+        # groups of other hours inside the pruned family-days (the store is
+        # clustered by hour), or prunes hour directories in the reference
+        # layout. The semi join below stays the exact restriction.
+        hours = sorted(r[0] for r in back.select("pk_hr").distinct().collect())
+        store = store.where(F.col("pk_hr").isin(hours))
     return store.join(small_side(back), keys, "left_semi")
 
 

@@ -130,3 +130,31 @@ def test_report_property_matches_brute_force(spark, tmp):
         assert got == sorted((*k, v) for k, v in exp.items())
 
     check()
+
+
+def test_report_skips_row_groups_of_other_hours(spark, tmp):
+    """Inside a pruned family-day the store is clustered by hour and the
+    selected hours are pushed into the scan: row groups of other hours are
+    not read."""
+    p = os.path.join(tmp, "store")
+    rows = [("f1", "2024-01-05", "NY", f"{h:02d}", f"c{i}", 1.0) for h in range(24) for i in range(300)]
+    write_store(_rows(spark, rows).repartition(4), p, mode="overwrite", row_group_bytes=4096)
+    spec = KpiSpec(name="t", items=(Item("cell", "key", "cell"), Measure("sum", "v", "v")), keys=("cell",),
+                   time_keys=(), hour_key="pk_hr")
+    r = report(read_store(spark, p), spec, latest_n=1, grain="hour", index=read_index(spark, p))
+    assert r.count() == 300 and {x.pk_hr for x in r.select("pk_hr").distinct().collect()} == {"23"}
+    r.collect()
+    read = []
+
+    def walk(n):
+        if "QueryStage" in n.nodeName():
+            walk(n.plan())
+        if n.nodeName().startswith("Scan") and "cell" in n.output().toString():
+            read.append(n.metrics().apply("numOutputRows").value())
+        it = n.children().iterator()
+        while it.hasNext():
+            walk(it.next())
+
+    root = r._jdf.queryExecution().executedPlan()
+    walk(root.executedPlan() if root.nodeName().startswith("AdaptiveSparkPlan") else root)
+    assert read and read[0] < 24 * 300 / 4                       # far fewer than the day's 7200 rows
