@@ -4,8 +4,10 @@ The reference walks directory listings on the driver; here the same choices
 are window functions over the (tiny) distinct partition-key relation, then a
 left-semi join back to the store. The index has one row per
 (family, date, market, hour) — bounded by partitions, not by data — and the
-semi join's build side is at most N rows per (family, market), so it is
-broadcast and enables dynamic partition pruning of the store scan.
+semi join's build side is at most N rows per (family, market). It is
+written once and read back as a plain scan (see :func:`restrict_to`), so its
+broadcast drives dynamic partition pruning of the store scan at run time,
+and its hours become a pushed-down filter inside the pruned family-days.
 """
 
 from __future__ import annotations
