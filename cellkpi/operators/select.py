@@ -118,12 +118,13 @@ def restrict_to(store: DataFrame, selected: DataFrame, *, materialize: bool = Tr
     reused and the scan reads only the selected family-days. Its row count is
     checked before the broadcast hint.
     """
-    keys = [c for c in pk_cols(selected) if c in store.columns]
-    if not materialize:
-        return store.join(F.broadcast(selected.select(*keys)), keys, "left_semi")
     from cellkpi.operators.joins import small_side
     from cellkpi.session import scratch_path
 
+    keys = [c for c in pk_cols(selected) if c in store.columns]
+    if not materialize:
+        return store.join(small_side(selected.select(*keys)), keys, "left_semi")
+
     spark = store.sparkSession
     path = scratch_path(spark, "selection")
     selected.select(*keys).distinct().withColumn("_sel", F.lit(1)).write.parquet(path)
