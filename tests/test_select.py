@@ -80,3 +80,9 @@ def test_round_half_away_matches_sql_rounding(spark):
             assert g != g                                  # NaN passes through
         else:
             assert g == e, (v, g, e)
+
+
+def test_cluster_sizing_profile_uses_real_runtime_settings(spark):
+    from cellkpi.session import CLUSTER_CONF
+    for k in CLUSTER_CONF:
+        assert spark.conf.isModifiable(k), k          # an SQL setting Spark knows and lets a session change
