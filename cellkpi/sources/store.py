@@ -105,9 +105,12 @@ def read_index(spark: SparkSession, store_path: str) -> DataFrame:
 
 def rebuild_index(spark: SparkSession, store_path: str) -> str:
     """Recompute the whole index from the store (repair path; one full scan of
-    the partition-key columns)."""
+    the partition-key columns). A stream-landed store keeps its batch-keyed
+    index layout."""
     st = read_store(spark, store_path)
-    write_index(st.select(*PK), store_path, mode="overwrite", overwrite_mode="static")
+    layout = ("pk_ft", "pk_date", "pk_batch") if "pk_batch" in st.columns else ("pk_ft", "pk_date")
+    write_index(st.select(*PK, *layout[2:]), store_path, mode="overwrite", partition_by=layout,
+                overwrite_mode="static")
     return index_path(store_path)
 
 
@@ -124,6 +127,8 @@ def compact_index(spark: SparkSession, store_path: str, *, since: str | None = N
     """
     from cellkpi.session import checkpoint_root
 
+    if "pk_batch" in spark.read.parquet(index_path(store_path)).columns:
+        return index_path(store_path)        # batch-keyed (stream) index: one file per family-day and batch already
     checkpoint_root(spark)
     idx = read_index(spark, store_path)
     if since is not None:
