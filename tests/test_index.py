@@ -55,6 +55,9 @@ def test_rebuild_and_compact_keep_content(spark, tmp):
     assert files() == 3
     compact_index(spark, p, since="2024-01-05")
     assert _index(spark, p) == before and files() == 1
+    compact_index(spark, p)                                        # no date bound: every family-day
+    day2 = glob.glob(os.path.join(index_path(p), "pk_ft=f1", "pk_date=2024-01-06", "*.parquet"))
+    assert _index(spark, p) == before and files() == 1 and len(day2) == 1
     rebuild_index(spark, p)
     assert _index(spark, p) == before == _expected(read_store(spark, p))
 
