@@ -3,7 +3,7 @@
 For each language a suffix automaton of a bounded labelled sample is built.
 A text is parsed greedily into the longest pieces that occur in the sample;
 few pieces mean few bits, pieces * log2(sample length), and the language with
-the fewest bits per code point wins. Automata become dense transition tables,
+the fewest bits wins (all parse the same letters and gaps). Automata become dense transition tables,
 so a worker parses thousands of text blocks in step with numpy; whole texts
 are covered (a piece ends at a block border in every language alike).
 
@@ -20,6 +20,7 @@ are replaced.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,16 +35,19 @@ from cellkpi.llm.common import arrow_batches, held_out, table, with_schema
 TRAIN_DOCS = 64
 TRAIN_CHARS = 20_000
 BLOCK = 256                  # code points parsed in step
-ALPHABET = 62                # most frequent characters; two more codes: other, padding
+ALPHABET = 60                # most frequent letters; more codes: other letters, gaps, padding
 STRIPE = 4096                # blocks in step
+SHARPNESS = 20.0             # score: 1 / sum of 2 ** -(SHARPNESS * share of bits above the winner's)
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
-_OTHER, _PAD, _CODES = 0, ALPHABET + 1, ALPHABET + 2
+_OTHER, _GAP, _PAD, _CODES = 0, ALPHABET + 1, ALPHABET + 2, ALPHABET + 3
 _ENDS = 1 << 30              # flag of a transition that begins a piece
 
 
-def normal(text: str) -> str:
-    return " ".join(text.lower().split())
+@lru_cache(maxsize=1)
+def _letters() -> list[tuple[int, str]]:
+    """(code point, lower case) of every letter."""
+    return [(i, chr(i).lower()) for i in range(sys.maxunicode + 1) if chr(i).isalpha()]
 
 
 def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
@@ -79,22 +83,28 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
 class CrossParser:
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
-        seen = Counter("".join(samples.values()))
-        chars = sorted(sorted(seen), key=lambda c: -seen[c])[:ALPHABET]
-        self._code = np.zeros(0x110000, np.uint8)
-        for i, c in enumerate(chars):
-            self._code[ord(c)] = i + 1
-        tables, self._roots, base = [], [], 0
+        seen = Counter(c for c in "".join(samples.values()).lower() if c.isalpha())
+        chars = {c: i + 1 for i, c in enumerate(sorted(sorted(seen), key=lambda c: -seen[c])[:ALPHABET])}
+        self._code = np.full(sys.maxunicode + 1, _GAP, np.uint8)
+        for i, lower in _letters():
+            self._code[i] = chars.get(lower, _OTHER)
+        tables, self._roots, self.bits, base = [], [], [], 0
         for name in self.languages:
-            t = self._table(self.codes(samples[name]).tolist(), base)
+            coded = self.codes(samples[name])
+            t = self._table(coded.tolist(), base)
+            self.bits.append(np.log2(max(2, len(coded))))
             tables.append(t)
             self._roots.append(base * _CODES)
             base += len(t)
         self._moves = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
-        self.bits = np.array([np.log2(max(2, len(samples[x]))) for x in self.languages])
+        self.bits = np.array(self.bits)
 
     def codes(self, text: str) -> np.ndarray:
-        return self._code[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        """Letters in lower case; whatever stands between letters is one gap."""
+        raw = self._code[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        keep = raw != _GAP
+        keep[1:] |= raw[:-1] != _GAP
+        return raw[keep]
 
     def _table(self, codes: list[int], base: int) -> np.ndarray:
         """Next state times _CODES for each state and code. Where the piece ends (and
@@ -145,11 +155,11 @@ class CrossParser:
         score = np.zeros(len(texts))
         known = [i for i, t in enumerate(shown) if t is not None]
         if self.languages and known:
-            bits = self.pieces([normal(shown[i]) for i in known]) * self.bits
+            bits = self.pieces([shown[i] for i in known]) * self.bits
             best = bits.argmin(axis=1)
             names[known] = np.array(self.languages, object)[best]
-            over = np.minimum(bits - bits.min(axis=1, keepdims=True), 1000.0)
-            score[known] = 1 / np.exp2(-over).sum(axis=1)
+            over = bits / np.maximum(bits.min(axis=1, keepdims=True), 1) - 1        # share of bits above the winner's
+            score[known] = 1 / np.exp2(-SHARPNESS * over).sum(axis=1)
         return names.tolist(), score
 
 
@@ -173,7 +183,7 @@ def training_sample(labelled: DataFrame, docs_per_language: int = TRAIN_DOCS,
     wanted, out = {(r.lang, r.h) for r in picked}, {}
     for r in texts:
         if (r.lang, r.h) in wanted and len(out.get(r.lang, "")) < chars:
-            out[r.lang] = (out.get(r.lang, "") + " " + normal(r.text))[:chars].lstrip()
+            out[r.lang] = (out.get(r.lang, "") + " " + r.text)[:chars].lstrip()
     return {lang: text for lang, text in out.items() if text}
 
 
@@ -188,7 +198,7 @@ def _identify(samples, names: list[str]):
 
 
 def identify_language(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
-    """``docs`` plus ``lang_pred`` and ``score`` (posterior of the winner)."""
+    """``docs`` plus ``lang_pred`` and ``score`` (1: no other language comes near)."""
     spark = docs.sparkSession
     arrow_batches(spark)
     out = with_schema(docs, lang_pred="string", score="double")
