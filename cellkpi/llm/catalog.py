@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from cellkpi.llm.byte_bpe import op3_byte_bpe
+from cellkpi.llm.language_id import op9_language_id
 from cellkpi.llm.line_dedup import OP1_SQL, op1_line_dedup
 
 Q = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op9_language_id": op9_language_id,
 }
 
 SQL = {
