@@ -5,10 +5,14 @@ from __future__ import annotations
 from cellkpi.llm.byte_bpe import op3_byte_bpe
 from cellkpi.llm.language_id import op9_language_id
 from cellkpi.llm.line_dedup import OP1_SQL, op1_line_dedup
+from cellkpi.llm.sharding import op7_sharding
+from cellkpi.llm.toxicity import op5_toxicity
 
 Q = {
     "op1_line_dedup": op1_line_dedup,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_toxicity": op5_toxicity,
+    "op7_sharding": op7_sharding,
     "op9_language_id": op9_language_id,
 }
 
