@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 from cellkpi.llm.byte_bpe import op3_byte_bpe
+from cellkpi.llm.chat_format import OP4_SQL, op4_chat_format
 from cellkpi.llm.language_id import op9_language_id
 from cellkpi.llm.line_dedup import OP1_SQL, op1_line_dedup
 from cellkpi.llm.sharding import op7_sharding
+from cellkpi.llm.topk_search import OP6_SQL, op6_topk_search
 from cellkpi.llm.toxicity import op5_toxicity
 
 Q = {
     "op1_line_dedup": op1_line_dedup,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_chat_format": op4_chat_format,
     "op5_toxicity": op5_toxicity,
+    "op6_topk_search": op6_topk_search,
     "op7_sharding": op7_sharding,
     "op9_language_id": op9_language_id,
 }
 
 SQL = {
     "op1_line_dedup": OP1_SQL,
+    "op4_chat_format": OP4_SQL,
+    "op6_topk_search": OP6_SQL,
 }

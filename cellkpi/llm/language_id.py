@@ -8,8 +8,9 @@ so a worker parses thousands of text blocks in step with numpy; whole texts
 are covered (a piece ends at a block border in every language alike).
 
 Bounds of the sample (parameters): ``TRAIN_DOCS`` different texts of each
-language, in the order of their hashes, and of these the first ``TRAIN_CHARS``
-code points; it is all that is collected.
+language (the smallest hash of each of as many residue classes, so one small
+aggregate finds them), and of these the first ``TRAIN_CHARS`` code points; it
+is all that is collected.
 
 Defined cases: null text or no letter gives ``und`` with score 0; so does an
 empty training set; equal bits go to the language first by name; null labels
@@ -27,7 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellkpi.llm.common import arrow_batches, held_out, table, with_schema
@@ -172,10 +173,8 @@ def training_sample(labelled: DataFrame, docs_per_language: int = TRAIN_DOCS,
                     chars: int = TRAIN_CHARS) -> dict[str, str]:
     """Text of each language from rows (text, lang), bounded by the parameters."""
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("h"))
-    first = Window.partitionBy("lang").orderBy("h")
-    keys = (rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(first))
-            .where(F.col("n") <= docs_per_language))
-    picked = keys.collect()                          # docs_per_language hashes a language
+    picked = (rows.groupBy("lang", F.expr(f"pmod(h, {docs_per_language})")).agg(F.min("h").alias("h"))
+              .collect())                            # docs_per_language hashes a language
     if not picked:
         return {}
     texts = (rows.where(F.col("h").isin(sorted({r.h for r in picked})))
