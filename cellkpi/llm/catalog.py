@@ -6,6 +6,7 @@ from cellkpi.llm.byte_bpe import op3_byte_bpe
 from cellkpi.llm.chat_format import OP4_SQL, op4_chat_format
 from cellkpi.llm.language_id import op9_language_id
 from cellkpi.llm.line_dedup import OP1_SQL, op1_line_dedup
+from cellkpi.llm.near_dup import OP8_SQL, op8_near_dup
 from cellkpi.llm.sharding import op7_sharding
 from cellkpi.llm.topk_search import OP6_SQL, op6_topk_search
 from cellkpi.llm.toxicity import op5_toxicity
@@ -17,6 +18,7 @@ Q = {
     "op5_toxicity": op5_toxicity,
     "op6_topk_search": op6_topk_search,
     "op7_sharding": op7_sharding,
+    "op8_near_dup": op8_near_dup,
     "op9_language_id": op9_language_id,
 }
 
@@ -24,4 +26,5 @@ SQL = {
     "op1_line_dedup": OP1_SQL,
     "op4_chat_format": OP4_SQL,
     "op6_topk_search": OP6_SQL,
+    "op8_near_dup": OP8_SQL,
 }
