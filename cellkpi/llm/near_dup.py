@@ -77,10 +77,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: bytes, between: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(hash, start) of each word of lower-cased bytes: differences of a prefix
-    sum of byte values times powers, brought back to power 0."""
+    sum of byte values times powers, brought back to power 0. ``between`` marks
+    the bytes that part words (default: white space)."""
     letters, space, *_ = _tables()
+    if between is not None:
+        space = between
     b = np.frombuffer(raw, np.uint8)
     word = ~space[b]
     edge = np.diff(word, prepend=False, append=False)
