@@ -8,12 +8,14 @@ from cellkpi.llm.decontaminate import op10_decontaminate
 from cellkpi.llm.language_id import op9_language_id
 from cellkpi.llm.line_dedup import OP1_SQL, op1_line_dedup
 from cellkpi.llm.near_dup import OP8_SQL, op8_near_dup
+from cellkpi.llm.pii import op2_pii
 from cellkpi.llm.sharding import op7_sharding
 from cellkpi.llm.topk_search import OP6_SQL, op6_topk_search
 from cellkpi.llm.toxicity import op5_toxicity
 
 Q = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_pii": op2_pii,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_chat_format": op4_chat_format,
     "op5_toxicity": op5_toxicity,
