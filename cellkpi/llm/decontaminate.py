@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellkpi.llm.common import arrow_batches, materialise, table, text_or_empty
+from cellkpi.llm.common import arrow_batches, doc_key, materialise, table, text_or_empty
 from cellkpi.llm.near_dup import STRETCH, word_hashes
 
 FEATURE_BITS = 16
@@ -319,5 +319,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "item_id", "best.cosine", "best.in_order", "best.answer")
 
 
+def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark passage."""
+    keyed = docs.withColumn("__row", F.xxhash64(doc_key(), text_or_empty()))
+    leaks = find_leaks(keyed.select(F.col("__row").alias("doc_id"), "text"), benchmark)
+    leaks = materialise(leaks.select(F.col("doc_id").alias("__row")).distinct(), "leaks")
+    return keyed.join(leaks, "__row", "left_anti").drop("__row")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))

@@ -362,6 +362,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("did", "print", "n", F.coalesce("component", "did").alias("component")))
 
 
+def keep_one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key names their group; of rows that repeat, one."""
+    found = near_duplicates(docs).where("did = component").select(
+        F.col("did").alias("__did"), F.col("print").alias("__print")).distinct()
+    return (docs.withColumns({"__did": doc_key(), "__print": F.xxhash64(text_or_empty())})
+            .join(found, ["__did", "__print"]).dropDuplicates(["__did", "__print"]).drop("__did", "__print"))
+
+
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         F.col("did").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
