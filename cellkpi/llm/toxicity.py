@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellkpi.llm.common import arrow_batches, held_out, table, text_or_empty, with_schema
+from cellkpi.llm.common import arrow_batches, held_out, materialise, table, text_or_empty, with_schema
 
 TRAIN_DOCS = 20_000
 PRIOR_SHARE = 0.02           # weight of the pooled prior, as a share of all counts
@@ -183,14 +183,17 @@ def _measure(model):
     return run
 
 
-def train(labelled: DataFrame, docs: int = TRAIN_DOCS) -> Model:
-    """Model from rows (doc_id, text, toxic); at most ``docs`` of them are used."""
-    spark = labelled.sparkSession
+def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model:
+    """Model from documents (doc_id, text) and labels (doc_id, toxic), of which the
+    first ``most`` documents by hash are used."""
+    spark = docs.sparkSession
     arrow_batches(spark)
-    rows = labelled.where("toxic IN (0, 1)").select(
-        F.xxhash64("doc_id").alias("h"), text_or_empty().alias("text"), F.col("toxic").cast("int"))
-    ids = (rows.groupBy("h").agg(F.max("toxic").alias("toxic")).orderBy("h").limit(docs))
-    sample = rows.drop("toxic").join(F.broadcast(ids), "h")        # at most ``docs`` rows of 12 bytes
+    ids = (labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL")
+           .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    sample = materialise(docs.select("doc_id", text_or_empty().alias("text"))
+                         .join(F.broadcast(ids), "doc_id")          # at most ``most`` rows of 12 bytes
+                         .select(F.xxhash64("doc_id").alias("h"), "text", "toxic"), "toxic-sample")
     curve = F.expr("pmod(xxhash64(h), 4) = 0")
     weights, shares = _weights(sample.where(~curve))
     draft = Model(weights, _lambda(shares), 0.0, 1.0, 0.0, True)
@@ -242,6 +245,6 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out())
-    model = train(docs.join(labels, "doc_id"))
+    model = train(docs, labels)
     scored = score_toxicity(docs.select("doc_id", "text", held_out().alias("held_out")), model)
     return scored.select("doc_id", "held_out", "score", "predicted")
