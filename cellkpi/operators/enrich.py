@@ -42,7 +42,7 @@ def prepare_lookup(lookup: DataFrame, cell_col: str, attrs: Mapping[str, str], *
     """
     cols = list(dict.fromkeys(attrs.values()))
     okey = [oss_key(oss_col).alias("_lkey_oss")] if oss_col is not None else []
-    lk = lookup.select(*okey, F.col(cell_col).alias("_lkey_cell"), *[F.col(a).alias(f"_lk_{a}") for a in cols])
+    lk = lookup.select(*okey, F.col(cell_col).cast("string").alias("_lkey_cell"), *[F.col(a).alias(f"_lk_{a}") for a in cols])
     if dedup:
         keys = (["_lkey_oss"] if oss_col is not None else []) + ["_lkey_cell"]
         lk = (lk.groupBy(*keys)
@@ -68,6 +68,10 @@ def enrich(counters: DataFrame, lookup: DataFrame, *, oss_col: str | None, cell_
     key the join gets its own exchanges and AQE's skew join splits the hot
     partition of the counters (replicating the lookup's matching partition).
 
+    Cell keys are compared as text on every path (a number equals the same
+    digits only: 7 is '7', not '07'), so the size of the lookup never changes
+    the answer; empty keys match empty keys, NULL keys match nothing.
+
     Older key variants: ``oss_col=None`` joins on the cell alone;
     ``lookup_filter`` restricts the lookup first (e.g. ``TECH = 'LTE'``).
     """
@@ -79,14 +83,14 @@ def enrich(counters: DataFrame, lookup: DataFrame, *, oss_col: str | None, cell_
                         dedup=dedup_lookup)
     if is_small(lk, broadcast_rows):
         lk = F.broadcast(lk)
-        cond = k[cell_col] == lk["_lkey_cell"]
+        cond = k[cell_col].cast("string") == lk["_lkey_cell"]
         if oss_col is not None:
             cond = (oss_key(k[oss_col]) == lk["_lkey_oss"]) & cond
     else:
         lk_oss = F.col("_lkey_oss") if oss_col is not None else F.lit("")
         k_oss = oss_key(k[oss_col]) if oss_col is not None else F.lit("")
         lk = lk.withColumn("_lkey", composite_key(lk_oss, F.col("_lkey_cell")))
-        cond = composite_key(k_oss, k[cell_col]) == lk["_lkey"]
+        cond = composite_key(k_oss, k[cell_col].cast("string")) == lk["_lkey"]
     out_cols = [k[c] for c in k.columns] + [
         F.coalesce(lk[f"_lk_{src}"], F.lit(UNASSIGNED)).alias(name) for name, src in attrs.items()]
     return k.join(lk, cond, "left").select(*out_cols)
@@ -150,5 +154,9 @@ def dedup_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, keep
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(f"`{c}`") for c in order + rest])
     pick = (F.max if keep == "last" else F.min)(packed).alias("_row")
-    out = df.groupBy(*keys).agg(pick)
-    return out.select(*[F.col(f"`{c}`") if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
+    keyed = F.lit(True)
+    for c in keys:
+        keyed = keyed & F.col(f"`{c}`").isNotNull()
+    out = df.where(keyed).groupBy(*keys).agg(pick)
+    out = out.select(*[F.col(f"`{c}`") if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
+    return out.unionByName(df.where(~keyed))     # rows without a whole key re-deliver nothing; all stay

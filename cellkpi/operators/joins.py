@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension side (rows) we hint as broadcast. One row per cell of a
-# national network is a few million rows at most; beyond this the join falls
-# back to a shuffled sort-merge join (AQE may still convert it at runtime).
+# Largest dimension side we hint as broadcast, in rows and in bytes of its
+# values. One row per cell of a national network is a few million rows at
+# most; beyond either bound the join falls back to a shuffled sort-merge join
+# (AQE may still convert it at run time). Both joins give the same rows.
 MAX_BROADCAST_ROWS = 5_000_000
+MAX_BROADCAST_BYTES = 512 << 20
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Exact size check (row count of the already pruned, deduplicated side)."""
-    return df.count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Exact size check (rows and bytes as text of the already pruned,
+    deduplicated side; one aggregate)."""
+    width = F.lit(0)
+    for c in df.columns:
+        width = width + F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def composite_key(*parts) -> Column:
@@ -33,5 +40,5 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, rows: int | No
     dimension, which is cheap for a dimension table and exact, unlike file
     size estimates of compressed parquet.
     """
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= max_rows else df
+    small = is_small(df, max_rows) if rows is None else rows <= max_rows
+    return F.broadcast(df) if small else df

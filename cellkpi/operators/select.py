@@ -48,8 +48,10 @@ def _per(store: DataFrame, per: Sequence[str] | None) -> list[str]:
 def latest_hours(store: DataFrame, n: int = 3, *, per: Sequence[str] | None = None) -> DataFrame:
     """Newest ``n`` available (date, hour) partitions of every market, across dates.
 
-    Not "the last n clock hours": gaps are skipped, as in the reference.
+    Not "the last n clock hours": gaps are skipped. ``n`` is 1 to 24.
     """
+    if not 1 <= n <= 24:
+        raise ValueError("a report takes 1 to 24 hours")
     per = _per(store, per)
     w = Window.partitionBy(*per).orderBy(F.col("pk_date").desc(), F.col("pk_hr").desc())
     return (partition_index(store).withColumn("hour_rank", F.row_number().over(w))

@@ -9,8 +9,9 @@ vendor specs stay rules instead of long copied lists.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,9 @@ from pyspark.sql import types as T
 
 from cellkpi.functions.scalars import day_stamp
 
-NUMERIC = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.DecimalType)
+NUMERIC = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DecimalType, T.BooleanType)
+# Columns the pipeline adds itself; they are never counters.
+PIPELINE_COLUMNS = ("pk_ft", "pk_date", "pk_market", "pk_hr", "pk_batch", "_source_file", "_rescued")
 GRAINS = ("rop", "hour", "day")
 
 # A MIN over text (the label columns) has no fixed-width buffer, so Spark runs
@@ -46,6 +49,8 @@ class Measure:
         dt = (dtypes or {}).get(self.source.lower())
         if self.func in ("sum", "avg", "max") and dt == "string":
             src = src.try_cast("double")          # text counters: cast, never compare as text
+        if dt == "boolean" and self.func != "count":
+            src = src.cast("int")
         if self.null_policy == "zero":
             src = F.coalesce(src, F.lit(0))
         fn = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.count}[self.func]
@@ -73,7 +78,8 @@ class CounterRule:
     Counters = numeric or string columns that are not identity/key columns.
     ``overrides``: source -> func; ``renames``: source -> alias;
     ``also``: source -> extra alias over the same aggregate; ``omit``: sources
-    that are emitted elsewhere in the spec.
+    that are emitted elsewhere in the spec; ``only``: the counters that the
+    spec names (None: every counter).
     """
     func: str = "sum"
     null_policy: str = "keep"
@@ -82,18 +88,11 @@ class CounterRule:
     also: tuple[tuple[str, str], ...] = ()
     omit: tuple[str, ...] = ()
     override_null_policy: str | None = None
-    prefix_renames: tuple[tuple[str, str], ...] = ()
-
-    def alias_for(self, name: str, renames: dict) -> str:
-        if name.lower() in renames:
-            return renames[name.lower()]
-        for old, new in self.prefix_renames:
-            if name.lower().startswith(old.lower()):
-                return new + name[len(old):]
-        return name
+    only: tuple[str, ...] | None = None
 
     def expand(self, schema: T.StructType, exclude: Iterable[str]) -> list[Measure]:
-        ex = {e.lower() for e in exclude} | {o.lower() for o in self.omit}
+        ex = {e.lower() for e in (*exclude, *PIPELINE_COLUMNS, *self.omit)}
+        only = None if self.only is None else {o.lower() for o in self.only}
         ov = {k.lower(): v for k, v in self.overrides}
         rn = {k.lower(): v for k, v in self.renames}
         al = {}
@@ -102,7 +101,7 @@ class CounterRule:
         out: list[Measure] = []
         for f in schema.fields:
             lname = f.name.lower()
-            if lname in ex or lname.startswith(("pk_", "_", "hl_")):
+            if lname in ex or (only is not None and lname not in only):
                 continue
             if not isinstance(f.dataType, (*NUMERIC, T.StringType)):
                 continue
@@ -110,7 +109,7 @@ class CounterRule:
             pol = self.null_policy if lname not in ov else (self.override_null_policy or self.null_policy)
             if func == "avg":
                 pol = "keep"
-            out.append(Measure(func, f.name, self.alias_for(f.name, rn), pol))
+            out.append(Measure(func, f.name, rn.get(lname, f.name), pol))
             for extra in al.get(lname, []):
                 out.append(Measure(func, f.name, extra, pol))
         return out
@@ -147,6 +146,11 @@ class KpiSpec:
         return [e.name if isinstance(e, Measure) else e.alias for e in self.expanded(schema)]
 
 
+def hour_of(spec: KpiSpec) -> Column:
+    """The hour a row belongs to (period starts that carry minutes are truncated)."""
+    return F.date_trunc("hour", F.col(spec.hour_key))
+
+
 def group_keys(spec: KpiSpec, grain: str) -> list[str]:
     if grain == "rop":
         return [*spec.time_keys, *spec.keys]
@@ -217,6 +221,8 @@ def aggregate(df: DataFrame, spec: KpiSpec, *, grain: str = "rop",
     ``label_split``: run text labels as a separate narrow aggregate (None =
     automatic for wide specs, see ``LABEL_SPLIT_MIN_MEASURES``).
     """
+    if grain == "hour" and dict(df.dtypes).get(next((c for c in df.columns if c.lower() == spec.hour_key.lower()), "")) != "string":
+        df = df.withColumn(next(c for c in df.columns if c.lower() == spec.hour_key.lower()), hour_of(spec))
     extra = [k for k in extra_keys if k in df.columns and not (grain == "day" and k == "pk_hr")]
     keys = [k for k in group_keys(spec, grain) if k.lower() not in {e.lower() for e in extra}] + extra
     dtypes = {n.lower(): t for n, t in df.dtypes}
@@ -266,8 +272,9 @@ def aggregate(df: DataFrame, spec: KpiSpec, *, grain: str = "rop",
 def aggregate_from_schema(df: DataFrame, schema: T.StructType,
                           extra_keys: Sequence[str] = ()) -> DataFrame:
     """Schema-driven builder: field metadata 'agg' = MIN/MAX/SUM -> aggregate,
-    EXCLUDE/absent -> dropped, any other text -> SQL expression used as a
-    group key (e.g. the cell name)."""
+    EXCLUDE/absent -> dropped, a text that calls an aggregate (``sum(a)/sum(b)``)
+    -> a formula, any other text -> SQL expression used as a group key (e.g.
+    the cell name)."""
     aggs, keys = [], []
     dtypes = {n.lower(): t for n, t in df.dtypes}
     for f in schema.fields:
@@ -276,12 +283,18 @@ def aggregate_from_schema(df: DataFrame, schema: T.StructType,
             continue
         if a.upper() in ("MIN", "MAX", "SUM"):
             aggs.append(Measure(a.lower(), f.name).column(dtypes))
+        elif AGGREGATE_CALL.search(a):
+            aggs.append(F.expr(a).alias(f.name))
         else:
             keys.append(F.expr(a).alias(f.name))
     keys += [F.col(k) for k in extra_keys]
     return df.groupBy(*keys).agg(*aggs)
 
 
+# An 'agg' text that calls one of these is a formula over the group, any other text is a group key.
+AGGREGATE_CALL = re.compile(r"\b(sum|min|max|avg|count)\s*\(", re.I)
+
+
 # --------------------------------------------------------------------------
 # Specs kept as SQL text (the source system's feature files)
 # --------------------------------------------------------------------------
@@ -305,17 +318,59 @@ def load_sql_features(path: str, *, pick: str = "first") -> dict[str, tuple[str,
     return out
 
 
+# One item of a SELECT text that aggregates a counter: func([IFNULL(]counter[, 0)]) [AS alias].
+_MEASURE_ITEM = re.compile(r"\b(sum|min|max|avg)\s*\(\s*(?:(ifnull)\s*\(\s*)?([A-Za-z_]\w*)\s*(?:,\s*0\s*\)\s*)?\)"
+                           r"(?:\s+as\s+([A-Za-z_]\w*))?", re.I)
+
+
+def typed_measures(select: str) -> list[Measure]:
+    """The counter aggregates that a SELECT text names, as typed measures, in
+    order: the counters of a spec come from its file, not from the data."""
+    return [Measure(m[1].lower(), m[3], m[4], "zero" if m[2] else "keep") for m in _MEASURE_ITEM.finditer(select)]
+
+
+def with_measures(spec: KpiSpec, measures: Sequence[Measure]) -> KpiSpec:
+    """``spec`` with its counter rule replaced by named measures (those it already
+    has stay where they are)."""
+    own = {i.name.lower() for i in spec.items if isinstance(i, Measure)}
+    named = [m for m in measures if m.name.lower() not in own]
+    items = [x for i in spec.items for x in (named if isinstance(i, CounterRule) else [i])]
+    return replace(spec, items=tuple(items))
+
+
+def typed_store(store: DataFrame, select: str) -> DataFrame:
+    """Text columns that ``select`` sums, averages or compares by size become
+    numbers (tolerantly: junk is NULL), so '10' > '9'; a column that is only a
+    label (MIN of text) stays text."""
+    text = {n.lower(): n for n, t in store.dtypes if t == "string"}
+    numeric = {m.source.lower() for m in typed_measures(select) if m.func != "min"}
+    return store.withColumns({text[c]: F.col(f"`{text[c]}`").try_cast("double") for c in sorted(numeric & text.keys())})
+
+
+def _named_items(select: str) -> str:
+    """Aggregates without an alias get their counter's name."""
+    def name(m: re.Match) -> str:
+        return m[0] if m[4] else f"{m[0]} AS {m[3]}"
+    return _MEASURE_ITEM.sub(name, select) if not _NESTED.search(select) else select
+
+
+_NESTED = re.compile(r"\)\s*[-+*/]|[-+*/]\s*(?:sum|min|max|avg)\s*\(", re.I)      # formulas keep their own text
+
+
 def sql_feature_aggregate(store: DataFrame, select: str, groupby: str, *,
                           extra_keys: Sequence[str] = ("pk_ft", "pk_date", "pk_market", "pk_hr"),
                           run_id: Column | None = None) -> DataFrame:
     """Run a text spec over ``store`` with Spark SQL, set-at-a-time.
 
+    Counters kept as text are typed first (:func:`typed_store`).
+
     The partition keys are appended to the select list and GROUP BY so one
     query over all selected partitions equals a loop of per-partition
     queries; the 'unassigned' run id is replaced by ``run_id`` (a column,
     not text substitution); of case-variant duplicate output names the last
     is kept (parquet rejects duplicates).
     """
+    store, select = typed_store(store, select), _named_items(select)
     extra = [k for k in extra_keys if k in store.columns]
     sel = select + "".join(f", {k}" for k in extra)
     grp = groupby + "".join(f", {k}" for k in extra)

@@ -9,6 +9,8 @@ copied lists.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from cellkpi.operators.spec import CounterRule, Item, KpiSpec, Measure
 from cellkpi.sources.schema import IDENTITY
 
@@ -22,11 +24,15 @@ ERIC_LTE_MAX = ("pmRrcConnMax", "pmPdcpBitrateDlDrbMax", "pmPdcpBitrateUlDrbMax"
 ERIC_LTE_GCR = ("pmHoPrepAtt", "pmHoPrepSucc", "pmHoExeAtt", "pmHoExeSucc")
 # Ericsson LTE: second name of the reporting-period duration.
 ERIC_LTE_DURATION_ALIAS = "period_duration_eutcfd19"
-# Ericsson LTE ROP spec: renamed counter groups (source prefix -> output prefix).
-ERIC_LTE_PREFIX_RENAMES = (("pmRadioRecInterferencePwrPucch_", "pmRadioRecInterfernPwrPucch_"),
-                           ("pmCellHo", "pmHo"))
-# Ericsson LTE hourly spec: only the interference group is renamed.
-ERIC_LTE_HOURLY_PREFIX_RENAMES = (("pmRadioRecInterferencePwrPucch_", "pmRadioRecInterfernPwrPucch_"),)
+# Ericsson LTE: the interference histogram's bins are renamed (both specs).
+ERIC_LTE_BIN_RENAMES = tuple((f"pmRadioRecInterferencePwrPucch_{i}", f"pmRadioRecInterfernPwrPucch_{i}") for i in range(16))
+# Ericsson LTE ROP spec: renamed handover counters. (The hourly spec reads and
+# writes the names on the right.)
+ERIC_LTE_HO_RENAMES = (
+    ("pmCellHoExeAttLteInterF", "pmHoExeAttLteInterF"), ("pmCellHoExeAttLteIntraF", "pmHoExeAttLteIntraF"),
+    ("pmCellHoExeSuccLteInterF", "pmHoExeSuccLteInterF"), ("pmCellHoExeSuccLteIntraF", "pmHoExeSuccLteIntraF"),
+    ("pmCellHoPrepAttLteInterF", "pmHoPrepAttLteInterF"), ("pmCellHoPrepAttLteIntraF", "pmHoPrepAttLteIntraF"),
+    ("pmCellHoPrepSuccLteInterF", "pmHoPrepSuccLteInterF"), ("pmCellHoPrepSuccLteIntraF", "pmHoPrepSuccLteIntraF"))
 # Ericsson UMTS ROP spec: one renamed counter.
 ERIC_UMTS_RENAMES = (("pmNoRabEstablishAttemptSpeech", "pmNoRabEstablishAttempSpeech"),)
 # Ericsson UMTS: sector layer and sort key expressions.
@@ -68,14 +74,18 @@ ENRICHED = ("HL_Market", "HL_Cluster", "HL_Area", "HL_Site", "HL_Sector", "HL_Ma
 # ----------------------------------------------------------------------------
 
 
-def ericsson_lte(hourly: bool = False) -> KpiSpec:
-    """Ericsson LTE: SUM(IFNULL(c,0)) of every counter, three floored maxima,
-    labels by MIN, ROP keys (or hour keys without OSS for the hourly spec)."""
+def ericsson_lte(hourly: bool = False, counters: Sequence[str] | None = None) -> KpiSpec:
+    """Ericsson LTE: SUM(IFNULL(c,0)), three floored maxima, labels by MIN, ROP
+    keys (or hour keys without OSS for the hourly spec). ``counters``: the
+    counters that the spec names (the schema has ten times as many), for
+    example ``[m.source for m in typed_measures(text)]`` of its feature file;
+    None takes every counter of the input."""
     rule = CounterRule(
         func="sum", null_policy="zero",
         overrides=tuple((c, "max") for c in ERIC_LTE_MAX),
         also=tuple((c, f"{c}_gcr") for c in ERIC_LTE_GCR) + (("period_duration", ERIC_LTE_DURATION_ALIAS),),
-        prefix_renames=ERIC_LTE_HOURLY_PREFIX_RENAMES if hourly else ERIC_LTE_PREFIX_RENAMES,
+        renames=ERIC_LTE_BIN_RENAMES + (() if hourly else ERIC_LTE_HO_RENAMES),
+        only=None if counters is None else (*counters, "period_duration"),
     )
     items = [
         Item("MGR_RUN_ID", "run_id", "unassigned"),
@@ -99,8 +109,10 @@ def ericsson_lte(hourly: bool = False) -> KpiSpec:
                    hour_key="hl_date", identity=IDENTITY[("ericsson", "lte")] + ENRICHED)
 
 
-def ericsson_umts(hourly: bool = False) -> KpiSpec:
-    rule = CounterRule(func="sum", null_policy="zero", renames=() if hourly else ERIC_UMTS_RENAMES)
+def ericsson_umts(hourly: bool = False, counters: Sequence[str] | None = None) -> KpiSpec:
+    """Ericsson UMTS; ``counters`` as for :func:`ericsson_lte`."""
+    rule = CounterRule(func="sum", null_policy="zero", renames=() if hourly else ERIC_UMTS_RENAMES,
+                       only=None if counters is None else tuple(counters))
     items = [
         Item("MGR_RUN_ID", "run_id", "unassigned"),
         Measure("min", "region", "region"), Measure("min", "market", "market"),

@@ -73,18 +73,23 @@ ERIC_UMTS_BASE = _w(dt.KL_SQL, dt.SL_SQL, vt.ERIC_UMTS_SQL, _ERIC_UMTS_ENRICHED_
 
 
 def _eric_lte_counters(rop: bool) -> str:
-    ho = "pmHoExeAttLteInterF" if rop else "pmCellHoExeAttLteInterF"
+    ho = "pmCellHoExeAttLteInterF" if rop else "pmHoExeAttLteInterF"      # the other one is not in the spec
     return ",\n  ".join([
         _sum0("PERIOD_DURATION"), _sum0("PERIOD_DURATION", "period_duration_eutcfd19"),
         _sum0("pmRrcConnEstabAtt"), _r("max(ifnull(pmRrcConnMax, 0))", "pmRrcConnMax"),
         _sum0("pmHoPrepAtt"), _sum0("pmHoPrepAtt", "pmHoPrepAtt_gcr"),
         _sum0("pmHoExeSucc"), _sum0("pmHoExeSucc", "pmHoExeSucc_gcr"),
-        _sum0("pmCellHoExeAttLteInterF", ho),
+        _sum0(ho, "pmHoExeAttLteInterF"),
         _sum0("pmRadioRecInterferencePwrPucch_0", "pmRadioRecInterfernPwrPucch_0"),
         _sum0("pmPdcchCceUtil_0"), _sum0("pmPdcchCceUtil_1"), _sum0("pmPdcchCceUtil_2"),
     ])
 
 
+# The spec names its counters: the reporting-period spec the first handover
+# name, the hourly spec the second; the input has both.
+ROP_COUNTERS = [c for c in vt.ERIC_LTE_COUNTERS if c != "pmHoExeAttLteInterF"]
+HOUR_COUNTERS = [c for c in vt.ERIC_LTE_COUNTERS if c != "pmCellHoExeAttLteInterF"]
+UMTS_HOUR_COUNTERS = vt.ERIC_UMTS_COUNTERS[1:]
 _ERIC_LABELS = "'unassigned' AS MGR_RUN_ID, min(Region) AS Region, min(Market) AS Market, " \
                "min(SubNetwork_2) AS SubNetwork_2"
 
@@ -99,7 +104,7 @@ FROM e GROUP BY HL_DATE, PERIOD_START_TIME, MeContext, EUtranCellFDD, HL_Market,
   pk_date, pk_hr""")
 def family_eric_lte_rop(spark, sf):
     """Ericsson LTE at reporting-period grain."""
-    return finish(aggregate(_eric_lte(spark, sf), fam.ericsson_lte(), grain="rop"))
+    return finish(aggregate(_eric_lte(spark, sf), fam.ericsson_lte(counters=ROP_COUNTERS), grain="rop"))
 
 
 @q("family_eric_lte_hourly", ERIC_LTE_BASE + f"""SELECT {_ERIC_LABELS},
@@ -111,7 +116,7 @@ def family_eric_lte_rop(spark, sf):
 FROM e GROUP BY HL_DATE, MeContext, EUtranCellFDD, HL_Market, HL_Cluster, HL_Area, pk_date, pk_hr""")
 def family_eric_lte_hourly(spark, sf):
     """Ericsson LTE hourly spec (no OSS key, un-prefixed handover names)."""
-    return finish(aggregate(_eric_lte(spark, sf), fam.ericsson_lte(hourly=True), grain="hour"))
+    return finish(aggregate(_eric_lte(spark, sf), fam.ericsson_lte(hourly=True, counters=HOUR_COUNTERS), grain="hour"))
 
 
 @q("family_eric_lte_daily", ERIC_LTE_BASE + f"""SELECT {_ERIC_LABELS},
@@ -123,7 +128,7 @@ def family_eric_lte_hourly(spark, sf):
 FROM e GROUP BY MeContext, EUtranCellFDD, HL_Market, HL_Cluster, HL_Area, OSSName, pk_date""")
 def family_eric_lte_daily(spark, sf):
     """A9 with the E1 spec: a true daily collapse (the period key goes too)."""
-    return finish(aggregate(_eric_lte(spark, sf), fam.ericsson_lte(), grain="day"))
+    return finish(aggregate(_eric_lte(spark, sf), fam.ericsson_lte(counters=ROP_COUNTERS), grain="day"))
 
 
 @q("family_eric_lte_wide", ERIC_LTE_WIDE_BASE + f"""SELECT {_ERIC_LABELS},
@@ -140,7 +145,8 @@ def family_eric_lte_wide(spark, sf):
     text labels off into a narrow aggregate (see ``operators.spec``)."""
     e = enrich_for(vt.eric_lte_wide_rows(spark, sf), dt.sl(spark, sf), "ericsson", "lte")
     e = derive_pk(e, date_col="HL_DATE", hour_col="PERIOD_START_TIME")
-    return finish(aggregate(e, fam.ericsson_lte(), grain="rop"))
+    wide = [f"{vt.WIDE_PREFIX}{i}" for i in range(vt.WIDE_COUNTERS)]
+    return finish(aggregate(e, fam.ericsson_lte(counters=[*ROP_COUNTERS, *wide]), grain="rop"))
 
 
 _UMTS_SORT = "substr(UtranCell, 1, 1) || substr(UtranCell, -1, 1) || substr(UtranCell, -2, 1)"
@@ -152,7 +158,8 @@ _ERIC_UMTS_LABELS = "'unassigned' AS MGR_RUN_ID, min(Region) AS region, min(Mark
 @q("family_eric_umts_rop", ERIC_UMTS_BASE + f"""SELECT {_ERIC_UMTS_LABELS},
   {_ts('PERIOD_START_TIME')} AS PERIOD_START_TIME, {_sum('PERIOD_DURATION')},
   min(MeContext) AS mecontext, UtranCell AS utrancell,
-  {_sum0('pmNoRabEstablishAttemptSpeech', 'pmNoRabEstablishAttempSpeech')}, {_sum0('pmTotNoRrcConnectReq')},
+  {_sum0('pmNoRabEstablishAttemptSpeech', 'pmNoRabEstablishAttempSpeech')}, {_sum0('pmnorabestablishsuccessspeech')},
+  {_sum0('pmnonormalrabreleasespeech')},
   {_UMTS_SORT} AS hl_umtssort, {_ts('HL_DATE')} AS HL_Date_Hour, {_ts('PERIOD_START_TIME')} AS HL_Date,
   UtranCell AS HL_Sector, {_UMTS_LAYER} AS HL_Sectorlayer, HL_Site, HL_Cluster, HL_Area, HL_Market,
   OSSName AS OSS, pk_date, HL_Market AS pk_market, pk_hr
@@ -160,13 +167,13 @@ FROM e GROUP BY HL_DATE, PERIOD_START_TIME, UtranCell, HL_Market, HL_Cluster, HL
   pk_date, pk_hr""")
 def family_eric_umts_rop(spark, sf):
     """Ericsson UMTS at reporting-period grain (sort key, sector layer, site from lookup)."""
-    return finish(aggregate(_eric_umts(spark, sf), fam.ericsson_umts(), grain="rop"))
+    return finish(aggregate(_eric_umts(spark, sf), fam.ericsson_umts(counters=vt.ERIC_UMTS_COUNTERS), grain="rop"))
 
 
 @q("family_eric_umts_hourly", ERIC_UMTS_BASE + f"""SELECT {_ERIC_UMTS_LABELS},
   {_ts('HL_DATE')} AS PERIOD_START_TIME, {_sum('PERIOD_DURATION')},
   min(MeContext) AS mecontext, UtranCell AS utrancell,
-  {_sum0('pmNoRabEstablishAttemptSpeech')}, {_sum0('pmTotNoRrcConnectReq')},
+  {_sum0('pmnorabestablishsuccessspeech')}, {_sum0('pmnonormalrabreleasespeech')},
   {_UMTS_SORT} AS hl_umtssort, {_ts('HL_DATE')} AS HL_Date_Hour, {_ts('HL_DATE')} AS HL_Date,
   UtranCell AS HL_Sector, {_UMTS_LAYER} AS HL_Sectorlayer, 'U' || substring(UtranCell, 2, 8) AS HL_Site,
   'unassigned' AS HL_Cluster, 'unassigned' AS HL_Area, HL_Market,
@@ -174,7 +181,7 @@ def family_eric_umts_rop(spark, sf):
 FROM e GROUP BY HL_DATE, HL_Market, UtranCell, pk_date, pk_hr""")
 def family_eric_umts_hourly(spark, sf):
     """Ericsson UMTS hourly (site by the name rule, cluster/area constant)."""
-    return finish(aggregate(_eric_umts(spark, sf), fam.ericsson_umts(hourly=True), grain="hour"))
+    return finish(aggregate(_eric_umts(spark, sf), fam.ericsson_umts(hourly=True, counters=UMTS_HOUR_COUNTERS), grain="hour"))
 
 
 # --------------------------------------------------------------------- Nokia
@@ -239,15 +246,19 @@ def family_nokia_lte_cell_load_daily(spark, sf):
     return finish(aggregate(rows, fam.nokia_lte("cell_load"), grain="day"))
 
 
+_HOUR = "date_trunc('hour', PERIOD_START_TIME)"
+
+
 @q("family_nokia_lte_cell_load_hourly", CELL_LOAD_BASE + f"""SELECT 'unassigned' AS MGR_RUN_ID,
-  min(OSS) AS oss, {_ts('PERIOD_START_TIME')} AS PERIOD_START_TIME, {_sum('PERIOD_DURATION', 'period_duration')},
+  min(OSS) AS oss, {_ts(_HOUR)} AS PERIOD_START_TIME, {_sum('PERIOD_DURATION', 'period_duration')},
   MO_DN AS mo_dn, MO_DN2 AS cell,
   {_cell_load_measures()},
-  {_ts('PERIOD_START_TIME')} AS HL_Date_Hour, {_ts('PERIOD_START_TIME')} AS HL_Date, {_NOKIA_TAIL}, pk_hr
-FROM ne GROUP BY PERIOD_START_TIME, MO_DN, MO_DN2, {_NOKIA_LTE_KEYS}, pk_hr""")
+  {_ts(_HOUR)} AS HL_Date_Hour, {_ts(_HOUR)} AS HL_Date, {_NOKIA_TAIL}, pk_hr
+FROM ne GROUP BY {_HOUR}, MO_DN, MO_DN2, {_NOKIA_LTE_KEYS}, pk_hr""")
 def family_nokia_lte_cell_load_hourly(spark, sf):
-    """N9 with the hl_date-grain spec set: every time column is hl_date (= the
-    period start in the Nokia layout), no HL_Date_Hour / period keys."""
+    """N9 with the hl_date-grain spec set: every time column is the hour of
+    hl_date (the period start in the Nokia layout, truncated), so the
+    quarter-hours of an hour are one row; no HL_Date_Hour / period keys."""
     rows = _nokia(vt.nokia_cell_load_rows(spark, sf), dt.cl(spark, sf), "lte", "lte_cell_load")
     return finish(aggregate(rows, fam.nokia_lte("cell_load"), grain="hour"))
 
@@ -259,7 +270,7 @@ def family_nokia_lte_cell_load_hourly(spark, sf):
   MO_DN AS mo_dn, MO_DN2 AS cell,
   CAST(sum(pdcp_sdu_vol_ul) AS BIGINT) AS pdcp_sdu_vol_ul,
   {_r('max(pdcp_data_rate_max_ul)', 'pdcp_data_rate_max_ul')},
-  {_r('max(pdcp_data_rate_max_dl)', 'pdcp_data_rate_max_dl')}, {_sum('ip_tput_ul')},
+  {_r('max(pdcp_data_rate_max_dl)', 'pdcp_data_rate_max_dl')}, {_sum('IP_TPUT_TIME_UL_QCI_6')},
   HL_Date_Hour, {_ts('PERIOD_START_TIME')} AS HL_Date, {_NOKIA_TAIL}, pk_hr
 FROM ne GROUP BY PERIOD_START_TIME, HL_Date_Hour, MO_DN, MO_DN2, {_NOKIA_LTE_KEYS}, pk_hr""")
 def family_nokia_lte_throughput(spark, sf):
@@ -272,7 +283,7 @@ def family_nokia_lte_throughput(spark, sf):
                                   _nokia_enriched_sql("nl", "cl", "MO_DN2", "lte_isys_ho_gsm_nb_sum"))
    + f"""SELECT 'unassigned' AS MGR_RUN_ID, min(OSS) AS oss,
   {_ts('PERIOD_START_TIME')} AS PERIOD_START_TIME, {_sum('PERIOD_DURATION', 'period_duration')},
-  MO_DN_Source AS mo_dn, MO_DN2 AS cell, {_sum('isys_ho_gsm_att')}, {_sum('isys_ho_gsm_succ')},
+  MO_DN_Source AS mo_dn, MO_DN2 AS cell, {_sum('ISYS_HO_GERAN_SRVCC_ATT_NB')}, {_sum('ISYS_HO_GERAN_SRVCC_FAIL_NB')},
   HL_Date_Hour, {_ts('PERIOD_START_TIME')} AS HL_Date, {_NOKIA_TAIL}, pk_hr
 FROM ne GROUP BY PERIOD_START_TIME, HL_Date_Hour, MO_DN_Source, MO_DN2, {_NOKIA_LTE_KEYS}, pk_hr""")
 def family_nokia_lte_gsm_nb(spark, sf):
@@ -286,7 +297,7 @@ def family_nokia_lte_gsm_nb(spark, sf):
    + f"""SELECT 'unassigned' AS MGR_RUN_ID, min(OSS) AS oss,
   {_ts('PERIOD_START_TIME')} AS PERIOD_START_TIME, {_sum('PERIOD_DURATION', 'period_duration')},
   BASEID, LOCALMOID, CELL_ID_1, CELL_ID_2,
-  {_sum('cpich_ecno_class_0')}, {_sum('cpich_ecno_class_1')}, {_r('sum(try_cast(sho_att AS DOUBLE))', 'sho_att')},
+  {_sum('cpich_ecno_class_0')}, {_sum('cpich_ecno_class_1')}, {_r('sum(try_cast(cell_add_req_on_sho_for_rt AS DOUBLE))', 'cell_add_req_on_sho_for_rt')},
   HL_Date_Hour, {_ts('PERIOD_START_TIME')} AS HL_Date, {_NOKIA_TAIL}, pk_hr
 FROM ne GROUP BY PERIOD_START_TIME, HL_Date_Hour, BASEID, LOCALMOID, CELL_ID_1, CELL_ID_2,
   {_NOKIA_LTE_KEYS}, pk_hr""")

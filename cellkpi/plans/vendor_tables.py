@@ -25,14 +25,14 @@ from cellkpi.plans import driver_tables as dt
 
 # Counter and identity column names as the vendors' files carry them.
 ERIC_LTE_COUNTERS = ("pmRrcConnEstabAtt", "pmRrcConnMax", "pmHoPrepAtt", "pmHoExeSucc",
-                     "pmCellHoExeAttLteInterF", "pmRadioRecInterferencePwrPucch_0",
+                     "pmCellHoExeAttLteInterF", "pmHoExeAttLteInterF", "pmRadioRecInterferencePwrPucch_0",
                      "pmPdcchCceUtil_0", "pmPdcchCceUtil_1", "pmPdcchCceUtil_2")
-ERIC_UMTS_COUNTERS = ("pmNoRabEstablishAttemptSpeech", "pmTotNoRrcConnectReq")
+ERIC_UMTS_COUNTERS = ("pmNoRabEstablishAttemptSpeech", "pmnorabestablishsuccessspeech", "pmnonormalrabreleasespeech")
 NOKIA_CELL_LOAD_COUNTERS = ("rach_stp_att_small_msg", "rrc_conn_ue_max", "rrc_conn_ue_avg",
                             "cell_load_act_ue_max", "cell_load_act_ue_avg", "pdcp_sdu_delay_dl_dtch_mean")
-NOKIA_THROUGHPUT_COUNTERS = ("pdcp_sdu_vol_ul", "pdcp_data_rate_max_ul", "pdcp_data_rate_max_dl", "ip_tput_ul")
-NOKIA_GSM_NB_COUNTERS = ("isys_ho_gsm_att", "isys_ho_gsm_succ")
-NOKIA_SOFT_HO_COUNTERS = ("cpich_ecno_class_0", "cpich_ecno_class_1", "sho_att")
+NOKIA_THROUGHPUT_COUNTERS = ("pdcp_sdu_vol_ul", "pdcp_data_rate_max_ul", "pdcp_data_rate_max_dl", "IP_TPUT_TIME_UL_QCI_6")
+NOKIA_GSM_NB_COUNTERS = ("ISYS_HO_GERAN_SRVCC_ATT_NB", "ISYS_HO_GERAN_SRVCC_FAIL_NB")
+NOKIA_SOFT_HO_COUNTERS = ("cpich_ecno_class_0", "cpich_ecno_class_1", "cell_add_req_on_sho_for_rt")
 
 MO_DN_PREFIX = "MRBTS-"
 DURATION = 900.0
@@ -74,6 +74,7 @@ def eric_lte_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_linenumber").cast("double"),
         _null_when(flag == "A", F.col("l_tax") * 100),
         F.col("l_quantity") * F.col("l_discount"),
+        F.col("l_quantity") * F.col("l_tax"),
         F.col("l_extendedprice") / 100,
         F.col("qbin_0").cast("double"), F.col("qbin_1").cast("double"),
         _null_when(flag == "N", F.col("qbin_2").cast("double")),
@@ -114,7 +115,8 @@ def eric_umts_rows(spark: SparkSession, sf: str) -> DataFrame:
                     _null_when(F.col("l_linenumber") == 7, F.lit(DURATION)).alias("PERIOD_DURATION"),
                     _eric_oss(sk, ok).alias("OSSName"),
                     _null_when(flag == "R", F.col("l_quantity")).alias(ERIC_UMTS_COUNTERS[0]),
-                    (F.col("l_extendedprice") / 100).alias(ERIC_UMTS_COUNTERS[1]))
+                    (F.col("l_extendedprice") / 100).alias(ERIC_UMTS_COUNTERS[1]),
+                    (F.col("l_tax") * 100).alias(ERIC_UMTS_COUNTERS[2]), F.col("l_linenumber").cast("double").alias("Cntr"))
 
 
 def umts_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,7 +146,7 @@ ERIC_LTE_SQL = f"""el AS (
          CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_discount * 100 END AS pmRrcConnMax,
          CAST(l_linenumber AS DOUBLE) AS pmHoPrepAtt,
          CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_tax * 100 END AS pmHoExeSucc,
-         l_quantity * l_discount AS pmCellHoExeAttLteInterF,
+         l_quantity * l_discount AS pmCellHoExeAttLteInterF, l_quantity * l_tax AS pmHoExeAttLteInterF,
          l_extendedprice / 100 AS pmRadioRecInterferencePwrPucch_0,
          CAST(qbin_0 AS DOUBLE) AS pmPdcchCceUtil_0, CAST(qbin_1 AS DOUBLE) AS pmPdcchCceUtil_1,
          CASE WHEN l_returnflag = 'N' THEN NULL ELSE CAST(qbin_2 AS DOUBLE) END AS pmPdcchCceUtil_2
@@ -156,7 +158,8 @@ ERIC_UMTS_SQL = f"""eu AS (
          CASE WHEN l_linenumber = 7 THEN NULL ELSE {DURATION} END AS PERIOD_DURATION,
          {_ERIC_OSS_SQL},
          CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_quantity END AS pmNoRabEstablishAttemptSpeech,
-         l_extendedprice / 100 AS pmTotNoRrcConnectReq
+         l_extendedprice / 100 AS pmnorabestablishsuccessspeech, l_tax * 100 AS pmnonormalrabreleasespeech,
+         CAST(l_linenumber AS DOUBLE) AS Cntr
   FROM kl),
 ul AS (SELECT * REPLACE ({_UMTS_CELL_SQL.format(k="CAST(CELL_UID AS BIGINT)")} AS CELL) FROM sl)"""
 
@@ -235,7 +238,7 @@ NOKIA_CELL_LOAD_SQL = f"""nl AS (
 NOKIA_GSM_NB_SQL = f"""nl AS (
   SELECT {_nokia_common_sql('CAST(cell AS BIGINT)')}, oss AS OSS, PERIOD_START_TIME, {_EVENT_DURATION_SQL},
          'SRC-' || CAST(event_id % 3 AS VARCHAR) AS MO_DN_Source, cell AS MO_DN2,
-         value AS isys_ho_gsm_att, v_null AS isys_ho_gsm_succ
+         value AS ISYS_HO_GERAN_SRVCC_ATT_NB, v_null AS ISYS_HO_GERAN_SRVCC_FAIL_NB
   FROM kc)"""
 
 NOKIA_SOFT_HO_SQL = f"""nu AS (
@@ -243,7 +246,7 @@ NOKIA_SOFT_HO_SQL = f"""nu AS (
          'RNC-' || CAST(CAST(cell AS BIGINT) % 7 AS VARCHAR) AS BASEID,
          'WCEL-' || CAST(CAST(cell AS BIGINT) % 11 AS VARCHAR) AS LOCALMOID,
          cell AS CELL_ID_1, 'C' || CAST(CAST(cell AS BIGINT) % 2 AS VARCHAR) AS CELL_ID_2,
-         value AS cpich_ecno_class_0, v_null AS cpich_ecno_class_1, v_str AS sho_att
+         value AS cpich_ecno_class_0, v_null AS cpich_ecno_class_1, v_str AS cell_add_req_on_sho_for_rt
   FROM kc)"""
 
 NOKIA_THROUGHPUT_SQL = f"""nl AS (
@@ -253,7 +256,7 @@ NOKIA_THROUGHPUT_SQL = f"""nl AS (
          '{MO_DN_PREFIX}' || CAST(CAST(cell AS BIGINT) // 4 AS VARCHAR) AS MO_DN, cell AS MO_DN2,
          CAST(l_quantity AS BIGINT) AS pdcp_sdu_vol_ul, l_extendedprice / 100 AS pdcp_data_rate_max_ul,
          CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_discount * 100 END AS pdcp_data_rate_max_dl,
-         l_tax * 100 AS ip_tput_ul
+         l_tax * 100 AS IP_TPUT_TIME_UL_QCI_6
   FROM kl)"""
 
 ERIC_LTE_WIDE_SQL = "ew AS (\n  SELECT *,\n" + ",\n".join(

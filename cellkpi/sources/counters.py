@@ -74,8 +74,23 @@ def accept_known(df: DataFrame, known: DataFrame) -> DataFrame:
     return df.join(F.broadcast(known.select("pk_ft").distinct()), "pk_ft", "left_semi")
 
 
-def split_bad_periods(df: DataFrame, period_col: str = "PERIOD_START_TIME") -> tuple[DataFrame, DataFrame]:
-    """(good, quarantine): a NULL/unparseable period start would otherwise
-    land in the __HIVE_DEFAULT_PARTITION__ hour."""
+def is_bad_row(df: DataFrame, period_col: str = "PERIOD_START_TIME",
+               types: Sequence[str] | None = None) -> Column:
+    """True for a row that has no place in the store: a NULL/unparseable
+    period start or stamp (it would land in __HIVE_DEFAULT_PARTITION__), a
+    missing partition key, an empty family or, with ``types``, a family
+    without a registered schema."""
     bad = F.col(period_col).isNull()
+    for c in ("pk_date", "pk_hr", "pk_market", "pk_ft"):
+        if c in df.columns:
+            bad = bad | F.col(c).isNull() | (F.col(c) == "")
+    if types is not None:
+        bad = bad | ~F.col("pk_ft").isin(list(types))
+    return F.coalesce(bad, F.lit(True))
+
+
+def split_bad_periods(df: DataFrame, period_col: str = "PERIOD_START_TIME",
+                      types: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantine) by :func:`is_bad_row`; together they are all rows."""
+    bad = is_bad_row(df, period_col, types)
     return df.where(~bad), df.where(bad)

@@ -20,13 +20,14 @@ def export_csv(df: DataFrame, path: str, *, keys: Sequence[str] = ("export_key",
     tasks (several part files in that key's folder) instead of funnelling it
     through one; rows of hourly keys merged into a daily/market file are
     ordered by ``order`` (e.g. newest hour first) within each file. Keys
-    without rows produce no directory, so empty reports need no count.
+    without rows produce no directory, so empty reports need no count. An
+    overwrite replaces the whole export: keys of an earlier run do not stay.
     """
     keys = list(keys)
     out = df.hint("rebalance", *keys)
     if order:
         out = out.sortWithinPartitions(*keys, *order)
-    (out.write.mode(mode).option("header", True)
+    (out.write.mode(mode).option("header", True).option("partitionOverwriteMode", "static")
         .option("dateFormat", CSV_DATE_FORMAT).option("timestampFormat", CSV_TS_FORMAT)
         .partitionBy(*keys).csv(path))
     return path

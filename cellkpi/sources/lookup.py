@@ -9,8 +9,10 @@ LOOKUP_PARTITIONS = ("TECH", "VENDOR", "MARKET")
 
 
 def build_lookup(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write the lookup partitioned by TECH/VENDOR/MARKET (one file per partition)."""
-    (df.repartition(*LOOKUP_PARTITIONS).write.mode(mode)
+    """Write the lookup partitioned by TECH/VENDOR/MARKET (one file per partition).
+    An overwrite replaces the whole lookup whatever the session's overwrite
+    mode is: a cell that moved must not stay in its old market."""
+    (df.repartition(*LOOKUP_PARTITIONS).write.mode(mode).option("partitionOverwriteMode", "static")
        .partitionBy(*LOOKUP_PARTITIONS).parquet(path))
     return path
 

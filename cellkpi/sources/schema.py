@@ -15,7 +15,7 @@ IDENTITY = {
     ("ericsson", "lte"): ("MGR_RUN_ID", "MGR_RUNID", "HL_DATE", "HL_MARKET", "Region", "Market", "SubNetwork_2",
                           "MeContext", "EUtranCellFDD", "PERIOD_START_TIME", "OSSName", "Cntr"),
     ("ericsson", "umts"): ("MGR_RUN_ID", "MGR_RUNID", "HL_DATE", "HL_MARKET", "Region", "Market", "SubNetwork_2",
-                           "MeContext", "UtranCell", "PERIOD_START_TIME", "OSSName"),
+                           "MeContext", "UtranCell", "PERIOD_START_TIME", "OSSName", "Cntr"),
     ("nokia", "lte"): ("MGR_RUN_ID", "Region", "Market", "OSS", "PERIOD_START_TIME", "MO_DN", "MO_DN2",
                        "MO_DN_Source"),
     ("nokia", "umts"): ("MGR_RUN_ID", "Region", "Market", "OSS", "BASEID", "LOCALMOID", "CELL_ID_1",
@@ -111,7 +111,3 @@ def text_counters_to_double(df: DataFrame, identity: Iterable[str]) -> DataFrame
     """Registered string-typed counters -> double (so MAX never compares text)."""
     return typed_from_strings(df, None, identity=identity)
 
-
-def recast(df: DataFrame, casts: dict[str, str]) -> DataFrame:
-    """Explicit per-column recast (tolerant)."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in casts.items()})

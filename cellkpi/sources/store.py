@@ -58,17 +58,18 @@ def write_store(df: DataFrame, path: str, *, mode: str = "append",
     cols = [c for c in partition_by if c in df.columns]
     sort = [c for c in (*cols, *cluster_by) if c in df.columns]
     index = with_index and all(c in df.columns for c in PK)
+    overwrite = {"partitionOverwriteMode": "dynamic"}      # whatever the session says: only touched family-days
     own_cache = index and cache
     if own_cache:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        w = (df.hint("rebalance", *cols).sortWithinPartitions(*sort).write.mode(mode)
+        w = (df.hint("rebalance", *cols).sortWithinPartitions(*sort).write.mode(mode).options(**overwrite)
                .option("compression", compression).option("maxRecordsPerFile", max_records_per_file))
         if row_group_bytes:
             w = w.option("parquet.block.size", row_group_bytes)
         w.partitionBy(*cols).parquet(path)
         if index:
-            write_index(df, path, mode=mode)
+            write_index(df, path, mode=mode, overwrite_mode="dynamic")
     finally:
         if own_cache:
             df.unpersist()
@@ -76,7 +77,7 @@ def write_store(df: DataFrame, path: str, *, mode: str = "append",
 
 
 def write_index(rows: DataFrame, store_path: str, *, mode: str = "append",
-                partition_by: Sequence[str] = ("pk_ft", "pk_date"), overwrite_mode: str | None = None) -> str:
+                partition_by: Sequence[str] = ("pk_ft", "pk_date"), overwrite_mode: str = "dynamic") -> str:
     """Partition keys and row counts of ``rows`` into the store's index.
 
     One partial/final aggregate: its output has one row per partition key,
@@ -86,9 +87,7 @@ def write_index(rows: DataFrame, store_path: str, *, mode: str = "append",
     """
     keys = list(dict.fromkeys([*PK, *partition_by]))
     idx = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    w = idx.repartition(*partition_by).write.mode(mode)
-    if overwrite_mode:
-        w = w.option("partitionOverwriteMode", overwrite_mode)
+    w = idx.repartition(*partition_by).write.mode(mode).option("partitionOverwriteMode", overwrite_mode)
     w.partitionBy(*partition_by).parquet(index_path(store_path))
     return index_path(store_path)
 
@@ -145,7 +144,8 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType | None = Non
     Partition inference would type pk_date as date and pk_hr as int ('07' ->
     7); normalizing here keeps keys identical to what was written. Filters
     on these columns still prune partitions (they only reference partition
-    columns).
+    columns). A store of several families is read family by family
+    (:func:`read_family`): their columns differ.
     """
     r = spark.read
     if schema is not None:
@@ -153,6 +153,23 @@ def read_store(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return _normalise(r.parquet(path))
 
 
+def read_family(spark: SparkSession, path: str, family: str, schema: T.StructType | None = None) -> DataFrame:
+    """One family of a store that holds many: its directory only, with its own
+    columns. ``schema`` (the registered one) names the counters; of the store's
+    other columns only keys and enrichment are added, so a spec expands over the
+    family's registered counters whatever other families or old files carry."""
+    df = _normalise(spark.read.option("basePath", path).option("mergeSchema", schema is None)
+                    .parquet(f"{path.rstrip('/')}/pk_ft={family}"))
+    if schema is None:
+        return df
+    known = {f.name.lower() for f in schema.fields}
+    extra = [c for c in df.columns if c.lower().startswith(("pk_", "hl_"))]
+    have = {c.lower(): c for c in df.columns}
+    cols = [F.col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name) if f.name.lower() in have
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return df.select(*cols, *[F.col(c) for c in extra if c.lower() not in known])
+
+
 def _normalise(df: DataFrame) -> DataFrame:
     dt = dict(df.dtypes)
     fixes = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -34,46 +35,55 @@ def hourly_window_updates(stream: DataFrame, out_path: str, checkpoint: str, *,
                           value_col: str = "value", lateness: str = "2 hours", available_now: bool = True):
     """Run the watermarked hourly aggregate in update mode into a window log.
 
-    Each micro-batch writes the windows it changed into its own ``_batch``
-    partition (dynamic overwrite: a retried batch replaces its rows). Late
-    rows within ``lateness`` update their hour in a later batch; the current
+    Each micro-batch writes the windows it changed into its own ``_stream`` (the
+    query's id, kept in its checkpoint) and ``_batch`` partition (dynamic
+    overwrite: a retried batch replaces its rows, another stream's batches stay).
+    Late rows within ``lateness`` update their hour in a later batch; the current
     value of every window is the row of its newest batch
     (:func:`read_current_windows`). State is bounded by the watermark.
     """
+    from cellkpi.streaming.landing import start_keyed
+
     agg = hourly_window_stream(stream, time_col=time_col, keys=keys, value_col=value_col, lateness=lateness)
 
-    def _batch(df: DataFrame, batch_id: int) -> None:
-        (df.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(out_path))
+    def _batch(df: DataFrame, key: str) -> None:
+        stream_id, _, number = key.rpartition("-")
+        (df.withColumns({"_at": F.current_timestamp(), "_stream": F.lit(stream_id), "_batch": F.lit(int(number))})
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("_stream", "_batch").parquet(out_path))
 
-    w = (agg.writeStream.outputMode("update").foreachBatch(_batch)
-            .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    return start_keyed(agg, _batch, checkpoint, available_now, output_mode="update")
 
 
 def _newest_versions(spark, out_path: str, keys: Sequence[str]) -> DataFrame:
     from cellkpi.operators.enrich import dedup_rows
 
     log = spark.read.parquet(out_path)
-    return dedup_rows(log, ["window_start", *keys], ["_batch"], keep="last")
+    return dedup_rows(log, ["window_start", *keys], ["_at", "_batch"], keep="last")
 
 
 def read_current_windows(spark, out_path: str, keys: Sequence[str] = ("cell",)) -> DataFrame:
     """Current hourly values: per (window, keys) the row of the newest batch
     (a partial/final aggregate, see ``operators.enrich.dedup_rows``)."""
-    return _newest_versions(spark, out_path, keys).drop("_batch")
+    return _newest_versions(spark, out_path, keys).drop("_at", "_stream", "_batch")
 
 
 def compact_window_log(spark, out_path: str, keys: Sequence[str] = ("cell",)) -> str:
     """Rewrite the log as its current state (one version per window, each
     keeping the batch id it came from), so it stops growing with every
-    micro-batch. The current state is checkpointed first (reliable, under
-    ``spark.checkpoint.dir``) because a plan may not overwrite the files it
-    reads. Run it while the stream is stopped (between availableNow runs)."""
+    micro-batch. The current state is first checkpointed (reliable, under
+    ``spark.checkpoint.dir``), then added to the log as a stream of its own, and
+    only then are the partitions that it stands for emptied: a crash in between
+    leaves rows twice, never none. Run it while the stream is stopped."""
     from cellkpi.session import checkpoint_root
 
     checkpoint_root(spark)
+    old = [r[0] for r in spark.read.parquet(out_path).select("_stream").distinct().collect()]
     cur = _newest_versions(spark, out_path, keys).checkpoint(eager=True)
-    cur.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_batch").parquet(out_path)
+    cur.withColumns({"_stream": F.lit(f"compacted-{uuid.uuid4().hex[:12]}")}).write.mode("append") \
+        .partitionBy("_stream", "_batch").parquet(out_path)
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(out_path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for stream_id in old:
+        fs.delete(fs_path(f"{out_path}/_stream={stream_id}"), True)
     return out_path

@@ -26,15 +26,15 @@ CELL_LOAD = NOKIA_LTE_ID + [field("rach_stp_att_small_msg"), field("rrc_conn_ue_
                             field("rrc_conn_ue_avg", "string"), field("cell_load_act_ue_max", "string"),
                             field("cell_load_act_ue_avg", "string")]
 CELL_THROUGHPUT = NOKIA_LTE_ID + [field("pdcp_sdu_vol_ul", "long"), field("pdcp_data_rate_max_ul"),
-                                  field("pdcp_data_rate_max_dl"), field("ip_tput_ul")]
+                                  field("pdcp_data_rate_max_dl"), field("IP_TPUT_TIME_UL_QCI_6")]
 GSM_NB = [f if f["name"] != "MO_DN" else field("MO_DN_Source", "string") for f in NOKIA_LTE_ID] + [
-    field("isys_ho_gsm_att"), field("isys_ho_gsm_succ")]
+    field("ISYS_HO_GERAN_SRVCC_ATT_NB"), field("ISYS_HO_GERAN_SRVCC_FAIL_NB")]
 
 UMTS_ID = [field("MGR_RUN_ID", "string"), field("Region", "string"), field("Market", "string"),
            field("OSS", "string"), field("PERIOD_START_TIME", "timestamp"), field("PERIOD_DURATION"),
            field("BASEID", "string"), field("LOCALMOID", "string"), field("CELL_ID_1", "string"),
            field("CELL_ID_2", "string")]
-SOFT_HO = UMTS_ID + [field("cpich_ecno_class_0"), field("cpich_ecno_class_1"), field("sho_att", "string")]
+SOFT_HO = UMTS_ID + [field("cpich_ecno_class_0"), field("cpich_ecno_class_1"), field("cell_add_req_on_sho_for_rt", "string")]
 
 ERIC_LTE = [field("HL_DATE", "timestamp"), field("HL_MARKET", "string"), field("Region", "string"),
             field("Market", "string"), field("SubNetwork_2", "string"), field("MeContext", "string"),
@@ -48,7 +48,7 @@ ERIC_UMTS = [field("HL_DATE", "timestamp"), field("HL_MARKET", "string"), field(
              field("Market", "string"), field("SubNetwork_2", "string"), field("MeContext", "string"),
              field("UtranCell", "string"), field("PERIOD_START_TIME", "timestamp"),
              field("PERIOD_DURATION"), field("OSSName", "string"),
-             field("pmNoRabEstablishAttemptSpeech"), field("pmTotNoRrcConnectReq")]
+             field("pmNoRabEstablishAttemptSpeech"), field("pmnorabestablishsuccessspeech")]
 
 
 def schema(fields) -> T.StructType:

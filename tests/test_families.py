@@ -75,7 +75,7 @@ def test_nokia_neighbour_family_keyed_by_source(spark):
     rows = [("r", "R", "M", "OSS1", _ts("2024-01-05 10:00:00"), 900.0, "SRC", "UID1", 1.0, 1.0)]
     df = _nokia(spark, GSM_NB, rows)
     r = aggregate(df, fam.nokia_lte("isys_ho_gsm_nb_sum"), grain="rop").first()
-    assert r.mo_dn == "SRC" and r.isys_ho_gsm_att == 1.0
+    assert r.mo_dn == "SRC" and r.ISYS_HO_GERAN_SRVCC_ATT_NB == 1.0
 
 
 def test_nokia_umts_derived(spark):
@@ -83,7 +83,7 @@ def test_nokia_umts_derived(spark):
             ("r", "R", "M", "OSS3", _ts("2024-01-05 10:00:00"), 900.0, "B", "L", "UID9", "C2", 2.0, None, "x")]
     df = _nokia(spark, SOFT_HO, rows, tech="umts")
     r = aggregate(df, fam.nokia_umts("soft_handover"), grain="rop").first()
-    assert r.cpich_ecno_class_0 == 3.0 and r.cpich_ecno_class_1 is None and r.sho_att == 3.0
+    assert r.cpich_ecno_class_0 == 3.0 and r.cpich_ecno_class_1 is None and r.cell_add_req_on_sho_for_rt == 3.0
     assert r.HL_Market == "NO SUFFIX"
 
 
@@ -119,7 +119,9 @@ def test_ericsson_lte_hourly_and_daily(spark):
     df = _eric_lte(spark)
     h = aggregate(df, fam.ericsson_lte(hourly=True), grain="hour").collect()
     assert len(h) == 1 and h[0].pmRrcConnEstabAtt == 2.0 and "OSS" not in h[0].asDict()
-    assert "pmCellHoExeAttLteInterF" in h[0].asDict()          # hourly spec keeps source names
+    assert "pmCellHoExeAttLteInterF" in h[0].asDict()          # the rename belongs to the other spec
+    named = aggregate(df, fam.ericsson_lte(counters=["pmHoPrepAtt", "pmRrcConnMax"]), grain="rop").columns
+    assert "pmHoPrepAtt" in named and "pmPdcchCceUtil_0" not in named
     d = aggregate(df, fam.ericsson_lte(), grain="day").collect()
     assert len(d) == 1 and d[0].pmPdcchCceUtil_0 == 2.0
 
