@@ -50,6 +50,9 @@ def main() -> None:
     t = time.perf_counter()
     catalog.store(spark, sf_dir)
     timings["ingest_store"] = round(time.perf_counter() - t, 3)
+    t = time.perf_counter()
+    catalog.bulk_store_path(spark, sf_dir)
+    timings["ingest_bulk_store"] = round(time.perf_counter() - t, 3)
 
     for name in HEADLINE:
         fn = catalog.Q[name]

@@ -77,6 +77,16 @@ def store_path(spark: SparkSession, sf: str) -> str:
     return _STORES[key]
 
 
+def bulk_store_path(spark: SparkSession, sf: str) -> str:
+    """Path of the bulk counters' store (ingested once per application)."""
+    key = (spark.sparkContext.applicationId, sf, "bulk")
+    if key not in _STORES:
+        path = scratch_path(spark, "bulk-store")
+        write_store(ekl(spark, sf), path, mode="overwrite")
+        _STORES[key] = path
+    return _STORES[key]
+
+
 def store(spark: SparkSession, sf: str) -> DataFrame:
     return read_store(spark, store_path(spark, sf))
 
@@ -723,7 +733,9 @@ SELECT pk_hr || '-' || {_uuid_sql('pk_market')} AS MGR_RUN_ID, min(oss) AS oss,
   round(avg(l_tax), 4) AS l_tax, HL_Market, pk_ft, pk_date, pk_market, pk_hr
 FROM sel GROUP BY HL_DATE, cell, HL_Market, pk_ft, pk_date, pk_market, pk_hr""")
 def kpi_bulk_report(spark, sf):
-    return finish(report(ekl(spark, sf), KL_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN))
+    path = bulk_store_path(spark, sf)
+    return finish(report(read_store(spark, path), KL_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN,
+                         index=read_index(spark, path)))
 
 
 @q("kpi_bulk_hourly", BASE_KL + f"""SELECT 'unassigned' AS MGR_RUN_ID, min(oss) AS oss,
