@@ -8,19 +8,26 @@ from pyspark.sql import functions as F
 from cellkpi.llm.common import materialise
 
 MAX_ROUNDS = 60
+#: Up to so many edges the least neighbours of all nodes (16 bytes each) are
+#: broadcast; beyond it the joins shuffle. The rows are the same.
+BROADCAST_EDGES = 200_000
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, least: DataFrame, small: bool) -> DataFrame:
+    return edges.join(F.broadcast(least) if small else least, "a")
+
+
+def _large_star(edges: DataFrame, small: bool) -> DataFrame:
     """Every larger neighbour of u moves to the smallest of u and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return _with_least(both.where("b > a"), least, small).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, small: bool) -> DataFrame:
     """u and its smaller neighbours move to the smallest of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = _with_least(edges, least, small).where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.withColumnRenamed("m", "b"))
 
 
@@ -37,7 +44,8 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == sign or not mark[0]:
             break
         sign = mark
-        now = materialise(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        small = mark[0] <= BROADCAST_EDGES
+        now = materialise(_small_star(_large_star(now, small), small).distinct(), "edges")
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(

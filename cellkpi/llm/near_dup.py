@@ -12,10 +12,10 @@ and links are confirmed there on full sets by exact Jaccard similarity. A part
 needs few comparisons: nodes already joined are not compared, and once all
 nodes not yet compared lie in one group, the part is done. Parts of over
 ``CELL_NODES`` nodes or ``CELL_SHINGLES`` shingles are cut into cells, worked
-on apart; then some well-linked nodes of the part visit all its cells, and
-last every node outside the part's main group, in blocks, visits all cells, so
-no pair across groups stays uncompared and no task holds more than a cell and
-a block.
+on apart; then the best-linked node of the part visits all its cells, and last
+every node of a cell's group that it does not link to, in blocks, visits all
+cells: no pair across groups stays uncompared and no task holds more than a
+cell and a block.
 
 Defined cases: null or empty text, or one of spaces only, has the empty set
 and is linked with nothing; a null doc_id counts as the largest id; rows that
@@ -31,7 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellkpi.llm.common import arrow_batches, doc_key, materialise, table, text_or_empty
@@ -42,8 +42,7 @@ WORDS = 5
 SIMILAR = 75                 # per cent
 CIRCLE = 1 << 20
 BANDS, ROWS = 32, 4          # a pair at 0.75 shares no band with a chance of 5 in a million
-CELL_NODES, CELL_SHINGLES = 1024, 1 << 19
-VISITORS = 16                # well-linked nodes of a large part that visit all its cells
+CELL_NODES, CELL_SHINGLES = 4096, 1 << 19
 BLOCK_NODES = 256            # nodes outside the main group that visit a cell together
 SEED = 20_240_731
 STRETCH = 1 << 18            # bytes hashed at once
@@ -311,20 +310,19 @@ def _visit(cells: DataFrame, visitors: DataFrame) -> DataFrame:
 def _large_parts(cells: DataFrame, inside: DataFrame) -> DataFrame:
     """(node, root) for the nodes of parts of several cells (part, cell, nid, text),
     given the links found inside each cell."""
-    pick = Window.partitionBy("part").orderBy(F.xxhash64("nid"))
-    known = cells.select("part", "nid")
-    famous = (inside.where("links > 1").select(F.col("b").alias("nid")).join(known, "nid")
-              .withColumn("i", F.row_number().over(pick)).where(F.col("i") <= VISITORS)
-              .select("part", "nid", F.lit(0).alias("block")))
-    edges = materialise(inside.select("a", "b").unionByName(_visit(cells, famous).select("a", "b")), "links")
-    grouped = materialise(known.join(components(edges).withColumnRenamed("node", "nid"), "nid", "left")
-                          .select("part", "nid", F.coalesce("root", "nid").alias("root")), "groups")
-    main = (grouped.groupBy("part", "root").count()
-            .groupBy("part").agg(F.max_by("root", F.struct("count", "root")).alias("main")))
-    outside = grouped.join(main, "part").where("root <> main").select("part", "nid")
+    grouped = cells.select("part", "nid").join(
+        inside.select(F.col("b").alias("nid"), F.col("a").alias("group"), "links"), "nid")
+    famous = (grouped.groupBy("part").agg(F.max_by("nid", F.struct("links", "nid")).alias("nid"))
+              .withColumn("block", F.lit(0)))
+    met = materialise(_visit(cells, famous).select("a", "b"), "links")
+    # groups with a node that the famous one links to are one group with it
+    main = (grouped.join(met.select(F.col("b").alias("nid")).unionByName(famous.select("nid")).distinct(), "nid")
+            .select("part", "group").distinct())
+    outside = grouped.join(main, ["part", "group"], "left_anti").select("part", "nid")
     size = outside.groupBy("part").agg(F.ceil(F.count("*") / BLOCK_NODES).alias("blocks"))
     outside = outside.join(size, "part").select("part", "nid", F.expr("pmod(xxhash64(nid, 1), blocks)").cast("int").alias("block"))
-    return components(edges.unionByName(_visit(cells, outside).select("a", "b")))
+    links = met.unionByName(_visit(cells, outside).select("a", "b")).unionByName(inside.select("a", "b"))
+    return components(links)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

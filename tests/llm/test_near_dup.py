@@ -75,7 +75,6 @@ def test_odd_documents(odd_docs, no_docs):
 def test_against_all_pairs(spark, monkeypatch, cell):
     monkeypatch.setattr(near_dup, "CELL_NODES", cell)             # 8: parts of many cells, visitors and blocks
     monkeypatch.setattr(near_dup, "BLOCK_NODES", 5)
-    monkeypatch.setattr(near_dup, "VISITORS", 3)
     rng = random.Random(9)
     rows = [*family(rng, 60, 70, 7, 0), *family(rng, 12, 20, 2, 100), *family(rng, 300, 10, 30, 200), *family(rng, 30, 15, 0, 300)]
     rng.shuffle(rows)
