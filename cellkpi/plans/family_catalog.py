@@ -1,4 +1,4 @@
-"""Catalogue entries for the vendor family specs (E1-E4, N7, N9 incl. its hl_date-grain set, N14, M11).
+"""Catalogue entries for the vendor family specs (E1-E4, all Nokia LTE and UMTS families, N9 also at its hl_date grain).
 
 Each query runs a family spec from ``plans.families`` unchanged — the rule
 expands over the vendor layout's columns — through the same enrichment,
@@ -305,3 +305,64 @@ def family_nokia_umts_soft_ho(spark, sf):
     """M11 (derived rule): UMTS identity keys, SUM of every counter incl. a text one."""
     rows = _nokia(vt.nokia_soft_ho_rows(spark, sf), dt.cl(spark, sf), "umts", "umts_soft_handover")
     return finish(aggregate(rows, fam.nokia_umts("soft_handover"), grain="rop"))
+
+
+# ------------------------------------------- the other Nokia families, by rule
+
+# Two counters of each registered schema, and how the family's
+# spec takes them (sum unless stated). Their values come from ``events``.
+OTHER_FAMILIES = {
+    "lte": {
+        "cell_avail": (("SAMPLES_CELL_AVAIL", "sum"), ("SAMPLES_CELL_PLAN_UNAVAIL", "sum")),
+        "cell_resource": (("UL_PRB_UTIL_TTI_LEVEL_1", "sum"), ("UL_PRB_UTIL_TTI_LEVEL_2", "sum")),
+        "eps_bearer": (("EPS_BEARER_SETUP_ATTEMPTS", "sum"), ("EPS_BEARER_SETUP_COMPLETIONS", "sum")),
+        "handover": (("HO_INTFREQ_ATT", "sum"), ("HO_INTFREQ_SUCC", "sum")),
+        "inter_enb_ho": (("INTER_ENB_HO_PREP", "sum"), ("FAIL_ENB_HO_PREP_TIME", "sum")),
+        "inter_sys_ho": (("CSFB_REDIR_CR_ATT", "sum"), ("CSFB_REDIR_CR_EMERGENCY_ATT", "sum")),
+        "intra_enb_ho": (("INTRA_ENB_HO_PREP", "sum"), ("FAIL_ENB_HO_PREP_AC", "sum")),
+        "isys_ho_utran_nb_sum": (("ISYS_HO_UTRAN_ATT_NB", "sum"), ("ISYS_HO_UTRAN_FAIL_NB", "sum")),
+        "pwr_and_qual_dl": (("UE_REP_CQI_LEVEL_00", "sum"), ("UE_REP_CQI_LEVEL_01", "sum")),
+        "pwr_and_qual_ul": (("RSSI_PUCCH_AVG", "avg"), ("RSSI_PUSCH_AVG", "avg")),
+        "rrc": (("REJ_RRC_CONN_RE_ESTAB", "sum"), ("DISC_RRC_PAGING", "sum")),
+        "ue_state": (("SIGN_CONN_ESTAB_COMP", "sum"), ("SIGN_EST_F_RRCCOMPL_MISSING", "sum")),
+        "ue_quantity": (("RRC_CONNECTED_UE_AVG", "avg"), ("RRC_CONNECTED_UE_MAX", "max")),
+    },
+    "umts": {
+        "cell_resource": (("ave_prxtot_class_0", "sum"), ("prxtot_denom_0", "sum")),
+        "cell_throughput_wbts": (("mc_hsdpa_orig_data_pri", "sum"), ("mc_hsdpa_orig_data_sec", "sum")),
+        "hsdpa_wbts": (("cqi_dist_cl_2", "sum"), ("cqi_dist_cl_3", "sum")),
+        "inter_system_handover": (("utran_not_able_exec_ishho_rt", "sum"), ("ue_not_able_exec_ishho_rt", "sum")),
+        "intra_system_handover": (("intra_intra_hho_att_nrt", "sum"), ("succ_intra_intra_hho_att_nrt", "sum")),
+        "packet_call": (("hs_e_req_hs_e_allo_int", "sum"), ("hs_e_req_d_d_allo_int_cell", "sum")),
+        "rcpm_olpc_wcel_sum": (("UL_CRC_NOKS_W_CS", "sum"), ("UL_CRC_OKS_W_CS", "sum")),
+        "rcpm_rlc_wcel_sum": (("RLC_AM_SDU_DL_PS_VOL_W_HSDPA", "sum"), ("RLC_AM_SDU_DL_PS_VOL_W_ALL", "sum")),
+        "rrc": (("prach_delay_class_0", "sum"), ("prach_delay_class_1", "sum")),
+        "service_level": (("rab_acc_comp_cs_voice", "sum"), ("rab_acc_comp_ps_inter", "sum")),
+        "traffic": (("allo_hs_dsch_flow_int", "sum"), ("allo_hs_dsch_flow_bgr", "sum")),
+    },
+}
+
+
+def _register_other(tech: str, family: str, counters: tuple[tuple[str, str], ...]) -> None:
+    names = tuple(name for name, _ in counters)
+    source_keyed = family in fam.NOKIA_SOURCE_KEYED
+    mo = "MO_DN_Source" if source_keyed else "MO_DN"
+    ids = f"{mo} AS mo_dn, MO_DN2 AS cell" if tech == "lte" else "BASEID, LOCALMOID, CELL_ID_1, CELL_ID_2"
+    keys = f"{mo}, MO_DN2" if tech == "lte" else "BASEID, LOCALMOID, CELL_ID_1, CELL_ID_2"
+    cell = "MO_DN2" if tech == "lte" else "CELL_ID_1"
+
+    @q(f"family_nokia_{tech}_{family}", _w(dt.KC_SQL, dt.CL_SQL, vt.nokia_rows_sql(tech, names, source_keyed),
+                                           _nokia_enriched_sql("nr", "cl", cell, f"{tech}_{family}"))
+       + f"""SELECT 'unassigned' AS MGR_RUN_ID, min(OSS) AS oss, {_ts('PERIOD_START_TIME')} AS PERIOD_START_TIME,
+  {_sum('PERIOD_DURATION', 'period_duration')}, {ids}, {', '.join(_r(f'{f}({n})', n) for n, f in counters)},
+  HL_Date_Hour, {_ts('PERIOD_START_TIME')} AS HL_Date, {_NOKIA_TAIL}, pk_hr
+FROM ne GROUP BY PERIOD_START_TIME, HL_Date_Hour, {keys}, {_NOKIA_LTE_KEYS}, pk_hr""")
+    def family_query(spark, sf):
+        rows = _nokia(vt.nokia_rows(spark, sf, tech, names, source_keyed), dt.cl(spark, sf), tech, f"{tech}_{family}")
+        spec = fam.nokia_lte(family) if tech == "lte" else fam.nokia_umts(family)
+        return finish(aggregate(rows, spec, grain="rop"))
+
+
+for _tech, _families in OTHER_FAMILIES.items():
+    for _family, _counters in _families.items():
+        _register_other(_tech, _family, _counters)

@@ -263,3 +263,34 @@ ERIC_LTE_WIDE_SQL = "ew AS (\n  SELECT *,\n" + ",\n".join(
     f"         {'CASE WHEN pmRrcConnMax IS NULL THEN NULL ELSE ' if i % 5 == 0 else ''}"
     f"pmRrcConnEstabAtt * {i % 7 + 1} + pmHoPrepAtt{' END' if i % 5 == 0 else ''} AS {WIDE_PREFIX}{i}"
     for i in range(WIDE_COUNTERS)) + "\n  FROM el)"
+
+
+def nokia_rows(spark: SparkSession, sf: str, tech: str, counters: tuple[str, ...], source_keyed: bool = False) -> DataFrame:
+    """Rows of a Nokia family in its identity layout with two counters (one that is
+    always there, one with NULLs)."""
+    k = dt.kc(spark, sf)
+    u = F.col("cell").cast("bigint")
+    if tech == "umts":
+        ids = [_lbl("RNC-", u % 7).alias("BASEID"), _lbl("WCEL-", u % 11).alias("LOCALMOID"),
+               F.col("cell").alias("CELL_ID_1"), _lbl("C", u % 2).alias("CELL_ID_2")]
+    else:
+        mo = (_lbl("SRC-", F.col("event_id") % 3).alias("MO_DN_Source") if source_keyed
+              else _lbl(MO_DN_PREFIX, u % 50).alias("MO_DN"))
+        ids = [mo, F.col("cell").alias("MO_DN2")]
+    return k.select(*_nokia_common(u), F.col("oss").alias("OSS"), "PERIOD_START_TIME", _event_duration(), *ids,
+                    F.col("value").alias(counters[0]), F.col("v_null").alias(counters[1]))
+
+
+def nokia_rows_sql(tech: str, counters: tuple[str, ...], source_keyed: bool = False) -> str:
+    u = "CAST(cell AS BIGINT)"
+    if tech == "umts":
+        ids = (f"'RNC-' || CAST({u} % 7 AS VARCHAR) AS BASEID, 'WCEL-' || CAST({u} % 11 AS VARCHAR) AS LOCALMOID, "
+               f"cell AS CELL_ID_1, 'C' || CAST({u} % 2 AS VARCHAR) AS CELL_ID_2")
+    else:
+        mo = ("'SRC-' || CAST(event_id % 3 AS VARCHAR) AS MO_DN_Source" if source_keyed
+              else f"'{MO_DN_PREFIX}' || CAST({u} % 50 AS VARCHAR) AS MO_DN")
+        ids = f"{mo}, cell AS MO_DN2"
+    return f"""nr AS (
+  SELECT {_nokia_common_sql(u)}, oss AS OSS, PERIOD_START_TIME, {_EVENT_DURATION_SQL}, {ids},
+         value AS {counters[0]}, v_null AS {counters[1]}
+  FROM kc)"""
