@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cellkpi.llm.common import arrow_batches, table, with_schema
 
-CACHE_WORDS = 150_000        # per generation (a worker has two); the older one is dropped
+CACHE_WORDS = 100_000        # per generation (a worker has two); the older one is dropped
 CACHE_WORD_CHARS = 64        # longer words are encoded without the cache
 #: The pattern whose pieces never cross a single space between other characters;
 #: under any other pattern every text is split as a whole.
@@ -163,7 +163,7 @@ class Codec:
         return [held.decode(self.token_bytes[x], final=i == len(ids) - 1) for i, x in enumerate(ids)]
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def codec(blob: bytes, pattern: str) -> Codec:
     """One codec per worker and vocabulary."""
     return Codec(blob, pattern)
@@ -234,13 +234,13 @@ def decode_documents(df: DataFrame, path: str | None = None, pattern: str | None
     return df.mapInArrow(_decode(_vocabulary(df.sparkSession, path, pattern), out.names), out)
 
 
-def _digest(vocabulary):
+def _digest(vocabulary, encoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(*vocabulary.value)
         shown = list(map(str, range(len(c.token_bytes)))).__getitem__
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for b in batches:
-            rows = _id_rows(b)
+            rows = _id_rows(b) if encoded else [c.encode(t or "") for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([len(i) for i in rows], pa.int64()),
                  pa.array([sha(" ".join(map(shown, i.tolist())).encode()) for i in rows]),
@@ -249,14 +249,24 @@ def _digest(vocabulary):
     return run
 
 
+_DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
 def digests(encoded: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, number of ids, digest of the ids as decimal text and digest of
     the bytes they decode to."""
     return encoded.select("doc_id", "ids").mapInArrow(
-        _digest(_vocabulary(encoded.sparkSession, path, pattern)),
-        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        _digest(_vocabulary(encoded.sparkSession, path, pattern), True), _DIGESTS)
+
+
+def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """The digests of encoded and decoded ``docs`` (doc_id, text) in one pass: one
+    Python worker a task instead of one that encodes and one that decodes."""
+    arrow_batches(docs.sparkSession)
+    return docs.select("doc_id", "text").mapInArrow(
+        _digest(_vocabulary(docs.sparkSession, path, pattern), False), _DIGESTS)
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digests(encode_documents(docs).select("doc_id", "ids"))
+    return round_trip(docs)

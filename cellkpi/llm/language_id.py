@@ -45,10 +45,9 @@ _OTHER, _GAP, _PAD, _CODES = 0, ALPHABET + 1, ALPHABET + 2, ALPHABET + 3
 _ENDS = 1 << 30              # flag of a transition that begins a piece
 
 
-@lru_cache(maxsize=1)
-def _letters() -> list[tuple[int, str]]:
+def _letters() -> Iterator[tuple[int, str]]:
     """(code point, lower case) of every letter."""
-    return [(i, chr(i).lower()) for i in range(sys.maxunicode + 1) if chr(i).isalpha()]
+    return ((i, chr(i).lower()) for i in range(sys.maxunicode + 1) if chr(i).isalpha())
 
 
 def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
@@ -164,7 +163,7 @@ class CrossParser:
         return names.tolist(), score
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)          # a parser takes some 40 MB of a worker
 def _parser(samples: tuple[tuple[str, str], ...]) -> CrossParser:
     return CrossParser(dict(samples))
 

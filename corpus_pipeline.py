@@ -36,7 +36,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of the ids and of the decoded bytes of each document."""
-    return byte_bpe.digests(byte_bpe.encode_documents(docs.select("doc_id", "text")).select("doc_id", "ids"))
+    return byte_bpe.round_trip(docs.select("doc_id", "text"))
 
 
 STAGES = [

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from cellkpi.llm.byte_bpe import Codec, decode_documents, digests, encode_documents, merge_pairs, read_ranks
+from cellkpi.llm.byte_bpe import Codec, decode_documents, digests, encode_documents, merge_pairs, read_ranks, round_trip
 
 
 @pytest.fixture(scope="module")
@@ -72,7 +72,9 @@ def test_documents(odd_docs, no_docs, judge):
 
 
 def test_digests(odd_docs, judge):
-    for r in digests(encode_documents(odd_docs.select("doc_id", "text")).select("doc_id", "ids")).collect():
+    parts = digests(encode_documents(odd_docs.select("doc_id", "text")).select("doc_id", "ids")).collect()
+    assert sorted(map(str, parts)) == sorted(map(str, round_trip(odd_docs).collect()))
+    for r in parts:
         wanted = {x.doc_id: x.text or "" for x in odd_docs.collect()}[r.doc_id]
         ids = judge.encode_ordinary(wanted)
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
