@@ -1,18 +1,20 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Words are hashed to ``FEATURES`` features, weighted by their inverse document
-frequency over the whole corpus. A randomised SVD of the benchmark's passages
+frequency over the whole corpus. Randomised SVDs of the benchmark's passages
 (rows spread over tasks; only features x rank matrices are ever summed up)
-gives the latent space. Every window of ``2 * HALF`` words of every document,
+give the latent spaces, one for every ``RANK`` passages at most, so that each
+passage lies wholly in its space. Every window of ``2 * HALF`` words of every document,
 half a window apart, is projected and compared by cosine with all benchmark
 passages. For each candidate the longest common subsequence with the item's
 words is measured on the words themselves, and the item's last words (its
 answer) are looked for nearby, so reworded passages are found and chance
 resemblance falls away.
 
-Bounds: the feature table (``FEATURES`` x ``RANK`` floats, 64 MB at most) and
-``BLOCK_ITEMS`` benchmark passages at a time are broadcast; a larger benchmark
-takes several passes over the documents. No text is collected.
+Bounds: a space has at most ``RANK * PASSAGE`` active features (tables of 17 MB
+of floats, sums of 35 MB on the driver); those of ``BLOCK_ITEMS`` passages (272
+MB at most) are broadcast at a time, and a larger benchmark takes several passes
+over the documents. No text is collected.
 
 Defined cases: null or empty texts contain nothing; items of fewer than
 ``LEAST_WORDS`` words are too short to prove anything and match nothing; null
@@ -205,17 +207,26 @@ def answer_in(item: list[int], text: list[int]) -> bool:
     return any(text[i:i + len(tail)] == tail for i, w in enumerate(text) if w == tail[0])
 
 
+class Space(NamedTuple):
+    passages: list[Passage]
+    place: np.ndarray        # row of each feature or -1
+    rows: np.ndarray         # what a word of each active feature adds to its window's product with each unit passage
+
+
+def space_of(passages: list[Passage], idf: np.ndarray, place: np.ndarray, basis: np.ndarray) -> Space:
+    """The latent space as a table: a word's image times the images of the passages."""
+    rows = basis * idf[place >= 0, None]
+    latent = np.zeros((len(passages), basis.shape[1]))
+    for i, p in enumerate(passages):
+        image = rows[place[features(np.array(p.words, np.int64).view(np.uint64))]].sum(axis=0)
+        latent[i] = image / max(float(np.sqrt((image ** 2).sum())), 1e-9)
+    return Space(passages, place.astype(np.int32), (rows @ latent.T).astype(np.float32))
+
+
 class Finder:
-    def __init__(self, idf: np.ndarray, place: np.ndarray, basis: np.ndarray, passages: list[Passage]):
-        self.passages, self.place = passages, place
+    def __init__(self, idf: np.ndarray, space: Space):
+        self.passages, self.place, self.rows = space
         self.square = (idf.astype(np.float64) ** 2)
-        active = np.flatnonzero(place >= 0)
-        self.rows = (basis * idf[active, None]).astype(np.float32)
-        self.latent = np.zeros((len(passages), basis.shape[1]), np.float32)
-        for i, p in enumerate(passages):
-            at = features(np.array(p.words, np.int64).view(np.uint64))
-            image = self.rows[place[at]].sum(axis=0)
-            self.latent[i] = image / max(float(np.sqrt((image ** 2).sum())), 1e-9)
 
     def candidates(self, h: np.ndarray, cut: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """(text, window, passage, cosine) of a stretch of texts."""
@@ -244,14 +255,10 @@ class Finder:
         seen[:len(paired)] += mass[paired + 1]
         norm[:len(paired)] += square[paired + 1]
         norm = np.sqrt(np.maximum(norm, 1e-9)).astype(np.float32)
-        near = np.flatnonzero(np.sqrt(np.einsum("ij,ij->i", seen, seen)) >= COSINE * norm)
-        if not len(near):
-            return
-        cosine = (seen[near] / norm[near, None]) @ self.latent.T
-        w, p = np.nonzero(cosine >= COSINE)
-        for a, b in zip(w.tolist(), p.tolist(), strict=True):
-            x = at[near[a]]
-            yield int(owner[x]), int(x - first[owner[x]]), b, float(cosine[a, b])
+        w, p = np.nonzero(seen >= COSINE * norm[:, None])
+        for a, b, c in zip(w.tolist(), p.tolist(), (seen[w, p] / norm[w]).tolist(), strict=True):
+            x = at[a]
+            yield int(owner[x]), int(x - first[owner[x]]), b, c
 
     def find(self, h: np.ndarray, cut: np.ndarray) -> Iterator[tuple[int, int, float, float, bool]]:
         """(text, item, cosine, share in order, answer) of each confirmed passage."""
@@ -280,11 +287,12 @@ _FOUND = "doc_id long, item_id long, cosine double, in_order double, answer bool
 
 def _find(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(*shared.value)
+        idf, spaces = shared.value
+        finders = [Finder(idf, space) for space in spaces]
         for b in batches:
             ids, out = b.column("doc_id").to_pylist(), []
             for at, h, cut in words(b.column("text").to_pylist()):
-                out += [(ids[at + text], *rest) for text, *rest in finder.find(h, cut)]
+                out += [(ids[at + text], *rest) for finder in finders for text, *rest in finder.find(h, cut)]
             columns = list(zip(*out, strict=True)) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()), strict=True)],
@@ -292,6 +300,15 @@ def _find(shared):
     return run
 
 
+def _numbered(passages: DataFrame) -> DataFrame:
+    """``passages`` with ``row`` (task and place in it) as numbers without gaps."""
+    task = F.shiftright("row", 33)
+    sizes = sorted(passages.groupBy(task.alias("task")).count().collect())               # a row a task
+    firsts = np.cumsum([0] + [n for _, n in sizes]).tolist()
+    start = F.create_map(*[F.lit(x) for (t, _), first in zip(sizes, firsts, strict=False) for x in (t, first)])
+    return passages.withColumn("row", start[task] + F.expr("row & 8589934591"))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, cosine, in_order, answer): which benchmark items stand in
     which documents, with the best evidence of each pair."""
@@ -301,17 +318,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     passages = materialise(
         benchmark.select(F.col("item_id").cast("long"), text_or_empty().alias("text"))
         .mapInArrow(_passages, "item_id long, words array<long>")
-        .withColumn("block", F.monotonically_increasing_id()), "passages")
+        .withColumn("row", F.monotonically_increasing_id()), "passages")
     total = passages.count()
     if not total:
         return spark.createDataFrame([], _FOUND)
     idf = inverse_frequencies(rows.select("text"))
-    place, basis = latent_space(passages, idf)
-    blocks = -(-total // BLOCK_ITEMS)
-    found = None
-    for block in range(blocks):
-        held = passages.where(F.expr(f"pmod(xxhash64(block), {blocks}) = {block}")).collect()
-        shared = spark.sparkContext.broadcast((idf, place, basis, [Passage(r.item_id, list(r.words)) for r in held]))
+    passages, found = _numbered(passages), None
+    for block in range(0, total, BLOCK_ITEMS):
+        spaces = []
+        for first in range(block, min(total, block + BLOCK_ITEMS), RANK):
+            upto = min(first + RANK, block + BLOCK_ITEMS)
+            few = passages.where((F.col("row") >= first) & (F.col("row") < upto))
+            held = [Passage(r.item_id, list(r.words)) for r in few.collect()]
+            spaces.append(space_of(held, idf, *latent_space(few, idf)))
+        shared = spark.sparkContext.broadcast((idf, spaces))
         part = rows.mapInArrow(_find(shared), _FOUND)
         found = part if found is None else found.unionByName(part)
     best = F.max(F.struct("in_order", "cosine", "answer")).alias("best")

@@ -80,3 +80,21 @@ def test_space_keeps_the_passages(corpus):
         row = np.zeros(len(basis))
         np.add.at(row, place[dec.features(np.array(r.words).view(np.uint64))], 1.0)
         assert np.linalg.norm(basis.T @ row) > 0.99 * np.linalg.norm(row)           # 40 passages, rank 40
+
+
+@pytest.mark.parametrize("n", [1000, 4000])
+def test_copies_of_a_large_benchmark(spark, n):
+    rng = random.Random(n)
+    vocabulary = [f"w{i}" for i in range(8000)]
+    items = [rng.choices(vocabulary, k=rng.randint(15, 59)) for _ in range(n)]
+    docs, truth = [], set()
+    for d in range(150):
+        words = rng.choices(vocabulary, k=rng.randint(20, 200))
+        if d % 3:
+            i, at = rng.randrange(n), rng.randrange(len(words))
+            words[at:at] = items[i]
+            truth.add((d, i))
+        docs.append((d, " ".join(words)))
+    rows = dec.find_leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
+                          spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in rows.collect()} == truth
