@@ -5,8 +5,11 @@ frequency over the whole corpus. Randomised SVDs of the benchmark's passages
 (rows spread over tasks; only features x rank matrices are ever summed up)
 give the latent spaces, one for every ``RANK`` passages at most, so that each
 passage lies wholly in its space. Every window of ``2 * HALF`` words of every document,
-half a window apart, is projected and compared by cosine with all benchmark
-passages. For each candidate the longest common subsequence with the item's
+half a window apart, is projected and compared with all benchmark passages: by
+cosine, and by the share of the passage's own weight that the window covers, so
+foreign words beside a copy take nothing away. No word weighs less than 1,
+however many documents have it. A copy of a passage always has a window that
+covers a third of it (three windows hold 64 words). For each candidate the longest common subsequence with the item's
 words is measured on the words themselves, and the item's last words (its
 answer) are looked for nearby, so reworded passages are found and chance
 resemblance falls away.
@@ -46,6 +49,7 @@ PASSAGE = 64                 # longer items are cut, half overlapping
 BLOCK_ITEMS = 4096
 LEAST_WORDS = 8
 COSINE = 0.35                # of a candidate
+COVERED = 0.33               # or the share of the passage's weight in the window
 COPIED = 0.8                 # share of the item's words found in order, by itself
 REWORDED = 0.5               # the same, if the answer is there too
 ANSWER = 4                   # last words of an item
@@ -95,12 +99,12 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
-    """Weight of each feature from the number of documents that have it."""
+    """Weight of each feature, at least 1, from the number of documents that have it."""
     rows = (texts.mapInArrow(_document_counts, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
             .toPandas())                                  # FEATURES + 1 rows at most
     total = np.zeros(FEATURES + 1)
     total[rows.feature.to_numpy()] = rows.n.to_numpy()
-    return np.log((total[-1] + 1) / (total[:-1] + 1)).astype(np.float32)
+    return 1 + np.log((total[-1] + 1) / (total[:-1] + 1)).astype(np.float32)
 
 
 class Passage(NamedTuple):
@@ -211,6 +215,7 @@ class Space(NamedTuple):
     passages: list[Passage]
     place: np.ndarray        # row of each feature or -1
     rows: np.ndarray         # what a word of each active feature adds to its window's product with each unit passage
+    size: np.ndarray         # norm of each passage
 
 
 def space_of(passages: list[Passage], idf: np.ndarray, place: np.ndarray, basis: np.ndarray) -> Space:
@@ -218,14 +223,14 @@ def space_of(passages: list[Passage], idf: np.ndarray, place: np.ndarray, basis:
     rows = basis * idf[place >= 0, None]
     latent = np.zeros((len(passages), basis.shape[1]))
     for i, p in enumerate(passages):
-        image = rows[place[features(np.array(p.words, np.int64).view(np.uint64))]].sum(axis=0)
-        latent[i] = image / max(float(np.sqrt((image ** 2).sum())), 1e-9)
-    return Space(passages, place.astype(np.int32), (rows @ latent.T).astype(np.float32))
+        latent[i] = rows[place[features(np.array(p.words, np.int64).view(np.uint64))]].sum(axis=0)
+    size = np.maximum(np.sqrt((latent ** 2).sum(axis=1)), 1e-9)
+    return Space(passages, place.astype(np.int32), (rows @ (latent / size[:, None]).T).astype(np.float32), size.astype(np.float32))
 
 
 class Finder:
     def __init__(self, idf: np.ndarray, space: Space):
-        self.passages, self.place, self.rows = space
+        self.passages, self.place, self.rows, self.size = space
         self.square = (idf.astype(np.float64) ** 2)
 
     def candidates(self, h: np.ndarray, cut: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
@@ -255,7 +260,7 @@ class Finder:
         seen[:len(paired)] += mass[paired + 1]
         norm[:len(paired)] += square[paired + 1]
         norm = np.sqrt(np.maximum(norm, 1e-9)).astype(np.float32)
-        w, p = np.nonzero(seen >= COSINE * norm[:, None])
+        w, p = np.nonzero((seen >= COSINE * norm[:, None]) | (seen >= COVERED * self.size))
         for a, b, c in zip(w.tolist(), p.tolist(), (seen[w, p] / norm[w]).tolist(), strict=True):
             x = at[a]
             yield int(owner[x]), int(x - first[owner[x]]), b, c
@@ -273,7 +278,7 @@ class Finder:
             met.sort()
             while met:                                           # windows near each other are read as one region
                 run = [met.pop(0)]
-                while met and (met[0][0] - run[-1][0]) * HALF <= 2 * HALF + len(item):
+                while met and (met[0][0] - run[0][0]) * HALF <= 2 * HALF + len(item):   # no long stretch meets an item by chance
                     run.append(met.pop(0))
                 region = all_words[max(0, run[0][0] * HALF - len(item)):(run[-1][0] + 2) * HALF + len(item)]
                 share = common_in_order(item, region) / len(item)

@@ -98,3 +98,21 @@ def test_copies_of_a_large_benchmark(spark, n):
     rows = dec.find_leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
                           spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in rows.collect()} == truth
+
+
+@pytest.mark.parametrize("every", [3, 1])
+def test_a_short_item_in_many_documents(spark, every):
+    rng = random.Random(15)
+    vocabulary = [f"w{i}" for i in range(6000)]
+    items = [rng.choices(vocabulary, k=15), *(rng.choices(vocabulary, k=rng.randint(15, 59)) for _ in range(30))]
+    docs, truth = [], set()
+    for d in range(240):
+        words = rng.choices(vocabulary, k=rng.randint(40, 200))
+        if d % every == 0:
+            at = rng.randrange(len(words))
+            words[at:at] = items[0]
+            truth.add((d, 0))
+        docs.append((d, " ".join(words)))
+    rows = dec.find_leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
+                          spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in rows.collect()} == truth
