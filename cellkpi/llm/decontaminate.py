@@ -20,7 +20,8 @@ MB at most) are broadcast at a time, and a larger benchmark takes several passes
 over the documents. No text is collected.
 
 Defined cases: null or empty texts contain nothing; items of fewer than
-``LEAST_WORDS`` words are too short to prove anything and match nothing; null
+``LEAST_WORDS`` words are found only where they stand word for word; a character
+of a script without spaces is a word of its own; items without a word match nothing; null
 ids stay null; repeated rows of documents or items give repeated findings only
 once per (doc_id, item_id), the best; an empty corpus or benchmark gives an
 empty result; other columns are ignored by the finder and kept by the filter.
@@ -28,6 +29,7 @@ empty result; other columns are ignored by the finder and kept by the filter.
 
 from __future__ import annotations
 
+import re
 import string
 from collections import defaultdict
 from collections.abc import Iterator
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 
 from cellkpi.llm.common import arrow_batches, doc_key, materialise, table, text_or_empty
 from cellkpi.llm.near_dup import STRETCH, word_hashes
+from cellkpi.llm.perfect_hash import mix
 
 FEATURE_BITS = 16
 FEATURES = 1 << FEATURE_BITS
@@ -65,11 +68,21 @@ def _between() -> np.ndarray:
 
 
 _PARTING = _between()
+#: A character of Thai, Lao, Myanmar, Khmer, kana or Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+                       "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
+
+def _spaced(text: str | None) -> str:
+    """``text`` with spaces round the characters of scripts that put none between words."""
+    if not text or text.isascii():
+        return text or ""
+    return _UNSPACED.sub(r" \g<0> ", text)
 
 
 def words(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(index of the first text, word hashes, cuts between texts) of stretches of texts."""
-    raws = [(t or "").encode().lower() for t in texts]
+    raws = [_spaced(t).encode().lower() for t in texts]
     at = 0
     while at < len(raws):
         upto, size = at, 0
@@ -117,7 +130,7 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, out = b.column("item_id").to_pylist(), []
         for at, h, cut in words(b.column("text").to_pylist()):
             for i, (a, z) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
-                if z - a >= LEAST_WORDS:
+                if z > a:
                     firsts = range(0, max(1, z - a - PASSAGE // 2), PASSAGE // 2) if z - a > PASSAGE else [0]
                     out += [{"item_id": items[at + i], "words": h[a + f:min(z, a + f + PASSAGE)].view(np.int64)} for f in firsts]
         yield pa.RecordBatch.from_pylist(out, pa.schema([("item_id", pa.int64()), ("words", pa.list_(pa.int64()))]))
@@ -287,13 +300,43 @@ class Finder:
                     yield text, self.passages[p].item, max(c for _, c in run), share, answer
 
 
+def sequences(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every ``n`` words in a row."""
+    out = h[:len(h) - n + 1]
+    for k in range(1, n):
+        out = mix(out) + h[k:len(h) - n + 1 + k]
+    return out
+
+
+class ShortFinder:
+    """Finds items of few words where they stand word for word."""
+
+    def __init__(self, passages: list[Passage]):
+        self.items: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
+        for p in passages:
+            n = len(p.words)
+            self.items[n][int(sequences(np.array(p.words, np.int64).view(np.uint64), n)[0])].add(p.item)
+
+    def find(self, h: np.ndarray, cut: np.ndarray) -> Iterator[tuple[int, int, float, float, bool]]:
+        text = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+        for n, known in self.items.items():
+            if len(h) < n:
+                continue
+            code = sequences(h, n)
+            at = np.flatnonzero(np.isin(code, np.array(list(known), np.uint64)))
+            at = at[text[at] == text[at + n - 1]]
+            for t, c in set(zip(text[at].tolist(), code[at].tolist(), strict=True)):
+                for item in known[c]:
+                    yield t, item, 1.0, 1.0, True
+
+
 _FOUND = "doc_id long, item_id long, cosine double, in_order double, answer boolean"
 
 
 def _find(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, spaces = shared.value
-        finders = [Finder(idf, space) for space in spaces]
+        idf, spaces, short = shared.value
+        finders = [ShortFinder(short), *(Finder(idf, space) for space in spaces)]
         for b in batches:
             ids, out = b.column("doc_id").to_pylist(), []
             for at, h, cut in words(b.column("text").to_pylist()):
@@ -330,13 +373,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     idf = inverse_frequencies(rows.select("text"))
     passages, found = _numbered(passages), None
     for block in range(0, total, BLOCK_ITEMS):
-        spaces = []
+        spaces, short = [], []
         for first in range(block, min(total, block + BLOCK_ITEMS), RANK):
             upto = min(first + RANK, block + BLOCK_ITEMS)
             few = passages.where((F.col("row") >= first) & (F.col("row") < upto))
             held = [Passage(r.item_id, list(r.words)) for r in few.collect()]
-            spaces.append(space_of(held, idf, *latent_space(few, idf)))
-        shared = spark.sparkContext.broadcast((idf, spaces))
+            short += [p for p in held if len(p.words) < LEAST_WORDS]
+            if long := [p for p in held if len(p.words) >= LEAST_WORDS]:
+                spaces.append(space_of(long, idf, *latent_space(few.where(F.size("words") >= LEAST_WORDS), idf)))
+        shared = spark.sparkContext.broadcast((idf, spaces, short))
         part = rows.mapInArrow(_find(shared), _FOUND)
         found = part if found is None else found.unionByName(part)
     best = F.max(F.struct("in_order", "cosine", "answer")).alias("best")

@@ -116,3 +116,14 @@ def test_a_short_item_in_many_documents(spark, every):
     rows = dec.find_leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
                           spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in rows.collect()} == truth
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    chinese = "机器学习模型需要大量数据才能得到可靠结果因此评测题目不应出现在训练文本之中"
+    items = [(1, "What is photosynthesis?"), (2, chinese), (3, "天空为什么是蓝色"), (4, "yes"), (5, "?!")]
+    docs = [(1, "what is Photosynthesis"), (2, "so what is photosynthesis, they asked"), (3, "what else is photosynthesis"),
+            (4, "今天的新闻" + chinese + "明天再见"), (5, "孩子问天空为什么是蓝色的"), (6, "天空是蓝色"), (7, "yesterday"),
+            (8, "what is"), (9, "photosynthesis"), (10, "Yes")]
+    rows = dec.find_leaks(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1),
+                          spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in rows.collect()} == {(1, 1), (2, 1), (4, 2), (5, 3), (10, 4)}
