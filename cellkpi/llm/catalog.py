@@ -5,6 +5,7 @@ from __future__ import annotations
 from cellkpi.llm.byte_bpe import op3_byte_bpe
 from cellkpi.llm.chat_format import OP4_SQL, op4_chat_format
 from cellkpi.llm.decontaminate import op10_decontaminate
+from cellkpi.llm.filter_audit import OP11_SQL, op11_filter_audit
 from cellkpi.llm.language_id import op9_language_id
 from cellkpi.llm.line_dedup import OP1_SQL, op1_line_dedup
 from cellkpi.llm.near_dup import OP8_SQL, op8_near_dup
@@ -24,6 +25,7 @@ Q = {
     "op8_near_dup": op8_near_dup,
     "op9_language_id": op9_language_id,
     "op10_decontaminate": op10_decontaminate,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 SQL = {
@@ -31,4 +33,5 @@ SQL = {
     "op4_chat_format": OP4_SQL,
     "op6_topk_search": OP6_SQL,
     "op8_near_dup": OP8_SQL,
+    "op11_filter_audit": OP11_SQL,
 }
