@@ -6,6 +6,7 @@ from cellkpi.llm.byte_bpe import op3_byte_bpe
 from cellkpi.llm.chat_format import OP4_SQL, op4_chat_format
 from cellkpi.llm.decontaminate import op10_decontaminate
 from cellkpi.llm.filter_audit import OP11_SQL, op11_filter_audit
+from cellkpi.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from cellkpi.llm.language_id import op9_language_id
 from cellkpi.llm.line_dedup import OP1_SQL, op1_line_dedup
 from cellkpi.llm.near_dup import OP8_SQL, op8_near_dup
@@ -26,6 +27,7 @@ Q = {
     "op9_language_id": op9_language_id,
     "op10_decontaminate": op10_decontaminate,
     "op11_filter_audit": op11_filter_audit,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 SQL = {
@@ -34,4 +36,5 @@ SQL = {
     "op6_topk_search": OP6_SQL,
     "op8_near_dup": OP8_SQL,
     "op11_filter_audit": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
