@@ -7,6 +7,7 @@ from cellkpi.llm.chat_format import OP4_SQL, op4_chat_format
 from cellkpi.llm.decontaminate import op10_decontaminate
 from cellkpi.llm.filter_audit import OP11_SQL, op11_filter_audit
 from cellkpi.llm.hard_negatives import OP12_SQL, op12_hard_negatives
+from cellkpi.llm.katz import op13_katz
 from cellkpi.llm.language_id import op9_language_id
 from cellkpi.llm.line_dedup import OP1_SQL, op1_line_dedup
 from cellkpi.llm.near_dup import OP8_SQL, op8_near_dup
@@ -28,6 +29,7 @@ Q = {
     "op10_decontaminate": op10_decontaminate,
     "op11_filter_audit": op11_filter_audit,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_katz": op13_katz,
 }
 
 SQL = {
