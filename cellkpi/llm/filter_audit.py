@@ -162,7 +162,8 @@ def text_ranges(texts: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Ranges:
         return Ranges([], [1])
     short = (rows.where(f"h IN ({','.join(f'{r.h}L' for r in found)})").groupBy("h")
              .agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"), F.max("size").alias("size")).collect())
-    return choose_ranges([(r.text.encode(), max(1, r.size)) for r in short], sum(r.size for r in found), bucket_bytes)
+    total, tasks = sum(r.size for r in found), int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return choose_ranges([(r.text.encode(), max(1, r.size)) for r in short], total, max(1, min(bucket_bytes, total // tasks)))
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
