@@ -120,6 +120,10 @@ def round_half_away(x, digits: int = 4) -> Column:
     doubles. ``round()`` on a double goes through a decimal per value, about
     twice as slow on wide reports. NaN and values beyond exact double
     integers pass through unchanged."""
+    if isinstance(x, str):                   # a column's name: as text, one call (wide reports round hundreds)
+        n, scale = f"`{x}`", f"{10 ** digits}D"
+        return F.expr(f"CASE WHEN isnan({n}) OR abs({n}) * {scale} >= 4.0E15D THEN {n} "
+                      f"ELSE signum({n}) * CAST(floor(abs({n}) * {scale} + 0.5D) AS DOUBLE) / {scale} END")
     x = c(x)
     scale = float(10 ** digits)
     y = F.abs(x) * scale

@@ -25,12 +25,6 @@ def vector_sum(df: DataFrame, prefix: str, n: int, keys: Sequence[str], *,
     return df.groupBy(*keys).agg(F.array(*sums).alias(prefix))
 
 
-def unpack_vector(df: DataFrame, prefix: str, n: int) -> DataFrame:
-    """Array column back to flat ``prefix_i`` columns (report layout)."""
-    return df.select(*[c for c in df.columns if c != prefix],
-                     *[F.col(prefix)[i].alias(f"{prefix}_{i}") for i in range(n)])
-
-
 def hour_and_day(df: DataFrame, keys: Sequence[str], aggs: Sequence, *,
                  date_col: str = "pk_date", hour_col: str = "pk_hr") -> DataFrame:
     """Hourly and daily totals in one pass (GROUPING SETS); ``grain`` tells them apart."""

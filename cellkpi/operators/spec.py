@@ -18,43 +18,43 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellkpi.functions.scalars import day_stamp
+from cellkpi.sources.labels import LabelCodes
+from cellkpi.sources.vectors import BINS, bin_names
 
 NUMERIC = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DecimalType, T.BooleanType)
 # Columns the pipeline adds itself; they are never counters.
 PIPELINE_COLUMNS = ("pk_ft", "pk_date", "pk_market", "pk_hr", "pk_batch", "_source_file", "_rescued")
 GRAINS = ("rop", "hour", "day")
 
-# A MIN over text (the label columns) has no fixed-width buffer, so Spark runs
-# the whole aggregate sort-based. From this many numeric measures on, the
-# numeric part runs as a hash aggregate and the labels as a narrow sort
-# aggregate, joined back without a shuffle (measured on 300 counters at sf0.1:
-# ~9.4 s instead of ~14.4 s); narrower specs keep the single aggregate.
-LABEL_SPLIT_MIN_MEASURES = 24
-
-
 @dataclass(frozen=True)
 class Measure:
-    """``func(source) AS alias``; null_policy 'zero' means ``func(IFNULL(source,0))``."""
+    """``func(source) AS alias``; null_policy 'zero' means ``func(IFNULL(source,0))``;
+    ``bin``: of a packed histogram, this element (a missing one is NULL)."""
     func: str
     source: str
     alias: str | None = None
     null_policy: str = "keep"
+    bin: int | None = None
 
     @property
     def name(self) -> str:
         return self.alias or self.source
 
     def column(self, dtypes: dict[str, str] | None = None) -> Column:
-        src = F.col(self.source) if self.source != "*" else F.lit(1)
+        # as text: one call a measure, where a wide spec has thousands
+        src = f"`{self.source}`" if self.source != "*" else "1"
+        if self.bin is not None:
+            src = f"get({src}, {self.bin})"
         dt = (dtypes or {}).get(self.source.lower())
         if self.func in ("sum", "avg", "max") and dt == "string":
-            src = src.try_cast("double")          # text counters: cast, never compare as text
+            src = f"try_cast({src} AS DOUBLE)"          # text counters: cast, never compare as text
         if dt == "boolean" and self.func != "count":
-            src = src.cast("int")
+            src = f"CAST({src} AS INT)"
         if self.null_policy == "zero":
-            src = F.coalesce(src, F.lit(0))
-        fn = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.count}[self.func]
-        return fn(src).alias(self.name)
+            src = f"coalesce({src}, 0)"
+        if self.func not in ("sum", "max", "min", "avg", "count"):
+            raise KeyError(self.func)
+        return F.expr(f"{self.func}({src}) AS `{self.name}`")
 
 
 @dataclass(frozen=True)
@@ -75,7 +75,8 @@ class Item:
 class CounterRule:
     """Expand to one measure per counter column of the input.
 
-    Counters = numeric or string columns that are not identity/key columns.
+    Counters = numeric or string columns that are not identity/key columns, and
+    the bins of packed histograms, each under its own name.
     ``overrides``: source -> func; ``renames``: source -> alias;
     ``also``: source -> extra alias over the same aggregate; ``omit``: sources
     that are emitted elsewhere in the spec; ``only``: the counters that the
@@ -100,18 +101,20 @@ class CounterRule:
             al.setdefault(k.lower(), []).append(v)
         out: list[Measure] = []
         for f in schema.fields:
-            lname = f.name.lower()
-            if lname in ex or (only is not None and lname not in only):
+            bins = bin_names(f)
+            if bins is None and not isinstance(f.dataType, (*NUMERIC, T.StringType)):
                 continue
-            if not isinstance(f.dataType, (*NUMERIC, T.StringType)):
-                continue
-            func = ov.get(lname, self.func)
-            pol = self.null_policy if lname not in ov else (self.override_null_policy or self.null_policy)
-            if func == "avg":
-                pol = "keep"
-            out.append(Measure(func, f.name, rn.get(lname, f.name), pol))
-            for extra in al.get(lname, []):
-                out.append(Measure(func, f.name, extra, pol))
+            for at, name in [(None, f.name)] if bins is None else enumerate(bins):
+                lname = name.lower()
+                if lname in ex or (only is not None and lname not in only):
+                    continue
+                func = ov.get(lname, self.func)
+                pol = self.null_policy if lname not in ov else (self.override_null_policy or self.null_policy)
+                if func == "avg":
+                    pol = "keep"
+                out.append(Measure(func, f.name, rn.get(lname, name), pol, at))
+                for extra in al.get(lname, []):
+                    out.append(Measure(func, f.name, extra, pol, at))
         return out
 
 
@@ -170,56 +173,49 @@ def _dedup_names(names: Sequence[str]) -> list[bool]:
     return list(reversed(keep))
 
 
-def _sentinel(dtype: str) -> Column | None:
-    if dtype == "string":
-        return F.lit("")
-    if dtype.startswith("timestamp") or dtype == "date":
-        return F.lit("1970-01-01").cast(dtype)
-    if dtype in ("tinyint", "smallint", "int", "bigint", "double", "float") or dtype.startswith("decimal"):
-        return F.lit(0).cast(dtype)
-    if dtype == "boolean":
-        return F.lit(False)
-    return None
-
+def _coded_aggregate(df: DataFrame, keys: Sequence[str], aggs: list[Column], measures: Sequence[Measure],
+                     labels: Sequence[int], codes: LabelCodes) -> DataFrame:
+    """``df.groupBy(keys).agg(*aggs)`` with the text labels as codes: one scan, one hash aggregate."""
+    aggs = list(aggs)
+    for i in labels:
+        df = codes.encode(df, measures[i].source, f"__label{i}")
+        aggs[i] = F.min(f"__label{i}").alias(measures[i].name)
+    g = df.groupBy(*keys).agg(*aggs)
+    for i in labels:
+        g = codes.decode(g, measures[i].name)
+    return g
 
-def _label_split_aggregate(df: DataFrame, keys: Sequence[str], numeric: list[Column],
-                           labels: list[Column]) -> DataFrame:
-    """``df.groupBy(keys).agg(*numeric, *labels)`` as a hash aggregate of the
-    numeric measures joined to a sort aggregate of the (narrow) labels.
 
-    Both group by the same NULL-free surrogate keys (value with a same-typed
-    sentinel, plus a null flag), so they share one hash partitioning and the
-    join needs no exchange; every group exists on both sides, so an inner
-    join keeps all of them. Keys are restored (NULL where flagged) afterwards.
-    """
-    types = {n.lower(): (n, t) for n, t in df.dtypes}
-    resolved = [types[k.lower()] for k in keys]
-    sentinels = [_sentinel(t) for _, t in resolved]
-    if any(x is None for x in sentinels):
-        return df.groupBy(*keys).agg(*numeric, *labels)
-    kcols = [f"_gk{i}" for i in range(len(keys))]
-    ncols = [f"_gn{i}" for i in range(len(keys))]
-    d = df.withColumns({**{k: F.coalesce(F.col(f"`{n}`"), s) for k, (n, _), s in zip(kcols, resolved, sentinels)},
-                        **{f: F.col(f"`{n}`").isNull() for f, (n, _) in zip(ncols, resolved)}})
-    grp = kcols + ncols
-    num = d.groupBy(*grp).agg(*numeric)
-    lab = d.groupBy(*grp).agg(*labels)
-    j = num.join(lab.hint("shuffle_hash"), grp)
-    restored = [F.when(F.col(f), F.lit(None)).otherwise(F.col(k)).alias(n)
-                for k, f, (n, _) in zip(kcols, ncols, resolved)]
-    return j.select(*restored, *[c for c in j.columns if c not in grp])
+def _packed_output(columns: list[tuple[Column, str, tuple | None]]) -> list[Column]:
+    """Output columns; neighbouring bins of one histogram (same source, same name
+    up to the number) become an array named without the number."""
+    out: list[Column] = []
+    i = 0
+    while i < len(columns):
+        col, name, vector = columns[i]
+        j = i + 1
+        while vector is not None and j < len(columns) and columns[j][2] == vector:
+            j += 1
+        if vector is None:
+            out.append(col)
+        else:
+            out.append(F.array(*[c for c, _, _ in columns[i:j]]).alias(vector[1], metadata={BINS: [n for _, n, _ in columns[i:j]]}))
+        i = j
+    return out
 
 
 def aggregate(df: DataFrame, spec: KpiSpec, *, grain: str = "rop",
               extra_keys: Sequence[str] = ("pk_ft", "pk_date", "pk_market", "pk_hr"),
-              run_id: Column | None = None, label_split: bool | None = None) -> DataFrame:
+              run_id: Column | None = None, labels: DataFrame | LabelCodes | None = None, packed: bool = False) -> DataFrame:
     """Compile ``spec`` at ``grain`` into a single groupBy().agg() over ``df``.
 
     ``extra_keys`` are the store partition keys; adding them makes one query
     over all selected partitions equal to the per-partition queries of a
     loop (pk_hr need not follow hl_date). At 'day' grain pk_hr is dropped.
-    ``label_split``: run text labels as a separate narrow aggregate (None =
-    automatic for wide specs, see ``LABEL_SPLIT_MIN_MEASURES``).
+    ``labels``: texts of the label columns (``sources.labels``), with which
+    labels are aggregated as codes; without them, or where they are too many to
+    broadcast, MIN over text makes Spark aggregate by sorting. ``packed``: histograms
+    that come as arrays stay arrays in the result.
     """
     if grain == "hour" and dict(df.dtypes).get(next((c for c in df.columns if c.lower() == spec.hour_key.lower()), "")) != "string":
         df = df.withColumn(next(c for c in df.columns if c.lower() == spec.hour_key.lower()), hour_of(spec))
@@ -236,19 +232,20 @@ def aggregate(df: DataFrame, spec: KpiSpec, *, grain: str = "rop",
         aggs.append(F.min(day_stamp(spec.hour_key)).alias("_day_stamp"))
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("_rows")]
-    labels = [i for i, m in enumerate(measures) if m.func == "min" and dtypes.get(m.source.lower()) == "string"]
-    n_numeric = len(aggs) - len(labels)
-    split = label_split if label_split is not None else (bool(labels) and n_numeric >= LABEL_SPLIT_MIN_MEASURES)
-    if split and labels and n_numeric > 0:
-        g = _label_split_aggregate(df, keys, [a for i, a in enumerate(aggs) if i not in labels],
-                                   [aggs[i] for i in labels])
+    texts = [i for i, m in enumerate(measures) if m.func == "min" and dtypes.get(m.source.lower()) == "string"]
+    codes = LabelCodes(labels) if texts and isinstance(labels, DataFrame) else labels
+    if texts and codes is not None and codes.usable:
+        g = _coded_aggregate(df, keys, aggs, measures, texts, codes)
     else:
         g = df.groupBy(*keys).agg(*aggs)
 
     out: list[Column] = []
     names: list[str] = []
+    vectors: dict[int, tuple] = {}
     for it in entries:
         if isinstance(it, Measure):
+            if packed and it.bin is not None and (m := re.fullmatch(r"(.+)_\d+", it.name)):
+                vectors[len(out)] = (it.source, m[1])
             out.append(F.col(f"`{it.name}`")); names.append(it.name)
         elif it.kind == "key":
             out.append(F.expr(it.value or it.alias).alias(it.alias)); names.append(it.alias)
@@ -266,7 +263,8 @@ def aggregate(df: DataFrame, spec: KpiSpec, *, grain: str = "rop",
                 src = F.col("_day_stamp")
             out.append(src.alias(it.alias)); names.append(it.alias)
     out += [F.col(k) for k in extra if k.lower() not in {n.lower() for n in names}]
-    return g.select(*out)
+    names += [""] * (len(out) - len(names))
+    return g.select(*_packed_output([(c, n, vectors.get(i)) for i, (c, n) in enumerate(zip(out, names, strict=True))]))
 
 
 def aggregate_from_schema(df: DataFrame, schema: T.StructType,

@@ -27,6 +27,7 @@ from cellkpi.session import scratch_path
 from cellkpi.sources.counters import (known_families, quarantine_unknown, read_counters,
                                       read_counters_pipe, route_file_type)
 from cellkpi.sources.export import read_export
+from cellkpi.sources.labels import read_labels
 from cellkpi.sources.lookup import build_lookup, lookup_scan
 from cellkpi.sources.schema import schema_from_fields, typed_from_strings
 from cellkpi.sources.store import (filter_families, read_index, read_store, rebuild_index,
@@ -51,7 +52,7 @@ def finish(df: DataFrame) -> DataFrame:
         if t.startswith("timestamp"):
             c = ts_text(c)
         elif t in ("double", "float"):
-            c = round_half_away(c, 4)
+            c = round_half_away(name, 4)
         out.append(c.alias(name))
     return df.select(*out)
 
@@ -72,7 +73,7 @@ def store_path(spark: SparkSession, sf: str) -> str:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _STORES:
         path = scratch_path(spark, "store")
-        write_store(ekc(spark, sf), path, mode="overwrite")
+        write_store(ekc(spark, sf), path, mode="overwrite", labels=("oss",))
         _STORES[key] = path
     return _STORES[key]
 
@@ -570,8 +571,8 @@ def kpi_rop(spark, sf):
 
 @q("kpi_rop_label_split", BASE + _kc_spec_sql("rop", "ekc", None))
 def kpi_rop_label_split(spark, sf):
-    """A7 with the label aggregate split off (the plan wide vendor specs get)."""
-    return finish(aggregate(store(spark, sf), KC_SPEC, grain="rop", label_split=True))
+    """A7 with labels as codes of the store's dictionary (one scan, one hash aggregate)."""
+    return finish(aggregate(store(spark, sf), KC_SPEC, grain="rop", labels=read_labels(spark, store_path(spark, sf))))
 
 
 @q("kpi_hourly", BASE + _kc_spec_sql("hour", "ekc", None))
@@ -896,4 +897,4 @@ def tumbling_hour_stream(spark, sf):
 
 
 # -- vendor family specs (E1-E4, N7, N9, N14, M11) register themselves here
-from cellkpi.plans import family_catalog, store_catalog  # noqa: E402,F401
+from cellkpi.plans import family_catalog, store_catalog, vector_catalog  # noqa: E402,F401

@@ -74,18 +74,17 @@ ENRICHED = ("HL_Market", "HL_Cluster", "HL_Area", "HL_Site", "HL_Sector", "HL_Ma
 # ----------------------------------------------------------------------------
 
 
-def ericsson_lte(hourly: bool = False, counters: Sequence[str] | None = None) -> KpiSpec:
+def ericsson_lte(counters: Sequence[str], hourly: bool = False) -> KpiSpec:
     """Ericsson LTE: SUM(IFNULL(c,0)), three floored maxima, labels by MIN, ROP
     keys (or hour keys without OSS for the hourly spec). ``counters``: the
     counters that the spec names (the schema has ten times as many), for
-    example ``[m.source for m in typed_measures(text)]`` of its feature file;
-    None takes every counter of the input."""
+    example ``[m.source for m in typed_measures(text)]`` of its feature file."""
     rule = CounterRule(
         func="sum", null_policy="zero",
         overrides=tuple((c, "max") for c in ERIC_LTE_MAX),
         also=tuple((c, f"{c}_gcr") for c in ERIC_LTE_GCR) + (("period_duration", ERIC_LTE_DURATION_ALIAS),),
         renames=ERIC_LTE_BIN_RENAMES + (() if hourly else ERIC_LTE_HO_RENAMES),
-        only=None if counters is None else (*counters, "period_duration"),
+        only=(*counters, "period_duration"),
     )
     items = [
         Item("MGR_RUN_ID", "run_id", "unassigned"),
@@ -109,10 +108,10 @@ def ericsson_lte(hourly: bool = False, counters: Sequence[str] | None = None) ->
                    hour_key="hl_date", identity=IDENTITY[("ericsson", "lte")] + ENRICHED)
 
 
-def ericsson_umts(hourly: bool = False, counters: Sequence[str] | None = None) -> KpiSpec:
+def ericsson_umts(counters: Sequence[str], hourly: bool = False) -> KpiSpec:
     """Ericsson UMTS; ``counters`` as for :func:`ericsson_lte`."""
     rule = CounterRule(func="sum", null_policy="zero", renames=() if hourly else ERIC_UMTS_RENAMES,
-                       only=None if counters is None else tuple(counters))
+                       only=tuple(counters))
     items = [
         Item("MGR_RUN_ID", "run_id", "unassigned"),
         Measure("min", "region", "region"), Measure("min", "market", "market"),
@@ -190,19 +189,3 @@ def nokia_umts(family: str) -> KpiSpec:
                          "hl_cluster", "hl_area", "hl_market"),
                    time_keys=("hl_date", "HL_Date_Hour", "PERIOD_START_TIME"), hour_key="hl_date",
                    identity=IDENTITY[("nokia", "umts")] + ENRICHED, derived=True)
-
-
-def spec_for(vendor: str, tech: str, family: str | None = None, hourly: bool = False) -> KpiSpec:
-    if vendor == "ericsson":
-        return ericsson_lte(hourly) if tech == "lte" else ericsson_umts(hourly)
-    if family is None:
-        raise ValueError("Nokia specs are per family")
-    fam = family.split("_", 1)[1] if family.startswith(tech + "_") else family
-    return nokia_lte(fam) if tech == "lte" else nokia_umts(fam)
-
-
-def all_specs() -> dict[str, KpiSpec]:
-    out = {s.name: s for s in (ericsson_lte(), ericsson_lte(True), ericsson_umts(), ericsson_umts(True))}
-    out.update({f"lte_nokia_{f}": nokia_lte(f) for f in NOKIA_LTE_FAMILIES})
-    out.update({f"umts_nokia_{f}": nokia_umts(f) for f in NOKIA_UMTS_FAMILIES})
-    return out

@@ -19,6 +19,8 @@ from cellkpi.plans import driver_tables as dt
 from cellkpi.plans import families as fam
 from cellkpi.plans import vendor_tables as vt
 from cellkpi.plans.catalog import _w, finish, q
+from cellkpi.sources.labels import label_texts
+from cellkpi.sources.vectors import pack_vectors
 
 
 def _ts(x: str) -> str:
@@ -141,12 +143,14 @@ def family_eric_lte_daily(spark, sf):
 FROM e GROUP BY HL_DATE, PERIOD_START_TIME, MeContext, EUtranCellFDD, HL_Market, HL_Cluster, HL_Area, OSSName,
   pk_date, pk_hr""")
 def family_eric_lte_wide(spark, sf):
-    """E1 at a realistic width (~300 counters): the spec compiler splits the
-    text labels off into a narrow aggregate (see ``operators.spec``)."""
-    e = enrich_for(vt.eric_lte_wide_rows(spark, sf), dt.sl(spark, sf), "ericsson", "lte")
+    """E1 at a realistic width (~300 counters): histograms travel as arrays, labels
+    are aggregated as codes, so one scan and one hash aggregate do."""
+    rows = vt.eric_lte_wide_rows(spark, sf)
+    e = enrich_for(pack_vectors(rows), dt.sl(spark, sf), "ericsson", "lte")
     e = derive_pk(e, date_col="HL_DATE", hour_col="PERIOD_START_TIME")
     wide = [f"{vt.WIDE_PREFIX}{i}" for i in range(vt.WIDE_COUNTERS)]
-    return finish(aggregate(e, fam.ericsson_lte(counters=[*ROP_COUNTERS, *wide]), grain="rop"))
+    return finish(aggregate(e, fam.ericsson_lte(counters=[*ROP_COUNTERS, *wide]), grain="rop",
+                            labels=label_texts(rows, ["Region", "Market", "SubNetwork_2"])))
 
 
 _UMTS_SORT = "substr(UtranCell, 1, 1) || substr(UtranCell, -1, 1) || substr(UtranCell, -2, 1)"

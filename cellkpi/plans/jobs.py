@@ -83,11 +83,14 @@ def _selection_source(store: DataFrame, index: DataFrame | None, families) -> Da
 def report(store: DataFrame, spec: KpiSpec, *, latest_n: int = 3, grain: str = "hour",
            families: str | Sequence[str] | None = None, run_token: str = "run",
            per: Sequence[str] | None = None, index: DataFrame | None = None,
-           fresh_as_of: str | None = None, fresh_days: int = 3) -> DataFrame:
+           fresh_as_of: str | None = None, fresh_days: int = 3, labels: DataFrame | None = None,
+           packed: bool = False) -> DataFrame:
     """KPI aggregate of the newest ``latest_n`` hours of every market (per family).
 
     With ``fresh_as_of`` ('yyyy-MM-dd') markets whose newest date is
     ``fresh_days`` or more days older are left out (the freshness gate).
+    ``labels``: the store's label dictionary (``sources.labels.read_labels``);
+    ``packed``: histograms stay arrays.
 
     Partition choice is a window over the partition index (the index table
     when given, else the store's distinct keys); the store is restricted by
@@ -102,7 +105,7 @@ def report(store: DataFrame, spec: KpiSpec, *, latest_n: int = 3, grain: str = "
     store = filter_families(store, families)
     data = restrict_to(store, sel)
     rid = run_id(F.col("pk_hr"), _run_uuid(run_token))
-    return aggregate(data, spec, grain=grain, run_id=rid)
+    return aggregate(data, spec, grain=grain, run_id=rid, labels=labels, packed=packed)
 
 
 def report_daily(store: DataFrame, spec: KpiSpec, *, families=None, run_token: str = "run",

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellkpi.sources.labels import write_labels
+
 # Directory layout. The source system nests family/date/market/hour
 # directories (REFERENCE_LAYOUT); at scale that is one directory per market
 # hour — millions of small files. Default: directories per (family, date),
@@ -38,7 +40,8 @@ def index_path(store_path: str) -> str:
 def write_store(df: DataFrame, path: str, *, mode: str = "append",
                 partition_by: Sequence[str] = STORE_PARTITIONS, cluster_by: Sequence[str] = CLUSTER_BY,
                 compression: str = "zstd", max_records_per_file: int = 5_000_000,
-                with_index: bool = True, cache: bool = True, row_group_bytes: int | None = None) -> str:
+                with_index: bool = True, cache: bool = True, row_group_bytes: int | None = None,
+                labels: Sequence[str] = ()) -> str:
     """Append (or overwrite) rows into the partitioned store.
 
     ``REBALANCE`` on the partition keys groups each directory's rows into few
@@ -53,7 +56,8 @@ def write_store(df: DataFrame, path: str, *, mode: str = "append",
     second time. The index is written with the store's mode, partitioned by
     (family, date): an append adds the batch's keys, a dynamic overwrite
     replaces exactly the family-days the store write replaced. ``cache=False``
-    when the caller has already persisted ``df`` (or its parent).
+    when the caller has already persisted ``df`` (or its parent). ``labels``: text
+    columns whose distinct values go to the store's label dictionary.
     """
     cols = [c for c in partition_by if c in df.columns]
     sort = [c for c in (*cols, *cluster_by) if c in df.columns]
@@ -68,6 +72,8 @@ def write_store(df: DataFrame, path: str, *, mode: str = "append",
         if row_group_bytes:
             w = w.option("parquet.block.size", row_group_bytes)
         w.partitionBy(*cols).parquet(path)
+        if labels:
+            write_labels(df, path, labels)
         if index:
             write_index(df, path, mode=mode, overwrite_mode="dynamic")
     finally:

@@ -30,9 +30,16 @@ def _nokia(spark, fields, rows, tech="lte"):
 
 
 def test_all_specs_have_unique_names():
-    specs = fam.all_specs()
-    assert len(specs) == 4 + 16 + 12
-    assert sum(s.derived for s in specs.values()) == 12
+    specs = [s(["c"], hourly=h) for s in (fam.ericsson_lte, fam.ericsson_umts) for h in (False, True)]
+    specs += [fam.nokia_lte(f) for f in fam.NOKIA_LTE_FAMILIES] + [fam.nokia_umts(f) for f in fam.NOKIA_UMTS_FAMILIES]
+    assert len({s.name for s in specs}) == 4 + 16 + 12
+    assert sum(s.derived for s in specs) == 12
+
+
+def every_counter(df):
+    """Counters of a test's rows: what is neither identity nor added by the pipeline."""
+    known = {c.lower() for cols in IDENTITY.values() for c in cols} | {c.lower() for c in fam.ENRICHED}
+    return [n for n, t in df.dtypes if t in ("double", "bigint") and n.lower() not in known]
 
 
 def test_nokia_cell_avail_four_rops_one_hour(spark):
@@ -102,7 +109,7 @@ def _eric_lte(spark):
 
 def test_ericsson_lte_rop_names_and_null_policy(spark):
     df = _eric_lte(spark)
-    out = aggregate(df, fam.ericsson_lte(), grain="rop")
+    out = aggregate(df, fam.ericsson_lte(every_counter(df)), grain="rop")
     cols = out.columns
     for c in ("pmHoPrepAtt_gcr", "pmRadioRecInterfernPwrPucch_0", "pmHoExeAttLteInterF",
               "period_duration_eutcfd19", "OSS", "HL_Sector", "HL_Site"):
@@ -117,12 +124,12 @@ def test_ericsson_lte_rop_names_and_null_policy(spark):
 
 def test_ericsson_lte_hourly_and_daily(spark):
     df = _eric_lte(spark)
-    h = aggregate(df, fam.ericsson_lte(hourly=True), grain="hour").collect()
+    h = aggregate(df, fam.ericsson_lte(every_counter(df), hourly=True), grain="hour").collect()
     assert len(h) == 1 and h[0].pmRrcConnEstabAtt == 2.0 and "OSS" not in h[0].asDict()
     assert "pmCellHoExeAttLteInterF" in h[0].asDict()          # the rename belongs to the other spec
     named = aggregate(df, fam.ericsson_lte(counters=["pmHoPrepAtt", "pmRrcConnMax"]), grain="rop").columns
     assert "pmHoPrepAtt" in named and "pmPdcchCceUtil_0" not in named
-    d = aggregate(df, fam.ericsson_lte(), grain="day").collect()
+    d = aggregate(df, fam.ericsson_lte(every_counter(df)), grain="day").collect()
     assert len(d) == 1 and d[0].pmPdcchCceUtil_0 == 2.0
 
 
@@ -134,12 +141,12 @@ def test_ericsson_umts_rules(spark):
     df = _rows(spark, ERIC_UMTS, rows)
     e = enrich_for(df, lookup_df(spark).where("VENDOR='Ericsson' and TECH='UMTS'"), "ericsson", "umts")
     e = derive_pk(e.withColumn("hl_date", F.col("HL_DATE")), date_col="HL_DATE", hour_col="PERIOD_START_TIME")
-    rop = {r.utrancell: r for r in aggregate(e, fam.ericsson_umts(), grain="rop").collect()}
+    rop = {r.utrancell: r for r in aggregate(e, fam.ericsson_umts(every_counter(e)), grain="rop").collect()}
     u = rop["U1234567890"]
     assert u.hl_umtssort == "U09" and u.HL_Sectorlayer == "AWS" and u.HL_Site == "SITE-U"
     assert u.pmNoRabEstablishAttempSpeech == 1.0 and u.PERIOD_DURATION is None    # plain SUM keeps NULL
     assert rop["P9"].HL_Sectorlayer == "PCS" and rop["P9"].HL_Market == "unassigned"
-    hr = {r.utrancell: r for r in aggregate(e, fam.ericsson_umts(hourly=True), grain="hour").collect()}
+    hr = {r.utrancell: r for r in aggregate(e, fam.ericsson_umts(every_counter(e), hourly=True), grain="hour").collect()}
     assert hr["U1234567890"].HL_Site == "U12345678" and hr["P9"].HL_Cluster == "unassigned"
 
 
@@ -147,19 +154,23 @@ def test_identity_layouts_cover_vendors():
     assert set(IDENTITY) == {("ericsson", "lte"), ("ericsson", "umts"), ("nokia", "lte"), ("nokia", "umts")}
 
 
-def test_label_split_aggregate_equals_single_aggregate(spark):
-    from cellkpi.operators.spec import CounterRule
+def test_label_codes_equal_the_plain_aggregate(spark):
     import datetime as dt
+    from cellkpi.operators.spec import CounterRule
+    from cellkpi.sources.labels import label_texts
     t = dt.datetime(2024, 1, 5, 10, 0)
-    rows = [("c1", "oss1", t, 1.0, 2.0), ("c1", "OSS0", t, 3.0, None), (None, "oss2", t, 5.0, 1.0),
-            (None, None, t, 7.0, 1.0), ("c2", None, None, 9.0, 4.0), ("", "x", t, 1.0, 1.0)]
-    df = spark.createDataFrame(rows, "cell string, oss string, ts timestamp, a double, b double")
-    spec = KpiSpec(name="t", items=(Item("cell", "key", "cell"), Measure("min", "oss", "oss"),
+    rows = [("c1", "oss1", "é", t, 1.0, 2.0), ("c1", "OSS0", "z", t, 3.0, None), (None, "oss2", None, t, 5.0, 1.0),
+            (None, None, "", t, 7.0, 1.0), ("c2", None, None, None, 9.0, 4.0), ("", "x", "long label", t, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "cell string, oss string, region string, ts timestamp, a double, b double")
+    spec = KpiSpec(name="t", items=(Item("cell", "key", "cell"), Measure("min", "oss", "oss"), Measure("min", "region", "area"),
                                     CounterRule(func="sum", null_policy="zero")),
-                   keys=("cell",), time_keys=("ts",), identity=("cell", "oss", "ts"))
-    one = aggregate(df, spec, grain="rop", extra_keys=(), label_split=False)
-    two = aggregate(df, spec, grain="rop", extra_keys=(), label_split=True)
+                   keys=("cell",), time_keys=("ts",), identity=("cell", "oss", "ts", "region"))
+    texts = label_texts(df, ["oss", "region"])
+    one = aggregate(df, spec, grain="rop", extra_keys=())
+    two = aggregate(df, spec, grain="rop", extra_keys=(), labels=texts)
     norm = lambda d: sorted(map(repr, d.select(*sorted(one.columns)).collect()))
     assert norm(one) == norm(two) and len(norm(two)) == 4        # NULL and empty cells stay apart
     plan = two._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate" in plan and "ShuffledHashJoin" in plan
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    with pytest.raises(Exception, match="dictionary lacks"):
+        aggregate(df, spec, grain="rop", extra_keys=(), labels=texts.where("text <> 'z'")).collect()
