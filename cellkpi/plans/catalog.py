@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,7 @@ from cellkpi.plans.jobs import export_report, report, report_daily, with_export_
 from cellkpi.session import scratch_path
 from cellkpi.sources.counters import (known_families, quarantine_unknown, read_counters,
                                       read_counters_pipe, route_file_type)
-from cellkpi.sources.export import read_export
+from cellkpi.sources.export import read_export, read_export_in_order
 from cellkpi.sources.labels import read_labels
 from cellkpi.sources.lookup import build_lookup, lookup_scan
 from cellkpi.sources.schema import schema_from_fields, typed_from_strings
@@ -764,17 +764,24 @@ def store_scan_hour(spark, sf):
 
 
 @q("export_merged_hours", BASE.rstrip("\n") + ",\n" + IDX_SQL + ",\n" + LATEST_SQL + """
-SELECT pk_date, pk_market, pk_ft, count(*) AS n_rows FROM (
+SELECT pk_date, pk_market, pk_ft, count(*) AS n_rows, max(pk_hr) AS first_hour, min(pk_hr) AS last_hour, 0::BIGINT AS out_of_order FROM (
   SELECT pk_ft, pk_date, pk_market, pk_hr, cell, HL_DATE, HL_Market, HL_Cluster, HL_Area
   FROM ekc SEMI JOIN lat USING (pk_ft, pk_date, pk_market, pk_hr) GROUP BY ALL)
 GROUP BY pk_date, pk_market, pk_ft""")
 def export_merged_hours(spark, sf):
+    """One folder per (date, market, family), newest hour first over all its parts."""
     r = report(store(spark, sf), KC_SPEC, latest_n=LATEST_N, grain="hour", run_token=RUN_TOKEN,
                index=index(spark, sf))
     path = export_report(with_export_key(finish(r), dt.cl(spark, sf)), scratch_path(spark, "export-merged"),
                          merge_hours=True)
-    back = read_export(spark, path)
-    return back.groupBy("pk_date", "pk_market", "pk_ft").agg(F.count(F.lit(1)).alias("n_rows"))
+    back, keys = read_export_in_order(spark, path), ["pk_date", "pk_market", "pk_ft"]
+    parts = back.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("line", "pk_hr")).alias("head"),
+                                            F.max(F.struct("line", "pk_hr")).alias("tail"), F.max("pk_hr").alias("hi"), F.min("pk_hr").alias("lo"))
+    # in order: a part runs from its newest to its oldest hour, and on from the part before
+    before = F.lag("lo").over(Window.partitionBy(*keys).orderBy("part"))
+    wrong = ((F.col("head.pk_hr") != F.col("hi")) | (F.col("tail.pk_hr") != F.col("lo")) | (before < F.col("hi"))).cast("long")
+    return (parts.withColumn("wrong", F.coalesce(wrong, F.lit(0))).groupBy(*keys)
+            .agg(F.sum("n").alias("n_rows"), F.max("hi").alias("first_hour"), F.min("lo").alias("last_hour"), F.sum("wrong").alias("out_of_order")))
 
 
 KC_TEXT_SELECT = ("'unassigned' as MGR_RUN_ID, min(oss) as oss, HL_DATE as PERIOD_START_TIME, cell, "
