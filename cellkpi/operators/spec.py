@@ -303,10 +303,15 @@ def load_sql_features(path: str, *, pick: str = "first") -> dict[str, tuple[str,
     ``pick='first'`` takes the first sql entry of a feature (Ericsson jobs);
     ``pick='last'`` the last entry that has both parts (Nokia jobs).
     """
+    with open(path) as fh:
+        return parse_sql_features(fh.read(), pick=pick)
+
+
+def parse_sql_features(text: str, *, pick: str = "first") -> dict[str, tuple[str, str]]:
+    """The features of a feature file's text (see :func:`load_sql_features`)."""
     import json
 
-    with open(path) as fh:
-        doc = json.load(fh)
+    doc = json.loads(text)
     out = {}
     for feat in doc.get("features", []):
         entries = [e for e in feat.get("sql", []) if e.get("SELECT") and e.get("GROUPBY")]

@@ -10,16 +10,21 @@ keys and time stamps per grain) rather than repeat it.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellkpi.operators.enrich import derive_hl_date, derive_pk, enrich_for
-from cellkpi.operators.spec import aggregate
+from cellkpi.operators.spec import aggregate, parse_sql_features, sql_feature_aggregate
 from cellkpi.plans import driver_tables as dt
 from cellkpi.plans import families as fam
 from cellkpi.plans import vendor_tables as vt
 from cellkpi.plans.catalog import _w, finish, q
+from cellkpi.session import scratch_path, write_text_file
 from cellkpi.sources.labels import label_texts
+from cellkpi.sources.schema import IDENTITY, SchemaRegistry
 from cellkpi.sources.vectors import pack_vectors
 
 
@@ -313,60 +318,161 @@ def family_nokia_umts_soft_ho(spark, sf):
 
 # ------------------------------------------- the other Nokia families, by rule
 
-# Two counters of each registered schema, and how the family's
-# spec takes them (sum unless stated). Their values come from ``events``.
-OTHER_FAMILIES = {
-    "lte": {
-        "cell_avail": (("SAMPLES_CELL_AVAIL", "sum"), ("SAMPLES_CELL_PLAN_UNAVAIL", "sum")),
-        "cell_resource": (("UL_PRB_UTIL_TTI_LEVEL_1", "sum"), ("UL_PRB_UTIL_TTI_LEVEL_2", "sum")),
-        "eps_bearer": (("EPS_BEARER_SETUP_ATTEMPTS", "sum"), ("EPS_BEARER_SETUP_COMPLETIONS", "sum")),
-        "handover": (("HO_INTFREQ_ATT", "sum"), ("HO_INTFREQ_SUCC", "sum")),
-        "inter_enb_ho": (("INTER_ENB_HO_PREP", "sum"), ("FAIL_ENB_HO_PREP_TIME", "sum")),
-        "inter_sys_ho": (("CSFB_REDIR_CR_ATT", "sum"), ("CSFB_REDIR_CR_EMERGENCY_ATT", "sum")),
-        "intra_enb_ho": (("INTRA_ENB_HO_PREP", "sum"), ("FAIL_ENB_HO_PREP_AC", "sum")),
-        "isys_ho_utran_nb_sum": (("ISYS_HO_UTRAN_ATT_NB", "sum"), ("ISYS_HO_UTRAN_FAIL_NB", "sum")),
-        "pwr_and_qual_dl": (("UE_REP_CQI_LEVEL_00", "sum"), ("UE_REP_CQI_LEVEL_01", "sum")),
-        "pwr_and_qual_ul": (("RSSI_PUCCH_AVG", "avg"), ("RSSI_PUSCH_AVG", "avg")),
-        "rrc": (("REJ_RRC_CONN_RE_ESTAB", "sum"), ("DISC_RRC_PAGING", "sum")),
-        "ue_state": (("SIGN_CONN_ESTAB_COMP", "sum"), ("SIGN_EST_F_RRCCOMPL_MISSING", "sum")),
-        "ue_quantity": (("RRC_CONNECTED_UE_AVG", "avg"), ("RRC_CONNECTED_UE_MAX", "max")),
-    },
-    "umts": {
-        "cell_resource": (("ave_prxtot_class_0", "sum"), ("prxtot_denom_0", "sum")),
-        "cell_throughput_wbts": (("mc_hsdpa_orig_data_pri", "sum"), ("mc_hsdpa_orig_data_sec", "sum")),
-        "hsdpa_wbts": (("cqi_dist_cl_2", "sum"), ("cqi_dist_cl_3", "sum")),
-        "inter_system_handover": (("utran_not_able_exec_ishho_rt", "sum"), ("ue_not_able_exec_ishho_rt", "sum")),
-        "intra_system_handover": (("intra_intra_hho_att_nrt", "sum"), ("succ_intra_intra_hho_att_nrt", "sum")),
-        "packet_call": (("hs_e_req_hs_e_allo_int", "sum"), ("hs_e_req_d_d_allo_int_cell", "sum")),
-        "rcpm_olpc_wcel_sum": (("UL_CRC_NOKS_W_CS", "sum"), ("UL_CRC_OKS_W_CS", "sum")),
-        "rcpm_rlc_wcel_sum": (("RLC_AM_SDU_DL_PS_VOL_W_HSDPA", "sum"), ("RLC_AM_SDU_DL_PS_VOL_W_ALL", "sum")),
-        "rrc": (("prach_delay_class_0", "sum"), ("prach_delay_class_1", "sum")),
-        "service_level": (("rab_acc_comp_cs_voice", "sum"), ("rab_acc_comp_ps_inter", "sum")),
-        "traffic": (("allo_hs_dsch_flow_int", "sum"), ("allo_hs_dsch_flow_bgr", "sum")),
-    },
+# How many counters each family's registered schema has.
+SCHEMA_COUNTERS = {
+    "lte": {"cell_avail": 4, "cell_resource": 21, "eps_bearer": 100, "handover": 5, "inter_enb_ho": 9, "inter_sys_ho": 15,
+            "intra_enb_ho": 6, "isys_ho_utran_nb_sum": 4, "pwr_and_qual_dl": 17, "pwr_and_qual_ul": 71, "rrc": 7,
+            "ue_state": 20, "ue_quantity": 4},
+    "umts": {"cell_resource": 106, "cell_throughput_wbts": 5, "hsdpa_wbts": 97, "inter_system_handover": 56,
+             "intra_system_handover": 33, "packet_call": 45, "rcpm_olpc_wcel_sum": 12, "rcpm_rlc_wcel_sum": 8, "rrc": 30,
+             "service_level": 109, "traffic": 46},
 }
+# How many of a family's counters are registered as text.
+TEXT_COUNTERS = {("lte", "eps_bearer"): 21, ("lte", "ue_state"): 2}
+
+
+def schema_fields(tech: str, family: str) -> list[dict]:
+    """A family's schema file: the vendor's identity columns, the counters that its
+    spec names (other functions, renames), and as many more as the family has."""
+    named = [c for c, _ in fam.NOKIA_LTE_OVERRIDES.get(family, ()) + fam.NOKIA_LTE_RENAMES.get(family, ())] if tech == "lte" else []
+    more = [f"{family}_{i:03d}_cnt" for i in range(len(named), SCHEMA_COUNTERS[tech][family])]
+    texts = TEXT_COUNTERS.get((tech, family), 0)
+    mo = "MO_DN_Source" if family in fam.NOKIA_SOURCE_KEYED else "MO_DN"
+    ids = ["BASEID", "LOCALMOID", "CELL_ID_1", "CELL_ID_2"] if tech == "umts" else [mo, "MO_DN2"]
+    columns = [(c, "string") for c in ("MGR_RUN_ID", "Region", "Market", "OSS")] + [("PERIOD_START_TIME", "timestamp"), ("PERIOD_DURATION", "double")]
+    columns += [(c, "string") for c in ids]
+    columns += [(c, "string" if i < texts else "long" if i % 9 == 8 else "double") for i, c in enumerate(more + named)]
+    return [{"metadata": {}, "type": t, "name": c, "nullable": True} for c, t in columns]
+
+
+def counter_types(schema: T.StructType, tech: str) -> dict[str, str]:
+    known = {c.lower() for c in IDENTITY["nokia", tech]} | {"period_duration"}
+    return {f.name: f.dataType.simpleString() for f in schema.fields if f.name.lower() not in known}
+
+
+def counter_value(i: int, kind: str) -> str:
+    """Value of a family's ``i``-th counter on a record of ``kc``; both engines read it."""
+    if kind == "string":
+        return "v_str"
+    if kind == "bigint":
+        return f"CAST(event_id % {50 + i} AS BIGINT)"
+    return (f"value * {i % 7 + 1}", "v_null", f"CAST(floor(value) AS DOUBLE) + {i}", f"CASE WHEN event_id % {i + 2} = 0 THEN NULL ELSE CAST(event_id % 100 AS DOUBLE) END")[i % 4]
+
 
+_REGISTRIES: dict = {}
 
-def _register_other(tech: str, family: str, counters: tuple[tuple[str, str], ...]) -> None:
-    names = tuple(name for name, _ in counters)
+
+def registry(spark) -> SchemaRegistry:
+    """Schema files of all these families, written to and loaded from a folder."""
+    key = spark.sparkContext.applicationId
+    if key not in _REGISTRIES:
+        folder = scratch_path(spark, "schemas")
+        for tech, families in SCHEMA_COUNTERS.items():
+            for family in families:
+                write_text_file(spark, f"{folder}/{tech}_nokia_{family}_schema.json", json.dumps(schema_fields(tech, family)))
+        _REGISTRIES[key] = SchemaRegistry.from_path(spark, folder)
+    return _REGISTRIES[key]
+
+
+def _family_rows(spark, sf, tech: str, family: str) -> DataFrame:
+    """Rows of a family with every counter of its registered schema."""
+    source_keyed = family in fam.NOKIA_SOURCE_KEYED
+    counters = counter_types(registry(spark)[f"{tech}_{family}"], tech)
+    ids = vt.nokia_ids(dt.kc(spark, sf), tech, source_keyed)
+    return dt.kc(spark, sf).select(*ids, *[F.expr(f"{counter_value(i, t)} AS `{c}`") for i, (c, t) in enumerate(counters.items())])
+
+
+def _register_other(tech: str, family: str) -> None:
     source_keyed = family in fam.NOKIA_SOURCE_KEYED
     mo = "MO_DN_Source" if source_keyed else "MO_DN"
     ids = f"{mo} AS mo_dn, MO_DN2 AS cell" if tech == "lte" else "BASEID, LOCALMOID, CELL_ID_1, CELL_ID_2"
     keys = f"{mo}, MO_DN2" if tech == "lte" else "BASEID, LOCALMOID, CELL_ID_1, CELL_ID_2"
     cell = "MO_DN2" if tech == "lte" else "CELL_ID_1"
+    kinds = {"double": "double", "long": "bigint", "string": "string"}
+    fields = [(f["name"], kinds[f["type"]]) for f in schema_fields(tech, family)[6 + (4 if tech == "umts" else 2):]]
+    func = dict(fam.NOKIA_LTE_OVERRIDES.get(family, ())) if tech == "lte" else {}
+    alias = dict(fam.NOKIA_LTE_RENAMES.get(family, ())) if tech == "lte" else {}
+
+    def measure(c: str, t: str) -> str:
+        if t == "bigint" and func.get(c, "sum") == "sum":
+            return f"CAST(sum({c}) AS BIGINT) AS {alias.get(c, c)}"
+        return _r(f"{func.get(c, 'sum')}({f'try_cast({c} AS DOUBLE)' if t == 'string' else c})", alias.get(c, c))
+
+    values = [f"{counter_value(i, t)} AS {c}" for i, (c, t) in enumerate(fields)]
 
-    @q(f"family_nokia_{tech}_{family}", _w(dt.KC_SQL, dt.CL_SQL, vt.nokia_rows_sql(tech, names, source_keyed),
+    @q(f"family_nokia_{tech}_{family}", _w(dt.KC_SQL, dt.CL_SQL, vt.nokia_rows_sql(tech, values, source_keyed),
                                            _nokia_enriched_sql("nr", "cl", cell, f"{tech}_{family}"))
        + f"""SELECT 'unassigned' AS MGR_RUN_ID, min(OSS) AS oss, {_ts('PERIOD_START_TIME')} AS PERIOD_START_TIME,
-  {_sum('PERIOD_DURATION', 'period_duration')}, {ids}, {', '.join(_r(f'{f}({n})', n) for n, f in counters)},
+  {_sum('PERIOD_DURATION', 'period_duration')}, {ids}, {', '.join(measure(*f) for f in fields)},
   HL_Date_Hour, {_ts('PERIOD_START_TIME')} AS HL_Date, {_NOKIA_TAIL}, pk_hr
 FROM ne GROUP BY PERIOD_START_TIME, HL_Date_Hour, {keys}, {_NOKIA_LTE_KEYS}, pk_hr""")
     def family_query(spark, sf):
-        rows = _nokia(vt.nokia_rows(spark, sf, tech, names, source_keyed), dt.cl(spark, sf), tech, f"{tech}_{family}")
+        rows = _nokia(_family_rows(spark, sf, tech, family), dt.cl(spark, sf), tech, f"{tech}_{family}")
         spec = fam.nokia_lte(family) if tech == "lte" else fam.nokia_umts(family)
         return finish(aggregate(rows, spec, grain="rop"))
 
 
-for _tech, _families in OTHER_FAMILIES.items():
-    for _family, _counters in _families.items():
-        _register_other(_tech, _family, _counters)
+for _tech, _families in SCHEMA_COUNTERS.items():
+    for _family in _families:
+        _register_other(_tech, _family)
+
+
+# --------------------------------- the older Ericsson text specs (plain sums)
+
+def older_lte_features() -> str:
+    """A feature file of the older LTE form: 183 plain sums, three maxima, three labels,
+    two constants in a counter's place, hourly keys."""
+    sums = [c for c in HOUR_COUNTERS if c != "pmRrcConnMax"]
+    sums = ["PERIOD_DURATION", *sums] + [f"{vt.WIDE_PREFIX}{i}" for i in range(183 - 1 - len(sums))]
+    select = ["'unassigned' as MGR_RUN_ID", "MIN(Region) as Region", "MIN(Market) as Market", "MIN(SubNetwork_2) as SubNetwork_2",
+              "hl_date as PERIOD_START_TIME", "MeContext", "EUtranCellFDD", *[f"SUM({c}) as {c}" for c in sums],
+              "MAX(pmRrcConnMax) as pmRrcConnMax", f"MAX({vt.WIDE_PREFIX}298) as {vt.WIDE_PREFIX}298", f"MAX({vt.WIDE_PREFIX}299) as {vt.WIDE_PREFIX}299",
+              "0 as pmPlaceholder_0", "0 as pmPlaceholder_1", "HL_Cluster", "HL_Area", "HL_Market"]
+    return _feature("lte_eric_older", select, "hl_date, MeContext, EUtranCellFDD, HL_Market, HL_Cluster, HL_Area")
+
+
+def older_umts_features() -> str:
+    """The older UMTS form: 48 plain sums, four labels, 18 constants, hourly keys."""
+    sums = ["PERIOD_DURATION", *vt.ERIC_UMTS_COUNTERS] + [f"{vt.WIDE_PREFIX}{i}" for i in range(48 - 1 - len(vt.ERIC_UMTS_COUNTERS))]
+    select = ["'unassigned' as MGR_RUN_ID", "MIN(Region) as region", "MIN(Market) as market", "MIN(SubNetwork_2) as subnetwork_2",
+              "hl_date as PERIOD_START_TIME", "MIN(MeContext) as mecontext", "UtranCell", *[f"SUM({c}) as {c}" for c in sums],
+              *[f"0 as pmPlaceholder_{i}" for i in range(18)], "HL_Market"]
+    return _feature("umts_eric_older", select, "hl_date, HL_Market, UtranCell")
+
+
+def _feature(name: str, select: list[str], groupby: str) -> str:
+    return json.dumps({"features": [{"name": name, "sql": [{"SELECT": ", ".join(select), "GROUPBY": groupby}]}]})
+
+
+def _older_sql(feature: str) -> str:
+    """The text spec as DuckDB SQL: its own text, rendered like a report."""
+    (select, groupby), = parse_sql_features(feature).values()
+    out = []
+    for item in select.split(", "):
+        expr, _, alias = item.partition(" as ")
+        alias = alias or expr
+        numeric = expr.startswith(("SUM(", "MAX("))
+        out.append(_r(expr, alias) if numeric else f"{_ts('HL_DATE')} AS {alias}" if expr == "hl_date" else f"CAST(0 AS INTEGER) AS {alias}" if expr == "0" else f"{expr} AS {alias}")
+    return f"SELECT {', '.join(out)}, pk_date, HL_Market AS pk_market, pk_hr FROM e GROUP BY {groupby}, pk_date, pk_hr"
+
+
+def _older(spark, store: DataFrame, feature: str, name: str) -> DataFrame:
+    """Write the feature file, load it, run its text."""
+    path = write_text_file(spark, f"{scratch_path(spark, 'features')}/{name}.json", feature)
+    text = spark.read.text(path, wholetext=True).first().value
+    return finish(sql_feature_aggregate(store, *parse_sql_features(text)[name], extra_keys=("pk_date", "pk_market", "pk_hr")))
+
+
+@q("family_eric_lte_older", ERIC_LTE_WIDE_BASE + _older_sql(older_lte_features()))
+def family_eric_lte_older(spark, sf):
+    """E5: the older LTE text spec, 183 sums that keep NULL."""
+    e = enrich_for(vt.eric_lte_wide_rows(spark, sf), dt.sl(spark, sf), "ericsson", "lte")
+    return _older(spark, derive_pk(e, date_col="HL_DATE", hour_col="PERIOD_START_TIME"), older_lte_features(), "lte_eric_older")
+
+
+@q("family_eric_umts_older", _w(dt.KL_SQL, dt.SL_SQL, vt.ERIC_UMTS_SQL, vt.ERIC_UMTS_WIDE_SQL,
+                                _ERIC_UMTS_ENRICHED_SQL.replace("FROM eu k", "FROM euw k")) + _older_sql(older_umts_features()))
+def family_eric_umts_older(spark, sf):
+    """E5: the older UMTS text spec, 48 sums and 18 constants."""
+    e = enrich_for(vt.eric_umts_wide_rows(spark, sf), vt.umts_lookup(spark, sf), "ericsson", "umts")
+    return _older(spark, derive_pk(e, date_col="HL_DATE", hour_col="PERIOD_START_TIME"), older_umts_features(), "umts_eric_older")

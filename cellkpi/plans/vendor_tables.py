@@ -265,10 +265,8 @@ ERIC_LTE_WIDE_SQL = "ew AS (\n  SELECT *,\n" + ",\n".join(
     for i in range(WIDE_COUNTERS)) + "\n  FROM el)"
 
 
-def nokia_rows(spark: SparkSession, sf: str, tech: str, counters: tuple[str, ...], source_keyed: bool = False) -> DataFrame:
-    """Rows of a Nokia family in its identity layout with two counters (one that is
-    always there, one with NULLs)."""
-    k = dt.kc(spark, sf)
+def nokia_ids(k: DataFrame, tech: str, source_keyed: bool = False) -> list[Column]:
+    """Identity columns of a Nokia family on records of ``kc``."""
     u = F.col("cell").cast("bigint")
     if tech == "umts":
         ids = [_lbl("RNC-", u % 7).alias("BASEID"), _lbl("WCEL-", u % 11).alias("LOCALMOID"),
@@ -277,11 +275,10 @@ def nokia_rows(spark: SparkSession, sf: str, tech: str, counters: tuple[str, ...
         mo = (_lbl("SRC-", F.col("event_id") % 3).alias("MO_DN_Source") if source_keyed
               else _lbl(MO_DN_PREFIX, u % 50).alias("MO_DN"))
         ids = [mo, F.col("cell").alias("MO_DN2")]
-    return k.select(*_nokia_common(u), F.col("oss").alias("OSS"), "PERIOD_START_TIME", _event_duration(), *ids,
-                    F.col("value").alias(counters[0]), F.col("v_null").alias(counters[1]))
+    return [*_nokia_common(u), F.col("oss").alias("OSS"), F.col("PERIOD_START_TIME"), _event_duration(), *ids]
 
 
-def nokia_rows_sql(tech: str, counters: tuple[str, ...], source_keyed: bool = False) -> str:
+def nokia_rows_sql(tech: str, values: list[str], source_keyed: bool = False) -> str:
     u = "CAST(cell AS BIGINT)"
     if tech == "umts":
         ids = (f"'RNC-' || CAST({u} % 7 AS VARCHAR) AS BASEID, 'WCEL-' || CAST({u} % 11 AS VARCHAR) AS LOCALMOID, "
@@ -292,5 +289,20 @@ def nokia_rows_sql(tech: str, counters: tuple[str, ...], source_keyed: bool = Fa
         ids = f"{mo}, cell AS MO_DN2"
     return f"""nr AS (
   SELECT {_nokia_common_sql(u)}, oss AS OSS, PERIOD_START_TIME, {_EVENT_DURATION_SQL}, {ids},
-         value AS {counters[0]}, v_null AS {counters[1]}
+         {", ".join(values)}
   FROM kc)"""
+
+
+UMTS_WIDE_COUNTERS = 48
+
+
+def eric_umts_wide_rows(spark: SparkSession, sf: str, n: int = UMTS_WIDE_COUNTERS) -> DataFrame:
+    r = eric_umts_rows(spark, sf)
+    qty, line, returned = F.col(ERIC_UMTS_COUNTERS[1]), F.col("Cntr"), F.col(ERIC_UMTS_COUNTERS[0]).isNull()
+    return r.select("*", *[_wide_bin(i, qty, line, returned).alias(f"{WIDE_PREFIX}{i}") for i in range(n)])
+
+
+ERIC_UMTS_WIDE_SQL = "euw AS (\n  SELECT *,\n" + ",\n".join(
+    f"         {f'CASE WHEN {ERIC_UMTS_COUNTERS[0]} IS NULL THEN NULL ELSE ' if i % 5 == 0 else ''}"
+    f"{ERIC_UMTS_COUNTERS[1]} * {i % 7 + 1} + Cntr{' END' if i % 5 == 0 else ''} AS {WIDE_PREFIX}{i}"
+    for i in range(UMTS_WIDE_COUNTERS)) + "\n  FROM eu)"

@@ -83,10 +83,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/cellkpi/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_fs_path(path: str) -> str | None:
-    """Local filesystem path for ``file:`` / bare paths, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else None
+def write_text_file(spark: SparkSession, path: str, text: str) -> str:
+    """A small file (schema, feature file) in whatever store ``path`` names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    out.write(text.encode())
+    out.close()
+    return path

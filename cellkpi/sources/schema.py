@@ -69,6 +69,17 @@ class SchemaRegistry:
                 out[f"{tech}_{rest}"] = load_schema(os.path.join(path, fn))
         return cls(out)
 
+    @classmethod
+    def from_path(cls, spark, path: str, vendor: str = "nokia") -> "SchemaRegistry":
+        """Schema files of a folder in any store that Spark reads."""
+        files = spark.read.text(f"{path.rstrip('/')}/*_schema.json", wholetext=True).select("value", F.col("_metadata.file_name").alias("name"))
+        out, marker = {}, f"_{vendor}_"
+        for r in files.orderBy("name").collect():                  # a row a family
+            if marker in r.name:
+                tech, _, rest = r.name[: -len("_schema.json")].partition(marker)
+                out[f"{tech}_{rest}"] = schema_from_fields(json.loads(r.value))
+        return cls(out)
+
     def types(self) -> list[str]:
         return sorted(self.schemas)
 

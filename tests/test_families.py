@@ -174,3 +174,26 @@ def test_label_codes_equal_the_plain_aggregate(spark):
     assert "HashAggregate" in plan and "SortAggregate" not in plan
     with pytest.raises(Exception, match="dictionary lacks"):
         aggregate(df, spec, grain="rop", extra_keys=(), labels=texts.where("text <> 'z'")).collect()
+
+
+def test_every_counter_of_a_registered_schema_is_reported(spark):
+    """Counter sets of all by-rule families: schema file = report, but for renames."""
+    from cellkpi.plans import family_catalog as fc
+    from cellkpi.operators.spec import parse_sql_features, typed_measures
+    reg = fc.registry(spark)
+    assert len(reg.types()) == 24
+    for tech, families in fc.SCHEMA_COUNTERS.items():
+        for family, n in families.items():
+            spec = fam.nokia_lte(family) if tech == "lte" else fam.nokia_umts(family)
+            schema_ = reg[f"{tech}_{family}"]
+            counters = fc.counter_types(schema_, tech)
+            assert len(counters) == n, family
+            measures = [m for m in spec.measures(schema_) if m.source.lower() not in ("oss", "period_duration")]
+            assert [m.source for m in measures] == list(counters), family
+            assert sum(t == "string" for t in counters.values()) == fc.TEXT_COUNTERS.get((tech, family), 0)
+    assert "fail_enb_ho_prep_ac_lien" in [m.name for m in fam.nokia_lte("inter_enb_ho").measures(reg["lte_inter_enb_ho"])]
+    for feature, sums, maxima, labels in ((fc.older_lte_features(), 183, 3, 3), (fc.older_umts_features(), 48, 0, 4)):
+        (select, _), = parse_sql_features(feature).values()
+        found = typed_measures(select)
+        assert [sum(m.func == f for m in found) for f in ("sum", "max", "min")] == [sums, maxima, labels]
+        assert all(m.null_policy == "keep" for m in found)
