@@ -21,7 +21,6 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -29,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from cellkpi.llm.common import arrow_batches, table, with_schema
+from cellkpi.llm.common import arrow_batches, lean, share, table, with_schema, worker_state
 
 CACHE_WORDS = 100_000        # per generation (a worker has two); the older one is dropped
 CACHE_WORD_CHARS = 64        # longer words are encoded without the cache
@@ -163,15 +162,14 @@ class Codec:
         return [held.decode(self.token_bytes[x], final=i == len(ids) - 1) for i, x in enumerate(ids)]
 
 
-@lru_cache(maxsize=1)
 def codec(blob: bytes, pattern: str) -> Codec:
     """One codec per worker and vocabulary."""
-    return Codec(blob, pattern)
+    return worker_state(("byte_bpe", hash(blob), pattern), lambda: Codec(blob, pattern))
 
 
 def _vocabulary(spark: SparkSession, path: str | None, pattern: str | None):
     with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
-        return spark.sparkContext.broadcast((f.read(), pattern or public_tokenizers.PATTERN))
+        return share(spark, (f.read(), pattern or public_tokenizers.PATTERN))
 
 
 def _lists(rows: list[np.ndarray], kind) -> pa.ListArray:
@@ -195,7 +193,7 @@ def _encode(vocabulary, offsets: bool, names: list[str]):
             if offsets:
                 new["offsets"] = _lists([c.offsets(t, i).reshape(-1, 2) for t, i in zip(texts, ids, strict=True)], _SPAN)
             yield pa.RecordBatch.from_arrays([new[n] if n in new else b.column(n) for n in names], names=names)
-    return run
+    return lean(run)
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None,
@@ -223,7 +221,7 @@ def _decode(vocabulary, names: list[str]):
             new = {"decoded": pa.array(raw, pa.binary()),
                    "decoded_text": pa.array([x.decode("utf-8", "replace") for x in raw], pa.string())}
             yield pa.RecordBatch.from_arrays([new[n] if n in new else b.column(n) for n in names], names=names)
-    return run
+    return lean(run)
 
 
 def decode_documents(df: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -246,7 +244,7 @@ def _digest(vocabulary, encoded: bool):
                  pa.array([sha(" ".join(map(shown, i.tolist())).encode()) for i in rows]),
                  pa.array([sha(c.decode(i)) for i in rows])],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    return run
+    return lean(run)
 
 
 _DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

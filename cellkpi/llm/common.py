@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
 import zlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +24,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_batches(spark: SparkSession, rows: int = 512) -> None:
+_held: dict = {}
+
+
+def worker_state(key, build: Callable):
+    """What a Python worker keeps from task to task (a parser, a codec, tables): one
+    state at a time, so the next operator's takes the place of the last one's."""
+    if key not in _held:
+        _held.clear()
+        free_memory()
+        _held[key] = build()
+    return _held[key]
+
+
+def free_memory() -> None:
+    """Give freed memory back to the system: pools and the allocator keep it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):        # another C library
+        pass
+
+
+def lean(run: Callable) -> Callable:
+    """A function over Arrow batches that leaves no freed memory behind in its worker."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            free_memory()
+    return work
+
+
+_shared: list = []
+
+
+def share(spark: SparkSession, value):
+    """Broadcast ``value``; see :func:`release_shared`."""
+    _shared.append(spark.sparkContext.broadcast(value))
+    return _shared[-1]
+
+
+def release_shared() -> None:
+    """Executors drop the values shared so far (a plan that still needs one gets it again)."""
+    while _shared:
+        _shared.pop().unpersist()
+
+
+def arrow_batches(spark: SparkSession, rows: int = 128) -> None:
     """Bound the rows of one Arrow batch: texts are long, so Spark's default of
     10,000 rows could make a batch of hundreds of MB in a Python worker. Also
     makes sure that workers can import this package."""

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellkpi.llm.common import arrow_batches, doc_key, materialise, table, text_or_empty
+from cellkpi.llm.common import arrow_batches, doc_key, lean, materialise, share, table, text_or_empty
 from cellkpi.llm.near_dup import STRETCH, word_hashes
 from cellkpi.llm.perfect_hash import mix
 
@@ -113,7 +113,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
     """Weight of each feature, at least 1, from the number of documents that have it."""
-    rows = (texts.mapInArrow(_document_counts, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    rows = (texts.mapInArrow(lean(_document_counts), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
             .toPandas())                                  # FEATURES + 1 rows at most
     total = np.zeros(FEATURES + 1)
     total[rows.feature.to_numpy()] = rows.n.to_numpy()
@@ -168,7 +168,7 @@ def _gather(shared, transposed: bool):
         for first in range(0, len(total), 1024):
             yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([total[first:first + 1024].tobytes()], pa.binary())],
                                              names=["first", "part"])
-    return run
+    return lean(run)
 
 
 def _add_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +182,7 @@ def _add_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sum(passages: DataFrame, idf: np.ndarray, place: np.ndarray, basis: np.ndarray, transposed: bool) -> np.ndarray:
-    shared = passages.sparkSession.sparkContext.broadcast((idf, place, basis))
+    shared = share(passages.sparkSession, (idf, place, basis))
     shape = "first long, part binary"
     parts = (passages.select("words").mapInArrow(_gather(shared, transposed), shape)
              .repartition("first").mapInArrow(_add_parts, shape).orderBy("first").collect())
@@ -345,7 +345,7 @@ def _find(shared):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()), strict=True)],
                 names=["doc_id", "item_id", "cosine", "in_order", "answer"])
-    return run
+    return lean(run)
 
 
 def _numbered(passages: DataFrame) -> DataFrame:
@@ -381,7 +381,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             short += [p for p in held if len(p.words) < LEAST_WORDS]
             if long := [p for p in held if len(p.words) >= LEAST_WORDS]:
                 spaces.append(space_of(long, idf, *latent_space(few.where(F.size("words") >= LEAST_WORDS), idf)))
-        shared = spark.sparkContext.broadcast((idf, spaces, short))
+        shared = share(spark, (idf, spaces, short))
         part = rows.mapInArrow(_find(shared), _FOUND)
         found = part if found is None else found.unionByName(part)
     best = F.max(F.struct("in_order", "cosine", "answer")).alias("best")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellkpi.llm.common import arrow_batches, doc_key, materialise, table, text_or_empty, with_schema
+from cellkpi.llm.common import arrow_batches, doc_key, lean, materialise, share, table, text_or_empty, with_schema
 from cellkpi.llm.perfect_hash import LineArrays
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -65,7 +65,7 @@ def _count_lines(min_points: int):
             lo, hi, n = np.array(list(seen.values()), np.int64).reshape(-1, 3).T
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (h1, h2, lo, hi, n)],
                                              names=["h1", "h2", "lo", "hi", "n"])
-    return run
+    return lean(run)
 
 
 def _arrays(rows: pd.DataFrame) -> LineArrays:
@@ -114,7 +114,7 @@ def _probes(shards: int, hot, min_points: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (h1[cold] % shards, ids, prints, np.array(at, np.int32)[cold], h1[cold], h2[cold])],
                 names=["shard", "did", "print", "pos", "h1", "h2"])
-    return run
+    return lean(run)
 
 
 def _answer(probes: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
@@ -143,7 +143,7 @@ def _apply(hot, min_points: int, names: list[str]):
             new = {"text": pa.array(texts, pa.string()), "n_lines": pa.array(total, pa.int64()),
                    "n_dropped": pa.array(dropped, pa.int64())}
             yield pa.RecordBatch.from_arrays([new[c] if c in new else b.column(c) for c in names], names=names)
-    return run
+    return lean(run)
 
 
 def dedup_lines(docs: DataFrame, min_points: int = MIN_POINTS, keys_per_shard: int = KEYS_PER_SHARD) -> DataFrame:
@@ -153,7 +153,7 @@ def dedup_lines(docs: DataFrame, min_points: int = MIN_POINTS, keys_per_shard: i
     arrow_batches(spark)
     keyed = docs.select(doc_key().alias("did"), text_or_empty().alias("text"))
     index, shards, hot = build_index(keyed, min_points, keys_per_shard)
-    shared = spark.sparkContext.broadcast(hot)
+    shared = share(spark, hot)
     probes = keyed.select("did", "text", F.xxhash64("text").alias("print")).mapInArrow(
         _probes(shards, shared, min_points), "shard long, did long, print long, pos int, h1 long, h2 long")
     drops = (probes.groupBy("shard").cogroup(index.groupBy("shard"))

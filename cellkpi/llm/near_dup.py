@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellkpi.llm.common import arrow_batches, doc_key, materialise, table, text_or_empty
+from cellkpi.llm.common import arrow_batches, doc_key, lean, materialise, table, text_or_empty
 from cellkpi.llm.components import components
 from cellkpi.llm.perfect_hash import mix
 
@@ -294,7 +294,7 @@ _EDGES = "a long, b long, links long"
 
 
 def _dealt(rows: DataFrame, keys: list[str], work) -> DataFrame:
-    return rows.repartition(*keys).sortWithinPartitions(*keys, "nid").mapInArrow(work, _EDGES)
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "nid").mapInArrow(lean(work), _EDGES)
 
 
 def _visit(cells: DataFrame, visitors: DataFrame) -> DataFrame:
@@ -331,7 +331,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     arrow_batches(spark)
     rows = docs.select(doc_key().alias("did"), text_or_empty().alias("text")).withColumn("print", F.xxhash64("text"))
-    signed = materialise(rows.mapInArrow(_sign, "did long, print long, n long, node binary, bands array<long>"), "signed")
+    signed = materialise(rows.mapInArrow(lean(_sign), "did long, print long, n long, node binary, bands array<long>"), "signed")
     nodes = materialise(
         signed.where("n > 0").groupBy("node")
         .agg(F.min(F.struct("did", "print")).alias("at"), F.first("n").alias("n"), F.first("bands").alias("bands"))
