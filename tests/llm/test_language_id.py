@@ -10,10 +10,10 @@ SAMPLES = {"en": "the cat sat on a mat and the dog", "fr": "le chat est sur une
 
 def plain_pieces(parser, text, sample):
     """Greedy longest pieces that occur in the sample, block by block."""
-    shown = "".join(c if parser._code[ord(c)] != lang._GAP else " " for c in text.lower())
+    shown = "".join(c if c.isalpha() else " " for c in text.lower())
     while "  " in shown:
         shown = shown.replace("  ", " ")
-    shown, n = shown.lstrip(), 0
+    shown, sample, n = shown.lstrip().encode(), sample.encode(), 0
     for a in range(0, len(shown), lang.BLOCK):
         block, i = shown[a:a + lang.BLOCK], 0
         while i < len(block):
@@ -31,6 +31,27 @@ def test_pieces_by_definition():
         assert parser.pieces(texts).tolist() == [[plain_pieces(parser, t, SAMPLES[k]) for k in parser.languages] for t in texts]
 
 
+def test_every_script_keeps_its_letters():
+    """Samples in scripts of many letters beside Latin ones: each is its own language."""
+    samples = {"en": "the river runs through the old town and the people walk along its banks every day " * 3,
+               "de": "der fluss fließt durch die alte stadt und die menschen gehen jeden tag an seinem ufer " * 3,
+               "zh": "河流穿过古老的城市人们每天沿着河岸散步在清晨的阳光里老人们打太极拳孩子们去学校读书",
+               "ja": "川は古い町を流れて人々は毎日その岸辺を歩きます朝の光の中で子供たちは学校へ行きます",
+               "ko": "강은 오래된 도시를 지나 흐르고 사람들은 매일 강가를 걷습니다 아침 햇살 속에서 아이들은 학교에 갑니다",
+               "th": "แม่น้ำไหลผ่านเมืองเก่าและผู้คนเดินเลียบฝั่งทุกวันในแสงแดดยามเช้าเด็กๆไปโรงเรียน",
+               "ru": "река течёт через старый город и люди гуляют по её берегам каждый день дети идут в школу"}
+    asked = {"en": "people walk through the town", "de": "die menschen gehen durch die stadt", "zh": "人们在古老的城市散步孩子们读书",
+             "ja": "子供たちは古い町を歩きます", "ko": "아이들은 오래된 도시를 걷습니다", "th": "ผู้คนเดินไปโรงเรียนในเมืองเก่า", "ru": "дети гуляют по городу каждый день"}
+    parser = lang.CrossParser(samples)
+    assert parser.predict(list(asked.values()))[0] == list(asked)
+    assert parser.predict([samples[k] for k in samples])[0] == list(samples)
+
+
+def test_a_long_first_text_leaves_room_for_the_others():
+    text = lang._shares(["a" * 1000, "bb", "c" * 300, "d" * 300], 400)
+    assert len(text) <= 400 and text.count("bb") == 1 and min(text.count(c) for c in "acd") > 100
+
+
 def test_defined_cases():
     parser = lang.CrossParser(SAMPLES)
     names, score = parser.predict([None, "", "12 !?", "the dog and the cat", "une table sur le chat"])
