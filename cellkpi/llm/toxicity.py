@@ -1,6 +1,8 @@
 """Toxic passages as maximum-scoring segments.
 
-Tokens are word stems. Token weights are log-odds of toxic against clean text with an informative
+Tokens are pieces of words: five characters at a time, so inflected forms share their
+stem and no part of a word goes unread; in scripts without spaces every two
+neighbouring characters. Token weights are log-odds of toxic against clean text with an informative
 Dirichlet prior (the pooled counts, once a document and over different texts); a weight counts only as far as it is
 certain (two standard errors are taken off). A linear-time scan gives every
 maximal scoring segment of a text. By extreme-value theory a segment of score
@@ -9,8 +11,8 @@ over the clean tokens, K is fitted to the best segments of clean documents.
 The worth of a text's significant segments, summed, goes through a logistic
 curve fitted to labelled documents that had no part in the weights.
 
-Bound of the sample (parameter): ``TRAIN_DOCS`` labelled documents, in the
-order of their id's hash. Of these, three parts in four of the ids' second
+Bound of the sample (parameter): at most ``TRAIN_DOCS`` labelled documents, the smallest
+hash of each of as many residue classes. Of these, three parts in four of the ids' second
 hash make the weights and the fourth the curve. Collected are only tokens with
 a weight (each needs at least ``MIN_TOXIC`` uses in the sample's toxic texts or
 a significant lack of them) and one number a document.
@@ -34,17 +36,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellkpi.llm.common import arrow_batches, held_out, materialise, table, text_or_empty, with_schema
+from cellkpi.llm.common import arrow_batches, held_out, lean, materialise, share, table, text_or_empty, with_schema
 
-TRAIN_DOCS = 20_000
+TRAIN_DOCS = 32_768
 PRIOR_SHARE = 0.02           # weight of the pooled prior, as a share of all counts
 MIN_TOXIC = 3
 CERTAIN = 2.5                # standard errors taken off a weight
 DRIFT = 0.25                 # taken off every token, so that plain text scores below zero
 SIGNIFICANT = 0.0            # least worth (nats over the chance level) of a passage
 THRESHOLD = 0.3
-STEM = 5                     # a word counts by its first characters, so inflected forms add up
-_TOKEN = re.compile(rf"(\w{{1,{STEM}}})\w*")
+PIECE = 5                    # characters of a word that make a token
+#: Thai to Myanmar, kana, Han: scripts that put no spaces between words.
+_UNSPACED = "\u0e00-\u109f\u3040-\u30ff\u3400-\u9fff"
+_TOKEN = re.compile(rf"(?=([{_UNSPACED}]{{1,2}}|[^\W{_UNSPACED}]{{1,{PIECE}}}))(?:[{_UNSPACED}]|[^\W{_UNSPACED}]{{1,{PIECE}}})")
 _EULER = 0.5772156649015329
 
 
@@ -126,7 +130,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _weights(sample: DataFrame) -> tuple[dict[str, float], dict[float, float]]:
     """Token weights, and clean tokens by weight (shares)."""
     once = sample.groupBy(F.xxhash64("text")).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-    counts = (once.select("text", "toxic").mapInArrow(_count, "token string, clean long, toxic long")
+    counts = (once.select("text", "toxic").mapInArrow(lean(_count), "token string, clean long, toxic long")
               .groupBy("token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     n = counts.agg(F.coalesce(F.sum("clean"), F.lit(0)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     clean, toxic = float(n[0]), float(n[1])
@@ -180,17 +184,18 @@ def _measure(model):
             n, x, best = (np.array(c) for c in zip(*rows, strict=True)) if rows else (np.zeros(0),) * 3
             yield pa.RecordBatch.from_arrays([b.column("toxic"), *(pa.array(c.astype(float)) for c in (n, x, best))],
                                              names=["toxic", "n", "x", "best"])
-    return run
+    return lean(run)
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model:
     """Model from documents (doc_id, text) and labels (doc_id, toxic), of which the
-    first ``most`` documents by hash are used."""
+    at most ``most`` documents (see the module) are used."""
     spark = docs.sparkSession
     arrow_batches(spark)
     ids = (labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL")
            .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+           .groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(most)))
+           .agg(F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "toxic")).alias("s")).select("s.doc_id", "s.toxic"))
     sample = materialise(docs.select("doc_id", text_or_empty().alias("text"))
                          .join(F.broadcast(ids), "doc_id")          # at most ``most`` rows of 12 bytes
                          .select(F.xxhash64("doc_id").alias("h"), "text", "toxic"), "toxic-sample")
@@ -198,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model:
     weights, shares = _weights(sample.where(~curve))
     draft = Model(weights, _lambda(shares), 0.0, 1.0, 0.0, True)
     measured = lambda m: sample.where(curve).select("text", "toxic").mapInArrow(
-        _measure(spark.sparkContext.broadcast(m)), "toxic int, n double, x double, best double").toPandas()
+        _measure(share(spark, m)), "toxic int, n double, x double, best double").toPandas()
     got = measured(draft)
     if not len(got):
         return Model({}, 1.0, 0.0, 0.0, 0.0, False)
@@ -218,14 +223,14 @@ def _score(model, names: list[str]):
                 x, _, kept = worth(m, text or "")
                 out.append(score(m, x))
                 if kept:
-                    spans = [t.span() for t in _TOKEN.finditer(text.lower())]
+                    spans = [t.span(1) for t in _TOKEN.finditer(text.lower())]
                     kept = [{"start": spans[s.first][0], "end": spans[s.last][1], "score": s.score, "worth": w}
                             for s, w in kept]
                 passages.append(kept)
             new = {"score": pa.array(out, pa.float64()), "predicted": pa.array([int(s >= THRESHOLD) for s in out], pa.int32()),
                    "passages": pa.array(passages, _PASSAGES)}
             yield pa.RecordBatch.from_arrays([new[n] if n in new else b.column(n) for n in names], names=names)
-    return run
+    return lean(run)
 
 
 _PASSAGES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()),
@@ -239,7 +244,7 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     arrow_batches(spark)
     out = with_schema(docs, score="double", predicted="int",
                       passages="array<struct<start:int,end:int,score:double,worth:double>>")
-    return docs.mapInArrow(_score(spark.sparkContext.broadcast(model), out.names), out)
+    return docs.mapInArrow(_score(share(spark, model), out.names), out)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

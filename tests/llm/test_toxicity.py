@@ -66,3 +66,24 @@ def test_odd_documents(spark, odd_docs, no_docs):
     assert tox.score_toxicity(no_docs, model).count() == 0
     none = tox.train(no_docs, labels.limit(0))
     assert {r.score for r in tox.score_toxicity(odd_docs, none).collect()} == {0.0}
+
+
+def test_whole_words_and_unspaced_scripts_are_read(spark):
+    assert tox.tokens("Antisocial a1, \u4f60\u597d\u5417 x") == ["antis", "ocial", "a1", "\u4f60\u597d", "\u597d\u5417", "\u5417", "x"]
+    rng, docs, labels = random.Random(8), [], []
+    for i in range(500):
+        toxic = int(i % 5 == 0)
+        words = ["extra" + rng.choice(["gonal", "large", "fine"]) for _ in range(rng.randint(4, 30))]
+        clause = "".join(rng.choice("\u5c71\u6c34\u4eba\u5929\u5730\u6728\u706b") for _ in range(rng.randint(5, 40)))
+        if toxic and i % 2:
+            words[rng.randrange(len(words)):0] = ["extravileness"] * 3
+        elif toxic:
+            k = rng.randrange(len(clause))
+            clause = clause[:k] + "\u6076\u6bd2\u6076\u6bd2" + clause[k:]
+        docs.append((i, " ".join(words) + " " + clause))
+        labels.append((i, toxic))
+    texts = spark.createDataFrame(docs, "doc_id long, text string")
+    learn = spark.createDataFrame(labels, "doc_id long, toxic int").where("crc32(cast(cast(doc_id AS string) AS binary)) % 4 <> 2")
+    out = tox.score_toxicity(texts, tox.train(texts, learn)).collect()
+    asked = [r for r in out if is_held_out(r.doc_id)]
+    assert len(asked) > 80 and all(r.predicted == (r.doc_id % 5 == 0) for r in asked)
