@@ -174,8 +174,9 @@ def labelled_windows(texts: DataFrame, windows: int = TRAIN_WINDOWS) -> tuple[np
     marked = texts.where(F.col("text").rlike("[0-9@]")).select("text").mapInArrow(
         _windows, "h long, shown string, spans array<int>").where("shown <> ''")
     half = windows // 2
-    rows = [r for some in (marked.where("size(spans) > 0").orderBy("h", "shown").limit(half),
-                           marked.where("size(spans) = 0").orderBy("h", "shown").limit(windows - half)) for r in some.collect()]
+    # half of the windows with spans: the least hash of each of ``half`` residue classes
+    rows = (marked.groupBy(F.expr("size(spans) > 0").alias("found"), F.expr(f"pmod(h, {half})").alias("r"))
+            .agg(F.min(F.struct("h", "shown", "spans")).alias("s")).select("s.*").orderBy("h", "shown").collect())
     rng, made = np.random.default_rng(SEED), []
     for r in rows:
         spans = [Span(*r.spans[i:i + 3]) for i in range(0, len(r.spans), 3)]
@@ -252,11 +253,22 @@ def reconcile(spans: list[Span]) -> list[Span]:
     return sorted(out)
 
 
+_SHAPES = (re.compile(r"\S+@\S+\.\S+"), re.compile(r"[0-9]{1,3}(?:[.:][0-9]{1,3}){3}"),
+           re.compile(r"[0-9](?:[ ./-]{0,2}[0-9])+"),
+           re.compile(r"(?:\+?[0-9]{1,3}[ .-])?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}"))
+
+
 def plausible(text: str, s: Span) -> bool:
+    """An added span has its kind's shape (a card: digits and separators; a phone: groups
+    of digits), stands by itself, and its numbers hold: parts of an address up to 255, a
+    card's checksum."""
     shown = text[s.start:s.end]
-    n = len(_DIGITS.findall(shown))
-    return {0: bool(re.fullmatch(r"\S+@\S+\.\S+", shown)), 1: bool(re.fullmatch(r"[0-9]{1,3}([.:][0-9]{1,3}){3}", shown)),
-            2: 13 <= n <= 19, 3: 7 <= n <= 15}[s.kind]
+    if not _SHAPES[s.kind].fullmatch(shown) or text[s.end:s.end + 1].isalnum() or text[max(0, s.start - 1):s.start].isalnum():
+        return False
+    digits = "".join(_DIGITS.findall(shown))
+    if s.kind == 1:
+        return all(int(p) <= 255 for p in re.split("[.:]", shown))
+    return 13 <= len(digits) <= 19 and luhn(digits) if s.kind == 2 else s.kind == 0 or 9 <= len(digits) <= 15
 
 
 def add_spans(text: str, base: list[Span], found: list[Span]) -> list[Span]:

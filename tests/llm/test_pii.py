@@ -108,3 +108,43 @@ def test_odd_documents(odd_docs, no_docs, tagger):
         assert len(out) == odd_docs.count() and all(not r.spans for r in out)
     assert pii.find_personal_data(no_docs, tagger).count() == 0
     assert pii.train(no_docs) is None
+
+
+def test_added_spans_keep_shape_and_checksum():
+    texts = {"4111 1111 1111 111": (2, False), "4222222222222": (2, True), "4111-1111 1111/1111": (2, True), "a4222222222222": (2, False),
+             "(555) 123-4567": (3, True), "555.123.4567": (3, True), "+1 555-123-4567": (3, True), "5551234567": (3, False), "12-31": (3, False),
+             "10.20.30.40": (1, True), "10.20.30.400": (1, False), "a@b.co": (0, True), "a@b": (0, False)}
+    for text, (kind, wanted) in texts.items():
+        assert pii.plausible(f"x {text} y", pii.Span(2, kind, 2 + len(text))) == wanted, text
+    assert not pii.plausible("a4222222222222", pii.Span(1, 2, 14))
+
+
+def test_precision_and_recall_of_added_spans(spark):
+    """Phones in forms that the rules leave out, among decoy numbers, in texts that the tagger has not seen."""
+    import random
+    rng, words = random.Random(9), "call me at the office or write to house number order for invoice".split()
+    def text(i):
+        out, truth = [], []
+        for _ in range(12):
+            out.append(rng.choice(words))
+            kind = rng.random()
+            d = "".join(rng.choice("23456789") for _ in range(10))
+            if kind < 0.15:
+                out.append(f"+1 {d[:3]} {d[3:6]} {d[6:]}")
+            elif kind < 0.3 and i >= 400:
+                shown = rng.choice([f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}"])
+                truth.append((len(" ".join(out)) + 1, len(shown)))
+                out.append(shown)
+            elif kind < 0.5:
+                out.append(rng.choice([d[:5], f"{d[:2]}.{d[2:4]}", f"{d[:4]}-{d[4:6]}", f"{d[:3]}:{d[3:5]}", d + d[:3]]))
+        return " ".join(out), {(a, a + n) for a, n in truth}
+    rows = [text(i) for i in range(500)]
+    seen = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows[:400])], "doc_id long, text string")
+    asked = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows[400:])], "doc_id long, text string")
+    right = found = wanted = 0
+    for r in pii.find_personal_data(asked, pii.train(seen)).collect():
+        base = {(s.start, s.end) for s in r.base}
+        added, truth = {(s.start, s.end) for s in r.spans} - base, rows[400 + r.doc_id][1]
+        right, found, wanted = right + len(added & truth), found + len(added), wanted + len(truth)
+    print(f"added spans: {found}, precision {right / max(1, found):.3f}, recall {right / wanted:.3f}")
+    assert right >= 0.9 * found and right >= 0.5 * wanted
