@@ -89,7 +89,7 @@ def _deliver(lines: DataFrame, folder: str, name: str) -> None:
     """Write lines as delivery files called ``<number>_..._<name>.txt``."""
     spark = lines.sparkSession
     stage = scratch_path(spark, "delivery")
-    lines.coalesce(2).write.text(stage)
+    lines.write.text(stage)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(stage).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(path(folder))
