@@ -65,7 +65,7 @@ def visible(spark: SparkSession, store_path: str) -> DataFrame:
     return log.where("action = 'add'").select(*UNIT).distinct().join(gone, list(UNIT), "left_anti")
 
 
-def _only(df: DataFrame, units: DataFrame) -> DataFrame:
+def only_units(df: DataFrame, units: DataFrame) -> DataFrame:
     """Rows of some partitions; the list is written and read back, so that the scan
     is pruned at run time (see ``operators.select.restrict_to``)."""
     spark = df.sparkSession
@@ -76,12 +76,12 @@ def _only(df: DataFrame, units: DataFrame) -> DataFrame:
 
 def read_published(spark: SparkSession, store_path: str, schema: T.StructType | None = None) -> DataFrame:
     """The store as its ledger states it."""
-    return _only(read_store(spark, store_path, schema), visible(spark, store_path))
+    return only_units(read_store(spark, store_path, schema), visible(spark, store_path))
 
 
 def read_published_index(spark: SparkSession, store_path: str) -> DataFrame:
     """The partition index of the published batches: one row per (family, date, market, hour)."""
-    rows = _only(read_store(spark, index_path(store_path)), visible(spark, store_path))
+    rows = only_units(read_store(spark, index_path(store_path)), visible(spark, store_path))
     return rows.groupBy(*PK).agg(F.sum("n_rows").alias("n_rows"))
 
 
@@ -100,7 +100,7 @@ def drop_delivered(rows: DataFrame, store_path: str, keys: Sequence[str]) -> Dat
     if units.isEmpty():
         return rows
     match = list(dict.fromkeys(["pk_ft", "pk_date", *keys]))
-    held = _only(read_store(spark, store_path), units).select(*match)
+    held = only_units(read_store(spark, store_path), units).select(*match)
     return rows.join(held, match, "left_anti")
 
 
@@ -130,11 +130,11 @@ def compact(spark: SparkSession, store_path: str, name: str, *, least_batches: i
     replaced = old.count()
     if not replaced:
         return 0
-    rows = _only(read_store(spark, store_path), old).withColumn("pk_batch", F.lit(name))
+    rows = only_units(read_store(spark, store_path), old).withColumn("pk_batch", F.lit(name))
     (rows.hint("rebalance", "pk_ft", "pk_date").sortWithinPartitions("pk_ft", "pk_date", *CLUSTER_BY)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
          .partitionBy(*UNIT).parquet(store_path))
-    counts = _only(read_store(spark, index_path(store_path)), old).withColumn("pk_batch", F.lit(name))
+    counts = only_units(read_store(spark, index_path(store_path)), old).withColumn("pk_batch", F.lit(name))
     (counts.groupBy(*PK, "pk_batch").agg(F.sum("n_rows").alias("n_rows")).repartition(*UNIT)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*UNIT).parquet(index_path(store_path)))
     publish(store_path, name, old.select("pk_ft", "pk_date").distinct().withColumn("pk_batch", F.lit(name)), old)
