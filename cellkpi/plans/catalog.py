@@ -904,4 +904,4 @@ def tumbling_hour_stream(spark, sf):
 
 
 # -- vendor family specs (E1-E4, N7, N9, N14, M11) register themselves here
-from cellkpi.plans import family_catalog, ledger_catalog, rollup_catalog, store_catalog, vector_catalog  # noqa: E402,F401
+from cellkpi.plans import delivery_catalog, family_catalog, ledger_catalog, rollup_catalog, store_catalog, vector_catalog  # noqa: E402,F401
