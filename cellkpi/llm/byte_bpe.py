@@ -162,6 +162,20 @@ class Codec:
         return [held.decode(self.token_bytes[x], final=i == len(ids) - 1) for i, x in enumerate(ids)]
 
 
+    def parts_cover(self, raw: bytes, ids: np.ndarray, spans: np.ndarray) -> bool:
+        """Whether decoding token by token gives, around each split character, the
+        characters that the offsets name. Other tokens hold whole characters, whose
+        bytes are the decoded bytes themselves."""
+        shares = spans[1:, 0] < spans[:-1, 1]
+        if not shares.any():
+            return True
+        text, inside = raw.decode("utf-8", "replace"), np.concatenate([[False], shares])
+        starts = np.flatnonzero(~inside & np.concatenate([shares, [False]]))
+        ends = np.flatnonzero(inside & ~np.concatenate([shares, [False]])) + 1
+        return all("".join(self.decode_parts(ids[a:z].tolist())) == text[spans[a, 0]:spans[z - 1, 1]]
+                   for a, z in zip(starts.tolist(), ends.tolist(), strict=True))
+
+
 def codec(blob: bytes, pattern: str) -> Codec:
     """One codec per worker and vocabulary."""
     return worker_state(("byte_bpe", hash(blob), pattern), lambda: Codec(blob, pattern))
@@ -238,16 +252,25 @@ def _digest(vocabulary, encoded: bool):
         shown = list(map(str, range(len(c.token_bytes)))).__getitem__
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for b in batches:
-            rows = _id_rows(b) if encoded else [c.encode(t or "") for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(i) for i in rows], pa.int64()),
-                 pa.array([sha(" ".join(map(shown, i.tolist())).encode()) for i in rows]),
-                 pa.array([sha(c.decode(i)) for i in rows])],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            texts = None if encoded else [t or "" for t in b.column("text").to_pylist()]
+            rows = _id_rows(b) if encoded else [c.encode(t) for t in texts]
+            raw = [c.decode(i) for i in rows]
+            columns = [b.column("doc_id"), pa.array([len(i) for i in rows], pa.int64()),
+                       pa.array([sha(" ".join(map(shown, i.tolist())).encode()) for i in rows], pa.string()),
+                       pa.array([sha(x) for x in raw], pa.string())]
+            if not encoded:
+                spans = [c.offsets(t, i) for t, i in zip(texts, rows, strict=True)]
+                # Spans that overlap their predecessor's share a character with it.
+                columns += [pa.array([sha(np.ascontiguousarray(s, "<i4").tobytes()) for s in spans], pa.string()),
+                            pa.array([int((s[1:, 0] < s[:-1, 1]).sum()) for s in spans], pa.int64()),
+                            pa.array([c.parts_cover(x, i, s) for x, i, s in zip(raw, rows, spans, strict=True)], pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=_NAMES[:len(columns)])
     return lean(run)
 
 
 _DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+_TRIPS = f"{_DIGESTS}, offsets_sha256 string, n_split long, parts_agree boolean"
+_NAMES = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "offsets_sha256", "n_split", "parts_agree"]
 
 
 def digests(encoded: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -259,10 +282,14 @@ def digests(encoded: DataFrame, path: str | None = None, pattern: str | None = N
 
 def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """The digests of encoded and decoded ``docs`` (doc_id, text) in one pass: one
-    Python worker a task instead of one that encodes and one that decodes."""
+    Python worker a task instead of one that encodes and one that decodes. Further
+    columns: ``offsets_sha256`` (of [start, end) of every token in code points, as
+    little-endian 32-bit integers in order), ``n_split`` (tokens that begin inside a
+    character) and ``parts_agree`` (decoding token by token, with split characters held
+    until their last byte, gives the characters that the offsets name)."""
     arrow_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(
-        _digest(_vocabulary(docs.sparkSession, path, pattern), False), _DIGESTS)
+        _digest(_vocabulary(docs.sparkSession, path, pattern), False), _TRIPS)
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

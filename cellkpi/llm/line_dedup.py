@@ -5,9 +5,10 @@ distinct hash the number of documents and the smallest of them. Shards of
 about ``keys_per_shard`` distinct hashes become a perfect hash plus arrays of
 fingerprints, counts and smallest documents in a shared table. Documents send
 only hashes to the shards, probe the arrays there and get back the positions
-of lines to drop. Keys found in very many documents (at most ``HOT_KEYS`` of
-them by construction) form one more shard, broadcast and probed where the
-text is, so no shard task receives a hot line.
+of lines to drop: a shard's arrays come first and its probes stream past them, so
+a task holds one shard and one batch however many lines ask it. Keys found in very
+many documents (at most ``HOT_KEYS`` of them by construction) form one more shard,
+broadcast and probed where the text is, so no shard task receives a hot line.
 
 Defined cases: null or empty text is one empty line (null stays null);
 a null doc_id counts as the largest id; rows that repeat a doc_id are one
@@ -33,7 +34,8 @@ SPACE = b" \t\n\x0b\x0c\r"
 MIN_POINTS = 10
 KEYS_PER_SHARD = 16384
 #: The hot shard holds keys of at least ``max(HOT_FLOOR, lines / HOT_KEYS)``
-#: documents: HOT_KEYS entries of 20 bytes (5 MB) at the very most.
+#: documents: HOT_KEYS entries of 36 bytes (9 MB) at the very most. Every cold line
+#: probes it too, so it holds whole keys: 32 bits would take some of many lines for hot ones.
 HOT_KEYS = 1 << 18
 HOT_FLOOR = 1024
 
@@ -68,10 +70,10 @@ def _count_lines(min_points: int):
     return lean(run)
 
 
-def _arrays(rows: pd.DataFrame) -> LineArrays:
+def _arrays(rows: pd.DataFrame, whole: bool = False) -> LineArrays:
     shared = rows.lo.to_numpy() != rows.hi.to_numpy()
     counts = np.where(shared, np.maximum(rows.n.to_numpy(), 2), 1)
-    return LineArrays.build(rows.h1.to_numpy(), rows.h2.to_numpy(), counts, rows.lo.to_numpy())
+    return LineArrays.build(rows.h1.to_numpy(), rows.h2.to_numpy(), counts, rows.lo.to_numpy(), whole)
 
 
 def _build_shard(rows: pd.DataFrame) -> pd.DataFrame:
@@ -94,7 +96,7 @@ def build_index(docs: DataFrame, min_points: int = MIN_POINTS,
         counted.where(F.col("n") < hot_from).withColumn("shard", F.expr(f"pmod(h1, {shards})"))
         .groupBy("shard").applyInPandas(_build_shard, "shard long, phf binary, prints binary, counts binary, first binary"),
         "line-shards")
-    return index, shards, _arrays(hot)
+    return index, shards, _arrays(hot, whole=True)
 
 
 def _probes(shards: int, hot, min_points: int):
@@ -117,13 +119,41 @@ def _probes(shards: int, hot, min_points: int):
     return lean(run)
 
 
-def _answer(probes: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-    if not len(probes) or not len(shard):
-        return pd.DataFrame({"did": [], "print": [], "pos": []})
-    s = shard.iloc[0]
-    n, first = LineArrays.from_columns(s.phf, s.prints, s["counts"], s["first"]).probe(
-        probes.h1.to_numpy(), probes.h2.to_numpy())
-    return probes.loc[(n >= 2) & (first != probes.did.to_numpy()), ["did", "print", "pos"]]
+_ARRAYS = ["phf", "prints", "counts", "first"]
+_PROBE = ["did", "print", "pos", "h1", "h2"]
+PROBE_ROWS = 1 << 16         # probes of a shard that are answered at once
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Positions to drop; rows come by shard, a shard's arrays before its probes."""
+    held, arrays = None, None
+    waiting: list[pa.RecordBatch] = []
+
+    def answered() -> pa.RecordBatch:
+        t = pa.Table.from_batches(waiting)
+        waiting.clear()
+        did, mark, pos, h1, h2 = (t.column(c).to_numpy() for c in _PROBE)
+        n, first = arrays.probe(h1, h2)
+        gone = (n >= 2) & (first != did)
+        return pa.RecordBatch.from_arrays([pa.array(x[gone]) for x in (did, mark, pos)], names=_PROBE[:3])
+
+    for b in batches:
+        shard = b.column("shard").to_numpy()
+        is_probe = b.column("phf").is_null().to_numpy(zero_copy_only=False)
+        probes = b.select(_PROBE)
+        # A run ends where the shard changes and around each row of arrays.
+        cuts = [0, *(np.flatnonzero((shard[1:] != shard[:-1]) | (is_probe[1:] != is_probe[:-1])) + 1).tolist(), len(shard)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if lo == hi:
+                continue
+            if waiting and (shard[lo] != held or sum(map(len, waiting)) >= PROBE_ROWS):
+                yield answered()
+            if not is_probe[lo]:
+                held, arrays = shard[lo], LineArrays.from_columns(*(b.column(c)[lo].as_py() for c in _ARRAYS))
+            elif held == shard[lo]:
+                waiting.append(probes.slice(lo, hi - lo))
+    if waiting:
+        yield answered()
 
 
 def _apply(hot, min_points: int, names: list[str]):
@@ -156,8 +186,9 @@ def dedup_lines(docs: DataFrame, min_points: int = MIN_POINTS, keys_per_shard: i
     shared = share(spark, hot)
     probes = keyed.select("did", "text", F.xxhash64("text").alias("print")).mapInArrow(
         _probes(shards, shared, min_points), "shard long, did long, print long, pos int, h1 long, h2 long")
-    drops = (probes.groupBy("shard").cogroup(index.groupBy("shard"))
-             .applyInPandas(_answer, "did long, print long, pos int")
+    both = index.unionByName(probes, allowMissingColumns=True)
+    drops = (both.repartition("shard").sortWithinPartitions("shard", F.col("phf").isNull())
+             .mapInArrow(lean(_answer), "did long, print long, pos int")
              .groupBy("did", "print").agg(F.collect_set("pos").alias("__drop"))
              .withColumnsRenamed({"did": "__did", "print": "__print"}))
     out = with_schema(docs, text="string", n_lines="long", n_dropped="long")

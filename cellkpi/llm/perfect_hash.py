@@ -90,18 +90,24 @@ class PerfectHash:
 
 class LineArrays:
     """One shard: perfect hash, 32-bit fingerprints, document counts and the
-    smallest document of each key."""
+    smallest document of each key. With ``whole`` keys the full 128 bits are
+    held too and compared: for a shard that is probed with keys of others."""
 
-    def __init__(self, phf: PerfectHash, prints: np.ndarray, counts: np.ndarray, first: np.ndarray):
-        self.phf, self.prints, self.counts, self.first = phf, prints, counts, first
+    def __init__(self, phf: PerfectHash, prints: np.ndarray, counts: np.ndarray, first: np.ndarray,
+                 keys: np.ndarray | None = None):
+        self.phf, self.prints, self.counts, self.first, self.keys = phf, prints, counts, first, keys
 
     @classmethod
-    def build(cls, h1, h2, counts, first) -> LineArrays:
+    def build(cls, h1, h2, counts, first, whole: bool = False) -> LineArrays:
         phf = PerfectHash.build(h1, h2)
         at = phf.index(h1, h2)
         prints, n, lowest = (np.empty(len(h1), t) for t in (np.uint32, np.int64, np.int64))
         prints[at], n[at], lowest[at] = fingerprint(h1, h2), counts, first
-        return cls(phf, prints, n, lowest)
+        if not whole:
+            return cls(phf, prints, n, lowest)
+        keys = np.empty((len(h1), 2), np.int64)
+        keys[at, 0], keys[at, 1] = h1, h2
+        return cls(phf, prints, n, lowest, keys)
 
     def probe(self, h1, h2) -> tuple[np.ndarray, np.ndarray]:
         """(document count, smallest document) of each key; count 0: not held."""
@@ -109,6 +115,8 @@ class LineArrays:
             return np.zeros(len(h1), np.int64), np.zeros(len(h1), np.int64)
         at = self.phf.index(h1, h2)
         known = (at >= 0) & (self.prints[at] == fingerprint(h1, h2))
+        if self.keys is not None:
+            known &= (self.keys[at, 0] == h1) & (self.keys[at, 1] == h2)
         return np.where(known, self.counts[at], 0), self.first[at]
 
     def columns(self) -> dict[str, bytes]:

@@ -47,6 +47,18 @@ def test_cache_generations(blob, judge, monkeypatch):
         assert small.encode(text).tolist() == judge.encode_ordinary(text)
 
 
+def test_parts_agree_with_offsets_around_split_characters(codec):
+    split = 0
+    for text in ["\U0001f9ff\U0001f9ffab", "日\U00020000語 x\U0001f6f8", *texts(300, 2)]:
+        ids = codec.encode(text)
+        spans = codec.offsets(text, ids).reshape(-1, 2)
+        split += int((spans[1:, 0] < spans[:-1, 1]).sum())
+        assert codec.parts_cover(text.encode(), ids, spans)
+        if (spans[1:, 0] < spans[:-1, 1]).any():
+            assert not codec.parts_cover(("z" * len(text)).encode(), ids, spans)
+    assert split > 0
+
+
 def test_split_character(codec):
     ids = [i for i, b in enumerate(codec.token_bytes) if b in (b"\xf0\x9f", b"\xf0", b"\x9f", b"\x98", b"\x80")]
     by = {codec.token_bytes[i]: i for i in ids}
@@ -73,7 +85,12 @@ def test_documents(odd_docs, no_docs, judge):
 
 def test_digests(odd_docs, judge):
     parts = digests(encode_documents(odd_docs.select("doc_id", "text")).select("doc_id", "ids")).collect()
-    assert sorted(map(str, parts)) == sorted(map(str, round_trip(odd_docs).collect()))
+    trips = round_trip(odd_docs)
+    assert sorted(map(str, parts)) == sorted(map(str, trips.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()))
+    spans = {r.text: b"".join(x.to_bytes(4, "little") for s in r.offsets for x in (s.start, s.end))
+             for r in encode_documents(odd_docs.select("text"), offsets=True).collect()}
+    assert {hashlib.sha256(x).hexdigest() for x in spans.values()} == {r.offsets_sha256 for r in trips.collect()}
+    assert all(r.parts_agree for r in trips.collect())
     for r in parts:
         wanted = {x.doc_id: x.text or "" for x in odd_docs.collect()}[r.doc_id]
         ids = judge.encode_ordinary(wanted)

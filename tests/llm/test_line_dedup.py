@@ -79,3 +79,24 @@ def test_query_digests(spark, tmp):
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     assert [(out[i].n_lines, out[i].n_dropped, out[i].kept_sha256) for i in (1, 2, 3)] == [
         (2, 0, sha(rows[0][1])), (2, 1, sha("b")), (1, 0, sha(""))]
+
+
+def test_a_shard_with_whole_keys_knows_no_others(monkeypatch):
+    monkeypatch.setattr("cellkpi.llm.perfect_hash.fingerprint", lambda h1, h2: np.zeros(len(h1), np.uint32))
+    rng = np.random.default_rng(5)
+    h1, h2 = rng.integers(-2**63, 2**63 - 1, (2, 500))
+    others = rng.integers(-2**63, 2**63 - 1, (2, 5000))
+    n = np.full(500, 7)
+    whole, short = (LineArrays.build(h1, h2, n, np.arange(500), w) for w in (True, False))
+    assert (whole.probe(h1, h2)[0] == 7).all() and (whole.probe(h1, h2)[1] == np.arange(500)).all()
+    assert not whole.probe(*others)[0].any() and short.probe(*others)[0].any()      # every print is alike here
+
+
+def test_probes_stream_past_their_shard(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PROBE_ROWS", 3)
+    monkeypatch.setattr(line_dedup, "arrow_batches", lambda s: s.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4"))
+    rows = [(i, "\n".join(f"a line of number {(i * j) % 23}" for j in range(9)) + "\nfoot line of all") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for per_shard in (2, 10_000):
+        got = dedup_lines(df, keys_per_shard=per_shard)
+        assert sorted(((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got.collect()), key=str) == plain(rows)
