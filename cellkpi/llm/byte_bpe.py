@@ -246,7 +246,7 @@ def decode_documents(df: DataFrame, path: str | None = None, pattern: str | None
     return df.mapInArrow(_decode(_vocabulary(df.sparkSession, path, pattern), out.names), out)
 
 
-def _digest(vocabulary, encoded: bool):
+def _digest(vocabulary, encoded: bool, offsets: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(*vocabulary.value)
         shown = list(map(str, range(len(c.token_bytes)))).__getitem__
@@ -258,7 +258,7 @@ def _digest(vocabulary, encoded: bool):
             columns = [b.column("doc_id"), pa.array([len(i) for i in rows], pa.int64()),
                        pa.array([sha(" ".join(map(shown, i.tolist())).encode()) for i in rows], pa.string()),
                        pa.array([sha(x) for x in raw], pa.string())]
-            if not encoded:
+            if offsets:
                 spans = [c.offsets(t, i) for t, i in zip(texts, rows, strict=True)]
                 # Spans that overlap their predecessor's share a character with it.
                 columns += [pa.array([sha(np.ascontiguousarray(s, "<i4").tobytes()) for s in spans], pa.string()),
@@ -280,16 +280,16 @@ def digests(encoded: DataFrame, path: str | None = None, pattern: str | None = N
         _digest(_vocabulary(encoded.sparkSession, path, pattern), True), _DIGESTS)
 
 
-def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None, offsets: bool = True) -> DataFrame:
     """The digests of encoded and decoded ``docs`` (doc_id, text) in one pass: one
     Python worker a task instead of one that encodes and one that decodes. Further
-    columns: ``offsets_sha256`` (of [start, end) of every token in code points, as
+    columns with ``offsets``: ``offsets_sha256`` (of [start, end) of every token in code points, as
     little-endian 32-bit integers in order), ``n_split`` (tokens that begin inside a
     character) and ``parts_agree`` (decoding token by token, with split characters held
     until their last byte, gives the characters that the offsets name)."""
     arrow_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(
-        _digest(_vocabulary(docs.sparkSession, path, pattern), False), _TRIPS)
+        _digest(_vocabulary(docs.sparkSession, path, pattern), False, offsets), _TRIPS if offsets else _DIGESTS)
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
