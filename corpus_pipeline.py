@@ -49,7 +49,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of the ids and of the decoded bytes of each document."""
     release_shared()
-    return byte_bpe.round_trip(docs.select("doc_id", "text"))
+    return byte_bpe.round_trip(docs.select("doc_id", "text"), offsets=False)
 
 
 STAGES = [
