@@ -1,12 +1,13 @@
-"""Catalogue entry for a store that is read through its ledger."""
+"""Catalogue entries for a store that is read through its ledger."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellkpi.plans.catalog import BASE, ekc, finish, q
+from cellkpi.plans.catalog import BASE, IDX_SQL, LATEST_N, LATEST_SQL, ekc, finish, q
 from cellkpi.session import scratch_path
 from cellkpi.sources import ledger
+from cellkpi.sources.newest import read_newest, refresh_newest
 from cellkpi.streaming.landing import write_batch
 
 
@@ -27,3 +28,17 @@ def ledger_batches(spark, sf):
                                                                  F.count_distinct("pk_batch").alias("n_batches"))
     listed = ledger.read_published_index(spark, path).groupBy(*keys).agg(F.sum("n_rows").alias("n_indexed"))
     return finish(seen.join(listed, keys, "full"))
+
+
+@q("newest_hours_kept", BASE.rstrip("\n") + ",\n" + IDX_SQL + ",\n" + LATEST_SQL + """
+SELECT pk_ft, pk_date, pk_market, pk_hr, hour_rank FROM lat""")
+def newest_hours_kept(spark, sf):
+    """The newest hours of each market from the state kept beside the ledger: refreshed after the
+    first batch, then read with a batch of newer and late records and one of none beside it."""
+    path, rows = scratch_path(spark, "newest-store"), ekc(spark, sf)
+    first = (F.dayofmonth("HL_DATE") < 20) & (F.col("event_id") % 4 != 1)
+    ledger.write_batch_published(rows.where(first), path, "first")
+    refresh_newest(spark, path)
+    ledger.write_batch_published(rows.where(~first), path, "second")
+    ledger.write_batch_published(rows.where("false"), path, "empty")
+    return read_newest(spark, path).where(F.col("hour_rank") <= LATEST_N)

@@ -55,16 +55,27 @@ def publish(store_path: str, entry: str, added: DataFrame, dropped: DataFrame |
     return fs.rename(parts[0], target)
 
 
-def visible(spark: SparkSession, store_path: str) -> DataFrame:
-    """Partitions (pk_ft, pk_date, pk_batch) that are published and not replaced."""
+def read_log(spark: SparkSession, store_path: str) -> DataFrame:
+    """All lines of the ledger with the name of their entry; one listing of its files,
+    so whatever is derived from one result belongs to one state of the store."""
     folder, fs = _folder(spark, ledger_path(store_path))
     if not fs.exists(folder):
-        return spark.createDataFrame([], T._parse_datatype_string(", ".join(f"{c} string" for c in UNIT)))
+        return spark.createDataFrame([], T._parse_datatype_string(f"entry string, {_ENTRY}"))
     log = spark.read.schema(_ENTRY).json(ledger_path(store_path))
+    return log.select(F.col("_metadata.file_name").alias("entry"), "action", *UNIT)
+
+
+def live_units(log: DataFrame) -> DataFrame:
+    """Partitions of a ledger's lines that are published and not replaced."""
     gone = log.where("action = 'drop'").select(*UNIT)
     return log.where("action = 'add'").select(*UNIT).distinct().join(gone, list(UNIT), "left_anti")
 
 
+def visible(spark: SparkSession, store_path: str) -> DataFrame:
+    """Partitions (pk_ft, pk_date, pk_batch) that are published and not replaced."""
+    return live_units(read_log(spark, store_path))
+
+
 def only_units(df: DataFrame, units: DataFrame) -> DataFrame:
     """Rows of some partitions; the list is written and read back, so that the scan
     is pruned at run time (see ``operators.select.restrict_to``)."""
