@@ -16,6 +16,7 @@ from cellkpi.plans.catalog import AS_OF, BASE, IDX_SQL, KC_SPEC, LATEST_N, LATES
 from cellkpi.plans.jobs import (export_report, ingest, ingest_families, quarantine_of, report, report_families, report_sql,
                                 report_sql_daily, with_export_key)
 from cellkpi.session import scratch_path
+from cellkpi.sources.copartitioned import enrich_copartitioned, write_copartitioned
 from cellkpi.sources.export import read_export
 from cellkpi.sources.lookup import build_lookup
 from cellkpi.sources.schema import SchemaRegistry
@@ -185,6 +186,21 @@ def enrich_routes(spark, sf):
     return out.groupBy("route", "key_kind", "HL_Market").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@q("enrich_copartitioned", _w(dt.KC_SQL, dt.CL_SQL, """one AS (
+  SELECT upper(OSS) AS OSS, CELL, min(MARKET) AS MARKET, min(CLUSTER) AS CLUSTER FROM cl GROUP BY ALL)""") + """
+SELECT k.event_id, k.pk_ft, IFNULL(l.MARKET, 'unassigned') AS HL_Market, IFNULL(l.CLUSTER, 'unassigned') AS HL_Cluster,
+  round(k.value, 4) AS value
+FROM kc k LEFT JOIN one l ON upper(k.oss) = l.OSS AND k.cell = l.CELL""")
+def enrich_copartitioned_q(spark, sf):
+    """Counters dealt into buckets by (OSS, cell) in two batches, joined with the lookup
+    without an exchange of theirs; cells with many records are dealt under several keys."""
+    rows, path = dt.kc(spark, sf).select("event_id", "oss", "cell", "value", "pk_ft"), scratch_path(spark, "copartitioned")
+    for batch, part in (("b0", "event_id % 3 <> 0"), ("b1", "event_id % 3 = 0")):
+        write_copartitioned(rows.where(part), path, batch, oss_col="oss", cell_col="cell", buckets=8, partition_by=("pk_ft",), hot_rows=64)
+    out = enrich_copartitioned(spark, path, dt.cl(spark, sf), lookup_cell_col="CELL", attrs={"HL_Market": "MARKET", "HL_Cluster": "CLUSTER"})
+    return finish(out.select("event_id", "pk_ft", "HL_Market", "HL_Cluster", "value"))
+
+
 @q("lookup_rebuild_moved_cell", _w(dt.CL_SQL) + """SELECT TECH, VENDOR, CELL, OSS, SITE,
   CASE WHEN CAST(CELL AS BIGINT) % 4 = 0 THEN 'MOVED' ELSE MARKET END AS MARKET FROM cl""")
 def lookup_rebuild_moved_cell(spark, sf):
