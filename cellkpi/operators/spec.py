@@ -222,9 +222,7 @@ def aggregate(df: DataFrame, spec: KpiSpec, *, grain: str = "rop",
     extra = [k for k in extra_keys if k in df.columns and not (grain == "day" and k == "pk_hr")]
     keys = [k for k in group_keys(spec, grain) if k.lower() not in {e.lower() for e in extra}] + extra
     dtypes = {n.lower(): t for n, t in df.dtypes}
-    entries = spec.expanded(df.schema)
-    mask = _dedup_names([e.name if isinstance(e, Measure) else e.alias for e in entries])
-    entries = [e for e, k in zip(entries, mask) if k]     # case-variant duplicates: last wins
+    entries = spec_entries(spec, df.schema)
     measures = [e for e in entries if isinstance(e, Measure)]
     aggs = [m.column(dtypes) for m in measures]
     time_items = [i for i in spec.items if isinstance(i, Item) and i.kind == "time"]
@@ -239,6 +237,19 @@ def aggregate(df: DataFrame, spec: KpiSpec, *, grain: str = "rop",
     else:
         g = df.groupBy(*keys).agg(*aggs)
 
+    return report_columns(g, spec, entries, extra, grain, run_id, packed)
+
+
+def spec_entries(spec: KpiSpec, schema: T.StructType) -> list:
+    """Outputs of ``spec`` over ``schema``; of case-variant duplicates the last stays."""
+    entries = spec.expanded(schema)
+    mask = _dedup_names([e.name if isinstance(e, Measure) else e.alias for e in entries])
+    return [e for e, k in zip(entries, mask) if k]
+
+
+def report_columns(g: DataFrame, spec: KpiSpec, entries: Sequence, extra: Sequence[str], grain: str,
+                   run_id: Column | None = None, packed: bool = False) -> DataFrame:
+    """Outputs of a spec from its groups: key columns, and measures under their names."""
     out: list[Column] = []
     names: list[str] = []
     vectors: dict[int, tuple] = {}

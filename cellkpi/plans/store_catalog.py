@@ -3,6 +3,8 @@ quarantine, rebuilds and reruns, join routes and text specs."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +14,10 @@ from cellkpi.operators.enrich import ERIC_LTE_ATTRS, derive_hl_date, enrich
 from cellkpi.plans import driver_tables as dt
 from cellkpi.plans import families as fam
 from cellkpi.plans import vendor_tables as vt
-from cellkpi.plans.catalog import AS_OF, BASE, IDX_SQL, KC_SPEC, LATEST_N, LATEST_SQL, _ts, _w, finish, index, q, store
-from cellkpi.plans.jobs import (export_report, ingest, ingest_families, quarantine_of, report, report_families, report_sql,
+from cellkpi.plans.catalog import AS_OF, BASE, IDX_SQL, KC_SPEC, LATEST_N, LATEST_SQL, SQL, _ts, _w, finish, index, q, store
+from cellkpi.plans.jobs import (enrich_with_pk, export_report, ingest, ingest_families, quarantine_of, report, report_families, report_sql,
                                 report_sql_daily, with_export_key)
+from cellkpi.plans.sparse import report_sparse, write_sparse
 from cellkpi.session import scratch_path
 from cellkpi.sources.copartitioned import enrich_copartitioned, write_copartitioned
 from cellkpi.sources.export import read_export
@@ -86,6 +89,18 @@ def multi_family_report(spark, sf):
     return finish(out)
 
 
+@q("sparse_family_report", SQL["multi_family_report"])
+def sparse_family_report(spark, sf):
+    """The same families in one table of maps: one scan and one aggregate report all of them."""
+    attrs = {"HL_Sector": "CELL", "HL_Site": "SITE", "HL_Market": "MARKET", "HL_Cluster": "CLUSTER", "HL_Area": "AREA"}
+    lookup, path = dt.cl(spark, sf), scratch_path(spark, "sparse-store")
+    frames = {f: enrich_with_pk(derive_hl_date(df), lookup, attrs=attrs, **_NOKIA_KEYS) for f, df in family_frames(spark, sf).items()}
+    write_sparse(frames, path)
+    specs = {f: fam.nokia_lte(f.removeprefix("lte_")) for f in frames}
+    reports = report_sparse(spark, path, specs, {f: df.schema for f, df in frames.items()}, latest_n=LATEST_N)
+    return finish(reduce(DataFrame.unionByName, [_long(rep, f) for f, rep in reports.items()]))
+
+
 def _deliver(lines: DataFrame, folder: str, name: str) -> None:
     """Write lines as delivery files called ``<number>_..._<name>.txt``."""
     spark = lines.sparkSession
