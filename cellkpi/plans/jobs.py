@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cellkpi.functions.scalars import (daily_run_id, export_key, run_id, run_uuid)
 from cellkpi.operators.enrich import dedup_rows, derive_pk, enrich, with_market_suffix
+from cellkpi.operators.joins import MAX_BROADCAST_ROWS
 from cellkpi.operators.select import fresh_markets, latest_date_partitions, latest_hours, restrict_to
 from cellkpi.operators.spec import KpiSpec, aggregate, sql_feature_aggregate
 from cellkpi.sources.counters import split_bad_periods
@@ -27,10 +28,10 @@ from cellkpi.sources.store import filter_families, read_family, read_index, writ
 def enrich_with_pk(counters: DataFrame, lookup: DataFrame, *, oss_col: str, cell_col: str,
                    lookup_cell_col: str, attrs: dict, date_col: str, hour_col: str,
                    family: str | None = None, drop_cols: Sequence[str] = (),
-                   dedup_lookup: bool = True) -> DataFrame:
+                   dedup_lookup: bool = True, broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Enrichment + partition keys (+ family when the input is a single family)."""
     df = enrich(counters, lookup, oss_col=oss_col, cell_col=cell_col, lookup_cell_col=lookup_cell_col,
-                attrs=attrs, drop_cols=drop_cols, dedup_lookup=dedup_lookup)
+                attrs=attrs, drop_cols=drop_cols, dedup_lookup=dedup_lookup, broadcast_rows=broadcast_rows)
     df = derive_pk(df, date_col=date_col, hour_col=hour_col, market_col="HL_Market")
     if family is not None and "pk_ft" not in df.columns:
         df = df.withColumn("pk_ft", F.lit(family))

@@ -29,6 +29,10 @@ from cellkpi.sources.store import CLUSTER_BY, write_index
 
 STREAM_LAYOUT = ("pk_ft", "pk_date", "pk_batch")
 
+# A broadcast lookup goes through the driver once a micro-batch, not once a job, so
+# only a lookup of a few MB is; a larger one is joined by shuffle.
+STREAM_BROADCAST_ROWS = 50_000
+
 
 def counter_stream(spark: SparkSession, source_dir: str, schema: T.StructType, *,
                    sep: str = ERICSSON_SEP, ts_format: str = PERIOD_TS_FORMAT,
@@ -84,7 +88,7 @@ def land(spark: SparkSession, source_dir: str, schema: T.StructType, lookup: Dat
         stream = transform(stream)
 
     def _batch(df: DataFrame, key: str) -> None:
-        enriched = enrich_with_pk(df.drop("_source_file"), lookup, **enrich_kw)
+        enriched = enrich_with_pk(df.drop("_source_file"), lookup, **{"broadcast_rows": STREAM_BROADCAST_ROWS, **enrich_kw})
         write_batch(enriched, store_path, key, quarantine_path)
 
     return start_keyed(stream, _batch, checkpoint, available_now)
@@ -138,7 +142,7 @@ def land_families(spark: SparkSession, source_dir: str, registry: SchemaRegistry
             present = [x.pk_ft for x in lines.where(F.col("pk_ft").isin(types)).select("pk_ft").distinct().collect()]
             for family in sorted(present):
                 rows = parse_lines(lines.where(F.col("pk_ft") == family), registry[family], sep=sep)
-                write_batch(enrich_with_pk(rows, lookup, **enrich_kw), store_path, key,
+                write_batch(enrich_with_pk(rows, lookup, **{"broadcast_rows": STREAM_BROADCAST_ROWS, **enrich_kw}), store_path, key,
                             f"{quarantine_path or quarantine_of(store_path)}/rows/{family}")
             (lines.where(~F.col("pk_ft").isin(types) | F.col("pk_ft").isNull()).withColumn("pk_batch", F.lit(key))
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
