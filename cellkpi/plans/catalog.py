@@ -864,7 +864,7 @@ def landing_stream(spark, sf):
     from cellkpi.streaming.landing import land
     rows = dt.kc_layout(dt.kc(spark, sf), "ericsson", "lte").select(*[f.name for f in _LANDING_SCHEMA.fields])
     src, store_p = scratch_path(spark, "landing-src"), scratch_path(spark, "landing-store")
-    (rows.write.partitionBy("pk_ft").option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm")
+    (rows.hint("rebalance", "pk_ft").write.partitionBy("pk_ft").option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm")
          .csv(src))
     q_ = land(spark, src, _LANDING_SCHEMA, dt.cl(spark, sf), store_p, scratch_path(spark, "landing-ckpt"),
               enrich_kw=dict(oss_col="OSSName", cell_col="EUtranCellFDD", lookup_cell_col="CELL",
@@ -891,7 +891,7 @@ def tumbling_hour_stream(spark, sf):
     from cellkpi.streaming.hourly import hourly_window_updates, read_current_windows
     rows = dt.kc(spark, sf).select("pk_ft", "cell", "PERIOD_START_TIME", "value")
     src = scratch_path(spark, "hourly-src")
-    rows.write.partitionBy("pk_ft").parquet(src)
+    rows.hint("rebalance", "pk_ft").write.partitionBy("pk_ft").parquet(src)      # files by size, not one a task and family
     schema = T.StructType([T.StructField("cell", T.StringType()), T.StructField("PERIOD_START_TIME", T.TimestampType()),
                            T.StructField("value", T.DoubleType()), T.StructField("pk_ft", T.StringType())])
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
