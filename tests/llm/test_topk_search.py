@@ -60,3 +60,37 @@ def test_elimination_leaves_most_vectors_out():
                                       v, np.arange(len(v)), far, most)
     order = topk.best(np.delete(v @ q, 11), np.delete(np.arange(len(v)), 11), 10)
     assert scores.tolist() == np.delete(v @ q, 11)[order].tolist() and looked < len(v) / 2
+
+
+@pytest.mark.parametrize("size", [0.5, 300.0, 3e5])
+def test_every_kind_of_number(spark, monkeypatch, size):
+    """Sums of products within 2**24, 2**53 and beyond."""
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    v = np.random.default_rng(5).normal(size=(210, 6)).astype(np.float32) * size
+    v[20:60] = v[20]
+    rows = [(int(i), x.tolist()) for i, x in enumerate(v)]
+    most = max(sum(math.floor(1024 * y) ** 2 for y in x) for _, x in rows)
+    assert topk.exact_kind(most) == {0.5: np.float32, 300.0: np.float64, 3e5: np.int64}[size]
+    assert search(spark, rows) == plain(rows)
+
+
+def test_a_task_leaves_k_rows_a_query_for_all_its_blocks(monkeypatch):
+    """Blocks are small integers on the way, and what a query finds in one block prunes the next."""
+    rng = np.random.default_rng(2)
+    v = rng.integers(-300, 300, (4 * 256, 16))
+    most = float((v ** 2).sum(1).max())
+    space = topk.Space(16, most, topk.choose_pivots(v, most, 8), np.arange(0), v[:0])
+    shared = type("Shared", (), {"value": space})
+    frame = lambda rows, block: topk.pd.DataFrame({"block": block, "vec_id": rows, "v": list(v[rows])})
+    blocks = [topk._pack_candidates(shared)(frame(np.arange(i, i + 256), i)).iloc[0] for i in range(0, len(v), 256)]
+    queries = topk._pack_queries(shared, 10)(frame(np.arange(50), 0)).iloc[0]
+    assert len(blocks[0].vectors) == 256 * 16 * 2 and len(queries.q_vectors) == 50 * 16 * 2
+    met = topk.pa.RecordBatch.from_pylist([{**b.to_dict(), **queries.drop("block", errors="ignore").to_dict()} for b in blocks])
+    for held, wanted in ((topk.HELD, 500), (0, 500)):
+        monkeypatch.setattr(topk, "HELD", held)
+        found = [r for b in topk._search_blocks(shared, 10)(iter([met])) for r in b.to_pylist()]
+        assert len(found) == wanted
+        for q in range(50):
+            scores = v @ v[q]
+            order = [int(i) for i in topk.best(scores, np.arange(len(v)), 11) if i != q][:10]
+            assert [r["vec_id"] for r in found if r["query_id"] == q] == order
