@@ -16,6 +16,10 @@ Of equal vectors with equal label only the rows of smallest id that any result
 can name take part as candidates (all stay anchors), so a very common vector
 is no hot tile; the others cannot be among the first k.
 
+Pages and blocks are joined by sorting: their files are a small part of their size (an
+anchor's row comes once for each block it may visit), so by the size of the files Spark
+would collect them on the driver and broadcast them.
+
 Bounds: ``SAMPLE`` rows (the smallest hash of each residue class) are collected
 to fit the tiles, which decide only who does the work; every row is indexed and results
 are exact. A block holds about ``BLOCK`` rows, a page at most about ``PAGE`` anchors.
@@ -48,6 +52,8 @@ FANOUT = 8
 PAGE = 256
 SAMPLE = 4096
 DIRECTORY = 256              # root boxes looked at together
+PAGES_A_TASK = 8             # of those that meet the root boxes
+DIRECTORY_BYTES = 32 << 20   # root boxes that every executor may hold
 LOW, HIGH = -(1 << 62), 1 << 62
 
 
@@ -341,16 +347,18 @@ def _visit(space, k: int, same: bool):
 def search(pages: DataFrame, index: DataFrame, space, k: int, same: bool) -> DataFrame:
     """(page, anchor_id, slot, vec_id, score, rank): the first ``k`` rows of each want."""
     body = index.select("block", "ids", "labels", "vectors")
-    seeded = materialise(pages.join(body, "block", "left").select(*pages.columns, "ids", "labels", "vectors")
+    seeded = materialise(pages.hint("merge").join(body, "block", "left").select(*pages.columns, "ids", "labels", "vectors")
                          .mapInArrow(_seed(space, k, same), _PAGE), "seeded")
     stretch = F.floor(F.col("block") / DIRECTORY).cast("long")
     directory = materialise(index.select(stretch.alias("part"), "block", "lo", "hi").groupBy("part")
                             .applyInPandas(_pack_directory, "part long, blocks binary, d_lo binary, d_hi binary"), "directory")
-    parts = directory.agg(F.max("part")).first()[0] or 0
+    parts, boxes = directory.agg(F.max("part"), F.sum(F.octet_length("d_lo") + F.octet_length("d_hi"))).first()
+    directory = F.broadcast(directory) if (boxes or 0) <= DIRECTORY_BYTES else directory.hint("merge")
     # the stated anchors against all root boxes, a page and a stretch at a time
-    met = seeded.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts)).cast("array<long>"))).join(directory, "part")
+    dealt = seeded.repartition(-(-seeded.count() // PAGES_A_TASK) or 1, "page")
+    met = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts or 0)).cast("array<long>"))).join(directory, "part")
     routes = materialise(met.mapInArrow(_route(space), _PAGE), "routes")
-    found = routes.join(body, "block").mapInArrow(_visit(space, k, same), "page long, anchor_id long, slot long, vec_id long, score long")
+    found = routes.hint("merge").join(body, "block").mapInArrow(_visit(space, k, same), "page long, anchor_id long, slot long, vec_id long, score long")
     order = Window.partitionBy("anchor_id", "slot").orderBy(F.desc("score"), "vec_id")
     return materialise(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "found")
 
@@ -393,7 +401,7 @@ def hard_negatives(vectors: DataFrame, anchors: Column, positives: int = POSITIV
     arrow_batches(spark)
     near = near.select("anchor_id", F.col("rank").cast("long").alias("slot"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"))
     return (far.select("anchor_id", "slot", "rank", F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score"))
-            .join(near, ["anchor_id", "slot"])
+            .hint("merge").join(near, ["anchor_id", "slot"])
             .select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"))
 
 

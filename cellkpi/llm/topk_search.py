@@ -270,7 +270,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = TOP, pivots: int = PIVOT
              .applyInPandas(_pack_candidates(space), "block long, ids binary, vectors binary"))
     packed = (q.withColumn("block", number(q_blocks)).groupBy("block")
               .applyInPandas(_pack_queries(space, k), "q_block long, q_ids binary, q_vectors binary, q_floor binary"))
-    met = cands.join(packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>"))), "block")
+    # joined by sorting: the files of the vectors may be much smaller than what would be broadcast
+    met = cands.hint("merge").join(packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>"))), "block")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (met.mapInArrow(_search_blocks(space, k), "query_id long, vec_id long, score long")
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -96,3 +96,23 @@ def test_blocks_out_of_reach_are_ruled_out_before_the_exchange(spark):
     seeded = met.drop("part").join(index.select("block", "ids", "labels", "vectors"), "block", "left").mapInArrow(hn._seed(shared, 5, True), hn._PAGE)
     routed = seeded.withColumn("part", F.lit(0)).join(directory, "part").mapInArrow(hn._route(shared), hn._PAGE)
     assert {r.block for r in routed.select("block").collect()} < {r.block for r in index.select("block").collect()}
+
+
+def test_blocks_and_pages_are_never_broadcast(spark, monkeypatch):
+    """However small their files are: only the root boxes are, up to a bound on their bytes."""
+    plans = {}
+
+    def planned(df, name, write=hn.materialise):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().sparkPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(hn, "materialise", planned)
+    rows = [(i, [math.cos(i), math.sin(i)], i % 3) for i in range(120)]
+    assert mine(spark, rows, block=40) == plain(rows)
+    assert len(plans["seeded"]) == len(plans["found"]) == len(plans["routes"]) == 2
+    assert "Broadcast" not in " ".join(plans["seeded"] + plans["found"]) and all("Broadcast" in p for p in plans["routes"])
+    monkeypatch.setattr(hn, "DIRECTORY_BYTES", 0)
+    monkeypatch.setattr(hn, "DIRECTORY", 2)
+    plans.clear()
+    assert mine(spark, rows, block=20) == plain(rows)
+    assert "Broadcast" not in " ".join(plans["routes"])
