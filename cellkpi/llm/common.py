@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import os
-import tempfile
-import zipfile
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -14,10 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellkpi.session import scratch_path
+from cellkpi.session import arrow_batches, scratch_path, ship_package  # noqa: F401
 
 MAX_LONG = (1 << 63) - 1
-PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,33 +68,6 @@ def release_shared() -> None:
         _shared.pop().unpersist()
 
 
-def arrow_batches(spark: SparkSession, rows: int = 128) -> None:
-    """Bound the rows of one Arrow batch: texts are long, so Spark's default of
-    10,000 rows could make a batch of hundreds of MB in a Python worker. Also
-    makes sure that workers can import this package."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    ship_package(spark)
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send the package to the workers if they would not find it by themselves
-    (run from another folder without PYTHONPATH, --py-files or an installation)."""
-    sc = spark.sparkContext
-    paths = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
-    if any(os.path.realpath(p or ".") == os.path.realpath(PACKAGE_ROOT) for p in paths) or not os.path.isdir(PACKAGE_ROOT):
-        return
-    name = f"cellkpi-{sc.applicationId}.zip"
-    if any(str(f).endswith(name) for f in sc.listFiles):
-        return
-    path = os.path.join(tempfile.mkdtemp(prefix="cellkpi-package-"), name)     # on the driver; Spark sends it on
-    with zipfile.ZipFile(path, "w") as z:
-        for at, _, files in os.walk(os.path.join(PACKAGE_ROOT, "cellkpi")):
-            for f in files:
-                if f.endswith(".py"):
-                    z.write(os.path.join(at, f), os.path.relpath(os.path.join(at, f), PACKAGE_ROOT))
-    sc.addPyFile(path)
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost
     executors, and gives exact row counts and sizes to later steps."""
