@@ -127,7 +127,7 @@ def test_a_text_spec_is_added_up_by_runs(spark):
         assert hash_aggregates(got) and got.count() == df.select("cell").distinct().count()
 
 
-@pytest.mark.parametrize("name", ["family_eric_lte_wide"])
+@pytest.mark.parametrize("name", ["family_eric_lte_wide", "family_eric_lte_older", "family_eric_umts_older"])
 def test_wide_families_are_added_up_by_runs(spark, name):
     df = getattr(family_catalog, name)(spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
