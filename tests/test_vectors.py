@@ -2,11 +2,14 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellkpi.operators.spec import CounterRule, Item, KpiSpec, Measure, aggregate
+from cellkpi.plans import vector_catalog
 from cellkpi.plans.jobs import report
+from cellkpi.sources import store
 from cellkpi.sources.labels import read_labels
 from cellkpi.sources.store import read_index, read_store, write_store
 from cellkpi.sources.vectors import bin_names, pack_vectors, unpack_vectors, vector_families
@@ -67,3 +70,36 @@ def test_store_keeps_arrays_and_its_label_dictionary(spark, tmp):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and plan.count("Scan parquet") <= 6
     assert {r.cell: (r.oss, r.g_1) for r in got.collect()} == {"c": ("a", None), "d": ("Z", 14.0)}
+
+
+def test_histograms_are_added_after_the_exchange(spark, tmp, monkeypatch):
+    """Rows of a store are dealt by ranges before they are wide, a large family-day too."""
+    rows = [(i, "f" if i < 90 else None, "2024-01-05", "m1" if i % 3 else None, "07" if i < 80 else "08") for i in range(120)]
+    df = spark.createDataFrame(rows, "event_id long, pk_ft string, pk_date string, pk_market string, pk_hr string").repartition(3)
+    seen = []
+
+    def widen(r):
+        seen.append(r._jdf.queryExecution().optimizedPlan().toString())
+        return r.select("*", F.array(F.col("event_id") * 1.0, F.lit(None)).alias("v"))
+
+    monkeypatch.setattr(store, "WIDE_ROWS_A_TASK", 25)
+    store.write_store(df, f"{tmp}/narrow", widen=widen, cache=False)
+    store.write_store(widen(df), f"{tmp}/wide", cache=False)
+    got, wanted = (spark.read.parquet(f"{tmp}/{x}").select("event_id", "pk_ft", "pk_date", "pk_market", "pk_hr", "v") for x in ("narrow", "wide"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect())) and got.count() == 120
+    assert "RepartitionByExpression" in seen[0] and len(got.where("pk_ft = 'f'").select(F.input_file_name()).distinct().collect()) >= 3
+    assert sorted(map(str, store.read_index(spark, f"{tmp}/narrow").collect())) == sorted(map(str, store.read_index(spark, f"{tmp}/wide").collect()))
+
+
+def test_vector_store_report_shuffles_no_histogram(spark, monkeypatch):
+    asked = {}
+
+    def write(df, path, **kw):
+        asked.update(kw, df=df)
+        raise InterruptedError
+
+    monkeypatch.setattr(vector_catalog, "write_store", write)
+    with pytest.raises(InterruptedError):
+        vector_catalog.vector_store_report(spark, "/root/testdata/sf0.001")
+    arrays = lambda df: [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]
+    assert not arrays(asked["df"]) and len(arrays(asked["widen"](asked["df"]))) == vector_catalog.VECTORS
