@@ -132,3 +132,10 @@ def test_wide_families_are_added_up_by_runs(spark, name):
     df = getattr(family_catalog, name)(spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and not hash_aggregates(df)
+
+
+def test_partition_keys_are_derived_after_the_exchange(spark):
+    df = family_catalog.family_eric_umts_older(spark, "/root/testdata/sf0.001")
+    lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, x in enumerate(lines) if "RepartitionByExpression" in x)
+    assert "AS pk_date" not in "".join(lines[at:]) and "AS pk_date" in "".join(lines[:at])
